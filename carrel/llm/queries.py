@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, quality, simhash, tokenize
+from carrel.llm import decontaminate, mixing, quality, rules, simhash, substring, tokenize, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,11 +23,31 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back through the index."""
+    index = warc.write(_table(spark, sf_dir, "pages"))
+    return warc.read(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of documents, written as directly addressable codes and read back."""
     return tokenize.read_tokens(tokenize.write_tokens(_table(spark, sf_dir, "documents"), TOKENIZER))
 
 
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule ledger of documents with the verdicts of the base and the strict policy."""
+    book = rules.apply(rules.ledger(_table(spark, sf_dir, "documents")), "strict-1")
+    base = rules.mask(rules.POLICIES["base-1"])
+    failed = F.col("failed").bitwiseAND(F.lit(base)) != 0
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept", "failed")
+
+
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document of smaller doc_id holds."""
+    found = substring.deduplicated(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of documents by nearest-neighbour votes."""
     docs = _table(spark, sf_dir, "documents")
@@ -46,7 +66,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op4_tokens, op8_quality, op9_decontaminate, op10_mix]
+    found = [op1_simhash, op2_warc, op4_tokens, op5_rules, op7_substrings, op8_quality, op9_decontaminate, op10_mix]
     return {f.__name__: f for f in found}
 
 

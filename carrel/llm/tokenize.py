@@ -15,6 +15,7 @@ doc_id come first; an empty table gives no file; further columns are ignored.
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
@@ -144,7 +145,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
         held = 0
 
         def flush() -> pa.RecordBatch:
-            path = f"{folder}/part-{part:06d}-{seq:06d}.dac"
+            # a name of its own for every attempt: the table always names a file that its rows fit
+            path = f"{folder}/part-{part:06d}-{seq:06d}-{uuid.uuid4().hex}.dac"
             write_whole(path, dac.encode(ids, found))
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": pa.array([len(ids)], pa.int64()), "n_tokens": pa.array([held], pa.int64())})
 
