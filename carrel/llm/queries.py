@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, mixing, quality, rules, simhash, substring, tokenize, warc
+from carrel.llm import decontaminate, language_model, mixing, quality, rules, simhash, substring, tokenize, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -29,6 +29,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of documents by the marginals of a conditional random field."""
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.FLAG).cast("int").alias("predicted"), "spans")
+
+
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of documents, written as directly addressable codes and read back."""
     return tokenize.read_tokens(tokenize.write_tokens(_table(spark, sf_dir, "documents"), TOKENIZER))
@@ -42,6 +49,13 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept", "failed")
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of documents by a gated recurrent language model and by unigrams."""
+    docs = _table(spark, sf_dir, "documents")
+    found = language_model.score(docs, *language_model.fit(docs))
+    return found.withColumn("held_out", language_model.held_out(F.col("doc_id")))
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document of smaller doc_id holds."""
     found = substring.deduplicated(_table(spark, sf_dir, "documents"))
@@ -66,7 +80,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_warc, op4_tokens, op5_rules, op7_substrings, op8_quality, op9_decontaminate, op10_mix]
+    found = [op1_simhash, op2_warc, op3_toxicity, op4_tokens, op5_rules, op6_language_model, op7_substrings, op8_quality, op9_decontaminate, op10_mix]
     return {f.__name__: f for f in found}
 
 
