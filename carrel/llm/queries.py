@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, language_model, mixing, quality, rules, simhash, substring, tokenize, toxicity, warc
+from carrel.llm import decontaminate, language_model, mixing, quality, rules, simhash, sql, substring, tokenize, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -85,4 +85,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": sql.OP2, "op5_rules": sql.OP5, "op7_substrings": sql.OP7, "op9_decontaminate": sql.OP9, "op10_mix": sql.OP10}

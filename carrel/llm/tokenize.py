@@ -4,7 +4,7 @@ Documents are range-partitioned by doc_id and tokenised in order; each task writ
 which follow one another in doc_id order, into the shared folder, and a table of the files is
 kept as Parquet. Readers get a row for each file and open it where they run.
 
-The tokenizer sees each distinct piece of text once a task: a text falls apart, before every space
+The tokenizer sees a piece of text once for each worker that holds it: a text falls apart, before every space
 and line break that follow no white space, into pieces that the tokenizer's pre-tokenization never
 joins. Texts with other runs of white space are encoded as one piece.
 
@@ -18,7 +18,6 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +29,20 @@ from pyspark.sql import functions as F
 from carrel.llm import dac
 from carrel.llm.files import read_whole, write_whole
 from carrel.llm.tables import fresh_dir, stage
+from carrel.llm.words import Chunk, chunks, mix
 
 END = 2
 FILE_TOKENS = 4_000_000
-_CACHED_PIECES = 300_000
-_LINE = "\n"
+_CACHED_PIECES = 3_000_000
+_SPACE, _LINE, _NONE = 0, 1, 2  #: before a piece's word: a space, a line break, the start of the text
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, which encodes each distinct piece once."""
+    """Ids of texts by the tokenizers library, which encodes each distinct piece once.
+
+    Pieces are known by 64-bit hashes; ``keys`` is sorted, and first and count give the ids of each
+    in ``flat``. A count of -1 marks a piece whose texts are encoded whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,87 +50,106 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.line = self.whole(_LINE)
-        self._clear()
+        self.line = self.whole("\n")
+        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(1 << 20, np.uint32)
+        self.used = 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _clear(self) -> None:
-        """Entry 0 is a piece not seen yet, entry 1 one that needs the whole text."""
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.first = np.zeros(_CACHED_PIECES * 2, np.int64)
-        self.count = np.zeros(_CACHED_PIECES * 2, np.int64)
-        self.used, self.entries = 0, 2
-
-    def _add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
-        need = self.used + sum(map(len, ids))
-        if need > len(self.flat):
-            self.flat = np.r_[self.flat, np.zeros(max(len(self.flat), need), np.uint32)]
-        if self.entries + len(ids) > len(self.first):
-            more = np.zeros(max(len(self.first), len(ids)), np.int64)
-            self.first, self.count = np.r_[self.first, more], np.r_[self.count, more]
-        for piece, own in zip(pieces, ids, strict=True):
-            self.flat[self.used : self.used + len(own)] = own
-            self.first[self.entries], self.count[self.entries] = self.used, len(own)
-            self.index[piece] = self.entries
-            self.used += len(own)
-            self.entries += 1
-
-    def _learn(self, pieces: set[str]) -> None:
-        spaced, lined = [], []
-        for p in pieces:
-            core = p.removeprefix(_LINE)
-            if not p or core.split() != ([core] if core else []):
-                self.index[p] = 1
-            elif p[0] == _LINE:
-                lined.append(p)
-            else:
-                spaced.append(p)
-        for group, joined, head in ((spaced, _LINE.join(" " + p for p in spaced), False), (lined, "".join(lined), True)):
-            if not group:
-                continue
-            ids = self.whole(joined)
-            cuts = np.flatnonzero(ids == self.line[0])
-            parts = np.split(ids, cuts)[1:] if head else [x[i > 0 :] for i, x in enumerate(np.split(ids, cuts))]
-            if len(parts) != len(group):
-                parts = [self.whole(p if head else " " + p) for p in group]
-            self._add(group, parts)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.entries > _CACHED_PIECES:
-            self._clear()
-        pieces: list[str] = []
-        edges = [0]
-        apart = []
-        for text in texts:
-            lined = _LINE + text
-            easy = bool(text) and len(self.line) == 1 and "\n\n" not in lined and "  " not in lined
-            if easy:
-                pieces += lined.replace(_LINE, " \n")[1:].split(" ")
-            apart.append(not easy)
-            edges.append(len(pieces))
-        look = self.index.get
-        found = np.fromiter(map(look, pieces, repeat(0)), np.int64, len(pieces))
-        missing = np.flatnonzero(found == 0)
-        if len(missing):
-            self._learn({pieces[i] for i in missing.tolist()})
-            found[missing] = np.fromiter((look(pieces[i], 0) for i in missing.tolist()), np.int64, len(missing))
-        count = self.count[found]
-        ends = np.cumsum(count)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.first[found] - (ends - count), count) + np.arange(total)]
-        starts = np.r_[0, ends]
-        odd = np.r_[0, np.cumsum(found == 1)]
-        out = []
-        for i, text in enumerate(texts):
-            lo, hi = edges[i], edges[i + 1]
-            if apart[i] or odd[hi] > odd[lo]:
-                out.append(self.whole(text))
+    def _pieces(self, words: list[str], head: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of the words, each behind head, a space or a line break.
+
+        All are encoded as one text, of one word a line; a line break is a token of its own.
+        """
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        spaced = head == " "
+        ids = self.whole("\n".join(" " + w for w in words) if spaced else "".join("\n" + w for w in words))
+        cut = ids == self.line[0]
+        counts = np.diff(np.r_[-1 if spaced else [], np.flatnonzero(cut), len(ids)].astype(np.int64)) - spaced
+        if len(self.line) == 1 and len(counts) == len(words):
+            return (ids[~cut] if spaced else ids), counts
+        each = [self.whole(head + w) for w in words]
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+    def _learn(self, keys: np.ndarray, words: list[str], kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, count) of new pieces; kind: what stands before the word."""
+        firsts, counts = np.zeros(len(words), np.int64), np.full(len(words), -1)
+        for k, head in ((_SPACE, " "), (_LINE, "\n"), (_NONE, "\n")):
+            own = [i for i in np.flatnonzero(kind == k).tolist() if words[i].strip() == words[i]]
+            ids, n = self._pieces([words[i] for i in own], head)
+            need = self.used + len(ids)
+            if need > len(self.flat):
+                self.flat = np.r_[self.flat, np.zeros(max(len(self.flat), need), np.uint32)]
+            self.flat[self.used : need] = ids
+            drop = int(k == _NONE) * len(self.line)  # the line break before it is no part of the text
+            firsts[own] = self.used + np.cumsum(n) - n + drop
+            counts[own] = n - drop
+            self.used = need
+        return firsts, counts
+
+    def _entries(self, chunk: Chunk, key: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, count) of every word's ids."""
+        wanted, where, number = np.unique(key, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, wanted)
+        known = np.zeros(len(wanted), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == wanted[inside]
+        first, count = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
+        first[known], count[known] = self.first[at[known]], self.count[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            data = chunk.data.tobytes()
+            words = [data[a:b].decode() for a, b in zip(chunk.start[where[new]].tolist(), chunk.end[where[new]].tolist(), strict=True)]
+            full, used = len(self.keys) + len(new) > _CACHED_PIECES, self.used
+            first[new], count[new] = self._learn(wanted[new], words, kind[where[new]])
+            if full:  # what came first is what comes most; the rest isn't kept
+                self.used = used
             else:
-                out.append(ids[starts[lo] + 1 : starts[hi]])
-        return out
+                self.keys = np.insert(self.keys, at[new], wanted[new])
+                self.first = np.insert(self.first, at[new], first[new])
+                self.count = np.insert(self.count, at[new], count[new])
+        return first[number], count[number]
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text in turn, null as empty."""
+        for chunk in chunks(texts):
+            start, end, bounds = chunk.start, chunk.end, chunk.bounds
+            used = bounds[:-1] < bounds[1:]
+            head = np.zeros(len(start), bool)
+            head[bounds[:-1][used]] = True
+            before = np.r_[0, end[:-1]] if len(end) else end
+            before[head] = chunk.doc_bytes[:-1][used]
+            gap = start - before
+            mark = chunk.data[start - 1]
+            kind = np.where(head, _NONE, np.where(mark == 32, _SPACE, _LINE))
+            plain = np.where(head, gap == 0, (gap == 1) & ((mark == 32) | (mark == 10)))
+            key = mix(chunk.hashes(lower=False) + kind.astype(np.uint64))
+            first, count = self._entries(chunk, key, kind) if len(key) else (gap, gap)
+            bad = np.r_[0, np.cumsum(~plain | (count < 0))]
+            ends = np.cumsum(np.maximum(count, 0))
+            total = int(ends[-1]) if len(ends) else 0
+            ids = self.flat[np.repeat(first - (ends - np.maximum(count, 0)), np.maximum(count, 0)) + np.arange(total)]
+            starts = np.r_[0, ends]
+            for i in range(chunk.n_docs):
+                lo, hi = bounds[i], bounds[i + 1]
+                tail = chunk.doc_bytes[i + 1] - (end[hi - 1] if hi > lo else chunk.doc_bytes[i])
+                if tail or bad[hi] > bad[lo]:
+                    yield self.whole(texts[chunk.first + i].as_py())
+                else:
+                    yield ids[starts[lo] : starts[hi]]
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One for each Python worker, which serves many tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end: int = END, file_tokens: int = FILE_TOKENS) -> DataFrame:
@@ -138,7 +161,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     folder = folder or fresh_dir(docs.sparkSession, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         part, seq = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         found: list[np.ndarray] = []
@@ -151,13 +174,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": pa.array([len(ids)], pa.int64()), "n_tokens": pa.array([held], pa.int64())})
 
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                some = batch.slice(lo, 256)
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                for doc_id, own in zip(some.column(0).to_pylist(), encoder.encode(texts), strict=True):
-                    ids.append(doc_id)
-                    found.append(np.append(own, np.uint32(end)).astype(np.uint32))
-                    held += len(own) + 1
+            for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
+                ids.append(doc_id)
+                found.append(np.append(own, np.uint32(end)))
+                held += len(own) + 1
                 if held >= file_tokens:
                     yield flush()
                     seq, held, ids, found = seq + 1, 0, [], []

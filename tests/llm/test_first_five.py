@@ -3,10 +3,9 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
-from pyspark.sql import Row
-
 from carrel.llm import dac, decontaminate, mixing, quality, queries, simhash, tokenize
 from carrel.llm.components import connected
 
@@ -153,7 +152,7 @@ def test_mix_edge_cases(spark):
     assert mixing.mixed(spark.createDataFrame([(1, "", "en", "a", 0)], DOCS)).count() == 0
 
 
-ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "a\n\nb", "\n", "\na", "a\n", "a\t\n\tb", "don't I'll 12ab !? x", "ä ö   b", "<|endoftext|> x<|endoftext|>", "日本語 テキスト\n二行", "x" * 5000, "a\r\nb c", "\x1f a", "é́ ​"]
+ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "a\n\nb", "\n", "\na", "a\n", "a\t\n\tb", "don't I'll 12ab !? x", "ä ö   b", "<|endoftext|> x<|endoftext|>", "日本語 テキスト\n二行", "x" * 5000, "a\r\nb c", "\x1f a", "a \u2003b c", "é́ ​", "a\u00a0 \u00a0b", "a b\u3000", "\u3000a b"]
 
 
 def test_pieces_encode_as_whole_texts(spark):
@@ -162,7 +161,7 @@ def test_pieces_encode_as_whole_texts(spark):
     plain = Tokenizer.from_file(queries.TOKENIZER)
     plain.encode_special_tokens = True
     texts = ODD + [r["text"] for r in documents(spark)] + ODD
-    got = tokenize.Encoder(queries.TOKENIZER).encode(texts)
+    got = list(tokenize.Encoder(queries.TOKENIZER).encode(pa.array(texts)))
     for text, ids in zip(texts, got, strict=True):
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text[:80]
 
