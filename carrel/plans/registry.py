@@ -7,22 +7,41 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list[str] = []
+Query = Callable[[SparkSession, str], DataFrame]
 
+MODULES = ["mapping", "votes", "fixes", "matching", "reading", "searching", "claiming", "checking"]
 
-def _modules():
-    return [import_module(f"carrel.plans.{name}") for name in MODULES]
 
+class Book:
+    """Queries of a module with their SQL; ``@book.query(sql)`` adds one under its function's name."""
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-    for module in _modules():
-        found |= module.QUERIES
+    def __init__(self):
+        self.queries: dict[str, Query] = {}
+        self.sql: dict[str, str] = {}
+
+    def query(self, sql: str | None = None) -> Callable[[Query], Query]:
+        def add(f: Query) -> Query:
+            self.queries[f.__name__] = f
+            if sql is not None:
+                self.sql[f.__name__] = sql
+            return f
+
+        return add
+
+
+def _books() -> list[Book]:
+    return [import_module(f"carrel.plans.{name}").book for name in MODULES]
+
+
+def queries() -> dict[str, Query]:
+    found: dict[str, Query] = {}
+    for book in _books():
+        found |= book.queries
     return found
 
 
 def oracle_sql() -> dict[str, str]:
     found: dict[str, str] = {}
-    for module in _modules():
-        found |= module.SQL
+    for book in _books():
+        found |= book.sql
     return found
