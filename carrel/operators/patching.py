@@ -94,8 +94,8 @@ def set_path(c: Column, path: list[str | int], value: Column) -> Column:
     head, rest = path[0], path[1:]
     if isinstance(head, str):
         return c.withField(head, set_path(c[head], rest, value))
-    fail = F.assert_true(F.size(c) > head, F.lit(f"no element {head}"))
-    return F.transform(c, lambda x, i: F.when((i == head) & fail.isNull(), set_path(x, rest, value)).otherwise(x))
+    changed = F.transform(c, lambda x, i: F.when(i == head, set_path(x, rest, value)).otherwise(x))
+    return F.when(F.size(c) > head, changed).otherwise(F.raise_error(F.lit(f"no element {head}")))
 
 
 def derive(rows: DataFrame, derivers: list[tuple[str, Column]]) -> DataFrame:
