@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carrel.llm.tables import stage
+from carrel.sources.staging import stage
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from carrel.llm.tables import stage
+from carrel.sources.staging import stage
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carrel.llm.components import connected
-from carrel.llm.tables import stage
+from carrel.sources.staging import stage
 
 BLOCK = 1 << 15
 
