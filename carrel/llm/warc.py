@@ -1,8 +1,8 @@
 """WARC archives with an index of their records, and coalesced range reads through it.
 
 Writing: payload digests decide which records hold their payload and which are revisits of an equal
-one; each task writes its records into archives and returns the index row of each record: archive,
-offset, length, URL and digest. Reading takes any selection of index rows, brings those of an
+one; each task writes its records into archives, each a gzip member of its own, and returns the
+index row of each record: archive, offset and length of the member, URL and digest. Reading takes any selection of index rows, brings those of an
 archive together sorted by offset, joins neighbouring ranges into one read, and parses the records.
 
 Cases: a null html is an empty payload; payloads under 100 bytes are never revisits; rows that
@@ -13,6 +13,7 @@ percent-encoded; an empty table gives no archive; further columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -101,7 +102,7 @@ def write(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISI
 
         def flush() -> pa.RecordBatch:
             # a name of its own for every attempt: an index row always fits the archive it names
-            path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.warc"
+            path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.warc.gz"
             write_whole(path, b"".join(parts))
             columns = list(zip(*index, strict=True))
             return pa.RecordBatch.from_arrays([pa.array([path] * len(index)), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()), pa.array(columns[3]), pa.array(columns[4], pa.int64())], names=["archive", "offset", "length", "url", "digest", "page_id"])
@@ -109,7 +110,7 @@ def write(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISI
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 page_id, url, text, digest, refers_to = row
-                data = record(page_id, url, text.encode(), digest, refers_to)
+                data = gzip.compress(record(page_id, url, text.encode(), digest, refers_to), 6, mtime=0)
                 index.append((at, len(data), url, digest, page_id))
                 parts.append(data)
                 at += len(data)
@@ -133,7 +134,7 @@ def read(index: DataFrame, payloads: bool = True, read_bytes: int = READ_BYTES,
         lo, hi = wanted[0][0], max(a + n for a, n in wanted)
         data = read_range(archive, lo, hi - lo)
         for a, n in wanted:
-            fields, http, payload = parse(data[a - lo : a - lo + n])
+            fields, http, payload = parse(gzip.decompress(data[a - lo : a - lo + n]))
             revisit = fields["WARC-Type"] == "revisit"
             yield (_page_id(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), payload if payloads and not revisit else None, int(http["Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha256:"), fields["WARC-Type"], _page_id(fields.get("WARC-Refers-To")))
 
