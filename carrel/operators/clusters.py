@@ -41,9 +41,12 @@ def pair_scores(found: DataFrame, gold: DataFrame) -> DataFrame:
     Pairs are counted by cell sizes of the two partitions; no pair is made.
     """
     both = found.join(gold.withColumnRenamed("cluster", "gold"), "id")
-    pairs = lambda keys: both.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("p"))
-    joint, own, true = pairs(["cluster", "gold"]), pairs(["cluster"]), pairs(["gold"])
-    one = joint.select(F.col("p").alias("tp")).join(own.select(F.col("p").alias("fp"))).join(true.select(F.col("p").alias("fn")))
+
+    def pairs(name: str, *keys: str) -> DataFrame:
+        return both.groupBy(*keys).agg(F.count("*").alias("n")).select(F.lit(name).alias("of"), (F.col("n") * (F.col("n") - 1) / 2).alias("p"))
+
+    every = pairs("tp", "cluster", "gold").unionByName(pairs("fp", "cluster")).unionByName(pairs("fn", "gold"))
+    one = every.agg(*(F.sum(F.when(F.col("of") == name, F.col("p"))).alias(name) for name in ("tp", "fp", "fn")))
     precision, recall = F.try_divide("tp", "fp"), F.try_divide("tp", "fn")
     return one.select(precision.alias("precision"), recall.alias("recall"), F.try_divide(2 * precision * recall, precision + recall).alias("f1"))
 

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def closure(edges: DataFrame, node: str, parent: str, most_levels: int = 16) -> DataFrame:
+def closure(edges: DataFrame, node: str, parent: str, save: Callable[[DataFrame, int], DataFrame], most_levels: int = 16) -> DataFrame:
     """(node, ancestor, depth): every node with itself (0) and all nodes above it.
 
     Each round joins the pairs found so far with themselves, so paths double in length and the
-    rounds are the logarithm of the height. A cycle would pass the last level and fails.
+    rounds are the logarithm of the height. ``save`` writes a round's pairs and reads them back,
+    which cuts the lineage. A cycle would pass the last level and fails.
     """
     up = edges.filter(F.col(parent).isNotNull()).select(F.col(node).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth"))
-    reach, longest = up, 1
+    reach, longest = save(up, 0), 1
     while longest < most_levels:
         onward = reach.filter(F.col("depth") == longest).alias("a").join(reach.alias("b"), F.col("a.ancestor") == F.col("b.node")).select(F.col("a.node"), F.col("b.ancestor"), (F.col("a.depth") + F.col("b.depth")).alias("depth"))
+        onward = save(onward, longest)
         if onward.isEmpty():
             break
         reach, longest = reach.unionByName(onward), 2 * longest

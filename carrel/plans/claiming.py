@@ -1,4 +1,4 @@
-"""Proof queries of claims and verdicts, which the reference design specifies without code."""
+"""Proof queries of claims and verdicts."""
 
 from __future__ import annotations
 

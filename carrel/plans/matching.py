@@ -132,7 +132,7 @@ def hierarchy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = lambda p, x: F.concat(F.lit(p), F.col(x).cast("string"))
     edges = c.select(name("c", "c_custkey").alias("node"), name("n", "c_nationkey").alias("parent")).unionByName(n.select(name("n", "n_nationkey").alias("node"), name("r", "n_regionkey").alias("parent")))
     edges = edges.unionByName(r.select(name("r", "r_regionkey").alias("node"), F.lit("world").alias("parent"))).unionByName(spark.createDataFrame([("world", None)], "node string, parent string"))
-    reach = trees.closure(edges, "node", "parent")
+    reach = trees.closure(edges, "node", "parent", lambda df, i: stage(df, f"reach-{i}"))
     items = c.select(name("c", "c_custkey").alias("at"), F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"))
     return trees.rolled_up(items, "at", reach, "cents").withColumnRenamed("total", "cents")
 

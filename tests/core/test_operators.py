@@ -194,13 +194,14 @@ def test_intervals_agree_with_all_pairs(spark):
 
 def test_trees_and_clusters(spark):
     chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(9)], "n int, p int")
-    reach = trees.closure(chain, "n", "p")
+    save = lambda df, i: stage(df, f"t{i}")
+    reach = trees.closure(chain, "n", "p", save)
     assert reach.count() == 45 and reach.agg(F.max("depth")).first()[0] == 8
     with pytest.raises(ValueError, match="cycle"):
-        trees.closure(spark.createDataFrame([(1, 2), (2, 1)], "n int, p int"), "n", "p")
+        trees.closure(spark.createDataFrame([(1, 2), (2, 1)], "n int, p int"), "n", "p", save)
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 51)], "a int, b int")
     nodes = spark.createDataFrame([(i,) for i in [*range(31), 50, 51, 70]], "id int")
-    got = {r.id: r.cluster for r in clusters.min_label(nodes, links, lambda df, i: stage(df, f"t{i}")).collect()}
+    got = {r.id: r.cluster for r in clusters.min_label(nodes, links, save).collect()}
     assert got == {i: 0 for i in range(31)} | {50: 50, 51: 50, 70: 70}
     gold = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y")], "id int, cluster string")
     found = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a")], "id int, cluster string")
