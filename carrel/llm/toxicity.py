@@ -36,6 +36,8 @@ FLAG = 0.7
 LEAST_DOCS = 4
 STRONG = 2.5
 MAX_FEATURES = 4096
+_GROUP_TOKENS = 1 << 18  #: that training holds at a time, or one longer document
+_SEGMENT = 512
 _PREFIXES = (4, 5, 6, 7, 8)
 _EDGE = np.zeros(256, bool)
 _EDGE[[ord(c) for c in ".,;:!?'\"()[]{}*#$%&|<>-_~"]] = True
@@ -162,33 +164,35 @@ class Model:
         np.add.at(out, tokens, self.weights[numbers])
         return out
 
-    def fit(self, tokens: np.ndarray, numbers: np.ndarray, bounds: np.ndarray, labels: np.ndarray, rounds: int = 60) -> None:
-        """bounds: of documents in the token table; labels: of documents."""
-        n, k = int(bounds[-1]), len(self.lexicon)
-        doc_label = np.repeat(labels, np.diff(bounds))
-        y = np.zeros(n)
-        y[tokens[self.strong[numbers]]] = 1
-        y *= doc_label
-        marked = np.zeros(n)
-        marked[tokens] = 1
-        left, right = self._neighbours(marked, bounds)
-        inner = np.ones(n, bool)
-        inner[bounds[:-1][bounds[:-1] < bounds[1:]]] = False
-        at = np.flatnonzero(inner)
-        pair = (2 * y[at - 1] + y[at]).astype(np.int64)
-        seen = np.bincount(pair, minlength=4).reshape(2, 2)
-        chain = Chain(bounds)
+    def fit(self, documents: list[tuple[int, int, np.ndarray, np.ndarray]], rounds: int = 60) -> None:
+        """documents: (label, number of tokens, token of each kept feature, the feature's number).
+
+        Chain weights are fit to segments of ``_SEGMENT`` tokens, which together are all tokens of
+        all documents; document weights are fit to the marginals of whole documents. A bounded
+        number of tokens is taken at a time; only kept features are held for all of them.
+        """
+        k = len(self.lexicon)
+        groups = [_Group(self, part) for part in _groups([piece for d in documents for piece in _segments(*d)])]
+        seen = sum(g.pairs for g in groups)
         theta = np.r_[self.weights, self.transition.ravel()]
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for i in range(1, rounds + 1):
             self.weights, self.transition = theta[: k + 3], theta[k + 3 :].reshape(2, 2)
-            p, expected, _ = chain.marginals(self.emission(tokens, numbers, n, bounds), self.transition, pairs=True)
-            rest = y - p
-            g = np.r_[np.bincount(numbers, rest[tokens], k), rest.sum(), (rest * left).sum(), (rest * right).sum(), (seen - expected).ravel()] - 0.1 * theta
+            g = -0.1 * theta
+            g[k + 3 :] += seen.ravel()
+            for group in groups:
+                at_tokens, transitions = group.gradient(self)
+                g[: k + 3] += at_tokens
+                g[k + 3 :] -= transitions.ravel()
             m, v = 0.8 * m + 0.2 * g, 0.95 * v + 0.05 * g * g
             theta = theta + 0.25 * (m / (1 - 0.8**i)) / (np.sqrt(v / (1 - 0.95**i)) + 1e-8)
         self.weights, self.transition = theta[: k + 3], theta[k + 3 :].reshape(2, 2)
-        x = self._summary(chain.marginals(self.emission(tokens, numbers, n, bounds), self.transition), bounds)
+        x, labels = [], []
+        for part in _groups(documents):
+            whole = _Group(self, part)
+            x.append(self._summary(whole.marginals(self), whole.bounds))
+            labels.append(whole.labels)
+        x, labels = np.concatenate(x), np.concatenate(labels)
         d = self.document
         for _ in range(200):  # Newton steps of a logistic regression
             q = _sigmoid(x @ d)
@@ -220,6 +224,57 @@ class Model:
         return _sigmoid(self._summary(p, chunk.bounds) @ self.document), p
 
 
+def _segments(label: int, n: int, tokens: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """A document in pieces of ``_SEGMENT`` tokens; tokens is ascending."""
+    for lo in range(0, n, _SEGMENT):
+        a, b = np.searchsorted(tokens, (lo, lo + _SEGMENT))
+        yield label, min(_SEGMENT, n - lo), tokens[a:b] - lo, numbers[a:b]
+
+
+def _groups(documents: list[tuple[int, int, np.ndarray, np.ndarray]]) -> Iterator[list]:
+    """Documents by length, as many at a time as stay under ``_GROUP_TOKENS``; a longer one alone."""
+    part, held = [], 0
+    for d in sorted(documents, key=lambda d: d[1]):
+        if part and held + d[1] > _GROUP_TOKENS:
+            yield part
+            part, held = [], 0
+        part.append(d)
+        held += d[1]
+    if part:
+        yield part
+
+
+class _Group:
+    """Training documents that are taken together, and the states their tokens are taught."""
+
+    def __init__(self, model: Model, documents: list[tuple[int, int, np.ndarray, np.ndarray]]):
+        self.labels = np.array([d[0] for d in documents], float)
+        self.bounds = np.r_[0, np.cumsum([d[1] for d in documents])].astype(np.int64)
+        self.n = int(self.bounds[-1])
+        self.tokens = np.concatenate([d[2].astype(np.int64) + lo for d, lo in zip(documents, self.bounds[:-1], strict=True)])
+        self.numbers = np.concatenate([d[3].astype(np.int64) for d in documents])
+        self.chain = Chain(self.bounds)
+        self.taught = np.zeros(self.n, bool)
+        self.taught[self.tokens[model.strong[self.numbers]]] = True
+        self.taught &= np.repeat(self.labels > 0, np.diff(self.bounds))
+        inner = np.ones(self.n, bool)
+        inner[self.bounds[:-1][self.bounds[:-1] < self.bounds[1:]]] = False
+        at = np.flatnonzero(inner)
+        self.pairs = np.bincount(2 * self.taught[at - 1].astype(np.int64) + self.taught[at], minlength=4).reshape(2, 2)
+
+    def marginals(self, model: Model) -> np.ndarray:
+        return self.chain.marginals(model.emission(self.tokens, self.numbers, self.n, self.bounds), model.transition)
+
+    def gradient(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
+        """(gradient of the token weights, expected transitions) of the log-likelihood."""
+        p, expected, _ = self.chain.marginals(model.emission(self.tokens, self.numbers, self.n, self.bounds), model.transition, pairs=True)
+        rest = self.taught - p
+        marked = np.zeros(self.n)
+        marked[self.tokens] = 1
+        left, right = model._neighbours(marked, self.bounds)
+        return np.r_[np.bincount(self.numbers, rest[self.tokens], len(model.lexicon)), rest.sum(), rest @ left, rest @ right], expected
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
@@ -262,15 +317,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column |
                 tokens, numbers = tokens[order], numbers[order]
                 edges = np.searchsorted(tokens, chunk.bounds)
                 part = batch.slice(chunk.first, chunk.n_docs)
-                places = [(tokens[a:b] - lo).tolist() for a, b, lo in zip(edges[:-1], edges[1:], chunk.bounds[:-1], strict=True)]
-                which = [numbers[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(np.diff(chunk.bounds)), pa.array(places, pa.list_(pa.int32())), pa.array(which, pa.list_(pa.int32()))], names=["doc_id", "y", "n", "places", "numbers"])
-
-    seen = sorted({(r.doc_id, r.y, r.n, tuple(r.places), tuple(r.numbers)) for r in rows.mapInArrow(hits, "doc_id long, y int, n long, places array<int>, numbers array<int>").collect()})
-    bounds = np.r_[0, np.cumsum([r[2] for r in seen])].astype(np.int64)
-    tokens = np.concatenate([np.array(r[3], np.int64) + lo for r, lo in zip(seen, bounds[:-1], strict=True)])
-    numbers = np.concatenate([np.array(r[4], np.int64) for r in seen])
-    model.fit(tokens, numbers, bounds, np.array([r[1] for r in seen], float))
+                places = [(tokens[a:b] - lo).astype(np.int32).tobytes() for a, b, lo in zip(edges[:-1], edges[1:], chunk.bounds[:-1], strict=True)]
+                which = [numbers[a:b].astype(np.int16).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(np.diff(chunk.bounds)), pa.array(places, pa.binary()), pa.array(which, pa.binary())], names=["doc_id", "y", "n", "places", "numbers"])
+
+    seen = sorted({(r.doc_id, r.y, r.n, bytes(r.places), bytes(r.numbers)) for r in rows.mapInArrow(hits, "doc_id long, y int, n long, places binary, numbers binary").toLocalIterator()})
+    model.fit([(y, n, np.frombuffer(places, np.int32), np.frombuffer(which, np.int16)) for _, y, n, places, which in seen])
     return model
 
 

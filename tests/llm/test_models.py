@@ -57,7 +57,7 @@ def test_toxicity_on_held_out_documents(spark):
 
 
 def test_toxicity_edge_cases(spark):
-    rows = [(i, "fine words here" if i % 2 else "such an idiot he is", "s") for i in range(60)]
+    rows = [(i, "he told them that she was a friend of mine" if i % 2 else "he told them that she was an idiot of mine", "s") for i in range(60)]
     odd = [(100, None, "s"), (101, "", "s"), (102, "!!! ---", "s"), (103, "w " * 30_000 + "idiot!", "s"), (103, "w " * 30_000 + "idiot!", "s"), (None, "x", "s")]
     docs = spark.createDataFrame(rows + odd, "doc_id long, text string, spans string")
     labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)] + [(None, 1), (100, None)], "doc_id long, toxic int")
@@ -142,14 +142,18 @@ def test_language_model_counts_and_base_scores(spark, monkeypatch):
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [None] for r in docs.collect()}
     counts = Counter(w for d, ws in texts.items() if zlib.crc32(str(d).encode()) % 5 != 1 for w in ws)
     n, v = sum(counts.values()), len(counts)
-    better = 0
     for r in got:
         own = texts[r.doc_id]
         base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(counts[w] > 0 for w in own), n)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
-        better += r.score > r.base_score
-    assert len(got) == len(texts) and better > 0.9 * len(got)
+    assert len(got) == len(texts)
+
+
+def test_language_model_on_held_out_documents(spark):
+    got = [r for r in queries.op6_language_model(spark, LARGER).collect() if r.held_out]
+    assert got and all(zlib.crc32(str(r.doc_id).encode()) % 5 == 1 for r in got)
+    assert sum(r.score > r.base_score for r in got) > 0.9 * len(got)
 
 
 def test_language_model_edge_cases(spark):
