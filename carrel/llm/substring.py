@@ -11,6 +11,9 @@ each hash and returns the places of larger ones. Before anything is sent, a task
 windows among the texts it holds at a time, so a passage that a third of all documents share
 reaches its block once a chunk and not once a document.
 
+Texts and the places found in them meet in buckets of documents. A task packs the texts for a bucket
+together and sends a text that it holds several times under one doc_id once, with its number.
+
 Cases: a null or wordless text has no words; equal windows of one doc_id, and so those of repeated
 rows, are no duplicates of each other; a null doc_id comes after all others and is not smaller than
 another null; an empty table gives an empty result; further columns are ignored.
@@ -26,14 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carrel.llm.words import chunks
+from carrel.llm.words import chunks, mix
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20  #: of text for each block of the index, at most as many as windows fit a task
 _CHUNK = 4 << 20
+_PACK_BYTES = 32 << 20  #: of texts that a task packs at a time
 _LAST = 2**63 - 1  #: stands for a null doc_id
 _SENT = "block int, docs binary, keys binary, counts binary, hashes binary, places binary"
 _NAMES = ["block", "docs", "keys", "counts", "hashes", "places"]
+_FOUND = "bucket int, docs binary, keys binary, counts binary, places binary"
+_PACKED = "bucket int, docs binary, keys binary, times binary, sizes binary, texts binary"
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -44,11 +50,24 @@ def _unpack(data: bytes, kind: str, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
 
 
+def _documents(ids: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """(ids as packed steps, keys, counts as packed numbers) of a message."""
+    with np.errstate(over="ignore"):
+        steps = np.diff(ids, prepend=np.int64(0))
+    return _pack(steps), keys.tobytes(), _pack(counts.astype(np.int32))
+
+
+def _read_documents(docs: bytes, keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    own = np.frombuffer(keys, np.int32)
+    with np.errstate(over="ignore"):
+        return np.cumsum(_unpack(docs, "i8", len(own)), dtype=np.int64), own, _unpack(counts, "i4", len(own))
+
+
 def _message(block: int, doc: np.ndarray, ids: np.ndarray, keys: np.ndarray, places: np.ndarray, hashes: np.ndarray | None) -> tuple:
     """A row for a block: windows (or, without hashes, settled duplicates) in document order."""
     used, counts = np.unique(doc, return_counts=True)
     steps = np.diff(places, prepend=0).astype(np.int32)
-    return block, ids[used].tobytes(), keys[used].tobytes(), counts.astype(np.int32).tobytes(), None if hashes is None else hashes.tobytes(), _pack(steps)
+    return block, *_documents(ids[used], keys[used], counts), None if hashes is None else hashes.tobytes(), _pack(steps)
 
 
 def _earlier(hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -91,29 +110,71 @@ def _send(batches: Iterator[pa.RecordBatch], window: int, blocks: int) -> Iterat
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_NAMES)
 
 
-def _settle(sent: pa.Table) -> pa.Table:
-    """One block: (doc_id, key, places) of the windows found with a smaller doc_id."""
-    ids, keys, places, hashes, known = [], [], [], [], []
+def _buckets(ids: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+    """Which bucket each document belongs to."""
+    return (mix(ids.view(np.uint64) ^ mix(keys.astype(np.uint64))) % np.uint64(n)).astype(np.int32)
+
+
+def _settle(sent: pa.Table, buckets: int) -> pa.Table:
+    """One block: (bucket, documents, places) of the windows found with a smaller doc_id."""
+    ids, keys, owner, places, hashes, known, held = [], [], [], [], [], [], 0
     for docs, own, counts, hashed, steps in zip(*(sent.column(n).to_pylist() for n in _NAMES[1:]), strict=True):
-        counts = np.frombuffer(counts, np.int32)
+        i, k, counts = _read_documents(docs, own, counts)
         total = int(counts.sum())
-        ids.append(np.repeat(np.frombuffer(docs, np.int64), counts))
-        keys.append(np.repeat(np.frombuffer(own, np.int64), counts))
-        places.append(np.cumsum(_unpack(steps, "i4", total)))
+        ids.append(i)
+        keys.append(k)
+        owner.append(np.repeat(np.arange(held, held + len(i), dtype=np.int32), counts))
+        places.append(np.cumsum(_unpack(steps, "i4", total), dtype=np.int32))
         known.append(np.full(total, hashed is None))
         hashes.append(np.zeros(total, np.uint64) if hashed is None else np.frombuffer(hashed, np.uint64))
-    ids, keys, places, hashes, found = map(np.concatenate, (ids, keys, places, hashes, known))
+        held += len(i)
+    ids, keys, owner, places, hashes, found = map(np.concatenate, (ids, keys, owner, places, hashes, known))
     asked = np.flatnonzero(~found)
     if len(asked):
-        found[asked] = _earlier(hashes[asked], ids[asked])
+        found[asked] = _earlier(hashes[asked], ids[owner[asked]])
+    del hashes, asked
     at = np.flatnonzero(found)
-    at = at[np.lexsort((keys[at], ids[at]))]
-    if not len(at):
-        return pa.table({"doc_id": pa.array([], pa.int64()), "key": pa.array([], pa.int64()), "places": pa.array([], pa.list_(pa.int32()))})
-    ids, keys = ids[at], keys[at]
-    head = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])])
-    lists = pa.ListArray.from_arrays(pa.array(np.r_[head, len(at)].astype(np.int32)), pa.array(places[at].astype(np.int32)))
-    return pa.table({"doc_id": ids[head], "key": keys[head], "places": lists})
+    bucket = _buckets(ids, keys, buckets)[owner[at]]
+    at = at[np.argsort(bucket, kind="stable")]
+    edges = np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))]
+    rows = []
+    for b in np.flatnonzero(np.diff(edges)).tolist():
+        own = at[edges[b] : edges[b + 1]]
+        used, counts = np.unique(owner[own], return_counts=True)
+        order = own[np.argsort(owner[own], kind="stable")]
+        rows.append((b, *_documents(ids[used], keys[used], counts), _pack(np.diff(places[order], prepend=np.int32(0)))))
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+    return pa.table([pa.array(c, k) for c, k in zip(columns, [pa.int32(), *[pa.binary()] * 4], strict=True)], names=["bucket", "docs", "keys", "counts", "places"])
+
+
+def _packs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Texts for each bucket: (bucket, ids, keys, how often each stands, sizes, texts)."""
+    held: dict[tuple[int | None, int, bytes], int] = {}
+    size = 0
+
+    def rows() -> pa.RecordBatch:
+        ids = np.array([_LAST if d is None else d for d, _, _ in held], np.int64)
+        keys = np.array([k for _, k, _ in held], np.int32)
+        bucket = _buckets(ids, keys, buckets)
+        texts, times = [t for _, _, t in held], np.array([-n if d is None else n for (d, _, _), n in held.items()], np.int32)
+        out = []
+        order = np.argsort(bucket, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            mine = [texts[i] for i in own]
+            docs, keyed, counts = _documents(ids[own], keys[own], times[own])
+            out.append((int(bucket[own[0]]), docs, keyed, counts, _pack(np.array([len(t) for t in mine], np.int32)), _pack(np.frombuffer(b"".join(mine), np.uint8))))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int32(), *[pa.binary()] * 5], strict=True)], names=["bucket", "docs", "keys", "times", "sizes", "texts"])
+
+    for batch in batches:
+        for doc_id, text, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            row = (doc_id, key, (text or "").encode())
+            size += 0 if row in held else len(row[2]) + 100
+            held[row] = held.get(row, 0) + 1
+            if size >= _PACK_BYTES:
+                yield rows()
+                held, size = {}, 0
+    if held:
+        yield rows()
 
 
 def factors(found: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
@@ -124,9 +185,9 @@ def factors(found: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]]:
     return list(zip(found[np.r_[0, breaks + 1]].tolist(), (found[np.r_[breaks, len(found) - 1]] + window).tolist(), strict=True))
 
 
-def remove(text: str | None, spans: list[tuple[int, int]]) -> tuple[int, list[bytes]]:
-    """(number of words, words outside all spans) of a text."""
-    words = (text or "").encode().split()
+def remove(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, list[bytes]]:
+    """(number of words, words outside all spans) of a text in UTF-8."""
+    words = text.split()
     kept, at = [], 0
     for lo, hi in spans:
         kept += words[at:lo]
@@ -134,36 +195,41 @@ def remove(text: str | None, spans: list[tuple[int, int]]) -> tuple[int, list[by
     return len(words), kept + words[at:]
 
 
-def found_windows(docs: DataFrame, window: int = WINDOW, blocks: int | None = None) -> DataFrame:
-    """(doc_id, key, lists of places) of documents that hold windows of a smaller doc_id.
-
-    docs: (doc_id long, text, key long); key tells rows of one doc_id apart.
-    """
-    spark = docs.sparkSession
-    if blocks is None:
-        total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_BYTES))
-    sent = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "text", "key").mapInArrow(lambda batches: _send(batches, window, blocks), _SENT)
-    settled = sent.groupBy("block").applyInArrow(_settle, "doc_id long, key long, places array<int>")
-    return settled.groupBy("doc_id", "key").agg(F.collect_list("places").alias("places"))
+def _cut(packed: pa.Table, found: pa.Table, window: int) -> pa.Table:
+    """One bucket: its texts without the words that found windows cover."""
+    places: dict[tuple[int, int], list[np.ndarray]] = {}
+    for docs, keys, counts, steps in zip(*(found.column(n).to_pylist() for n in ("docs", "keys", "counts", "places")), strict=True):
+        ids, own, counts = _read_documents(docs, keys, counts)
+        every = np.cumsum(_unpack(steps, "i4", int(counts.sum())), dtype=np.int32)
+        for i, k, part in zip(ids.tolist(), own.tolist(), np.split(every, np.cumsum(counts)[:-1]), strict=True):
+            places.setdefault((i, k), []).append(part)
+    out = []
+    for docs, keys, times, sizes, texts in zip(*(packed.column(n).to_pylist() for n in ("docs", "keys", "times", "sizes", "texts")), strict=True):
+        ids, own, times = _read_documents(docs, keys, times)
+        sizes = _unpack(sizes, "i4", len(ids))
+        ends = np.cumsum(sizes, dtype=np.int64)
+        data = _unpack(texts, "u1", int(ends[-1])).tobytes()
+        for i, k, n, size, end in zip(ids.tolist(), own.tolist(), times.tolist(), sizes.tolist(), ends.tolist(), strict=True):
+            hits = places.get((i, k))
+            spans = factors(np.unique(np.concatenate(hits)), window) if hits else []
+            total, kept = remove(data[end - size : end], spans)
+            joined = b" ".join(kept)
+            row = (None if n < 0 else i, total, total - len(kept), joined.decode(), hashlib.sha256(joined).hexdigest(), [{"first": a, "end": b} for a, b in spans])
+            out += [row] * abs(n)
+    columns = list(zip(*out, strict=True)) if out else [()] * 6
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "spans"])
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, blocks: int | None = None) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_text, spans) for each row of ``docs``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
-    found = found_windows(rows, window, blocks).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "places")
-    joined = rows.join(found, (F.coalesce("doc_id", F.lit(_LAST)) == F.col("_id")) & (F.col("key") == F.col("_key")), "left").select("doc_id", "text", "places")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, places in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                spans = factors(np.unique(np.concatenate([np.array(p, np.int64) for p in places])), window) if places else []
-                n, kept = remove(text, spans)
-                joined_words = b" ".join(kept)
-                out.append((n, n - len(kept), joined_words.decode(), hashlib.sha256(joined_words).hexdigest(), [{"first": a, "end": b} for a, b in spans]))
-            n, removed, kept_text, digest, spans = zip(*out, strict=True) if out else ([],) * 5
-            kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept_text, pa.string()), pa.array(digest, pa.string()), pa.array(spans, kind)], names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256", "spans"])
-
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first: int, end: int>>")
+    """(doc_id, n_words, n_removed, kept_text, kept_sha256, spans) for each row of ``docs``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("key"))
+    if blocks is None:
+        total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        blocks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_BYTES))
+    known = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST)))
+    sent = known.mapInArrow(lambda batches: _send(batches, window, blocks), _SENT)
+    found = sent.groupBy("block").applyInArrow(lambda t: _settle(t, blocks), _FOUND)
+    packed = rows.mapInArrow(lambda batches: _packs(batches, blocks), _PACKED)
+    both = packed.groupBy("bucket").cogroup(found.groupBy("bucket"))
+    return both.applyInArrow(lambda texts, places: _cut(texts, places, window), "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first: int, end: int>>")
