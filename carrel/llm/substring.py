@@ -33,8 +33,8 @@ from carrel.llm.words import chunks, mix
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20  #: of text for each block of the index, at most as many as windows fit a task
-_CHUNK = 4 << 20
-_PACK_BYTES = 32 << 20  #: of texts that a task packs at a time
+_CHUNK = 2 << 20
+_PACK_BYTES = 16 << 20  #: of texts that a task packs at a time
 _LAST = 2**63 - 1  #: stands for a null doc_id
 _SENT = "block int, docs binary, keys binary, counts binary, hashes binary, places binary"
 _NAMES = ["block", "docs", "keys", "counts", "hashes", "places"]
@@ -165,8 +165,8 @@ def _packs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             out.append((int(bucket[own[0]]), docs, keyed, counts, _pack(np.array([len(t) for t in mine], np.int32)), _pack(np.frombuffer(b"".join(mine), np.uint8))))
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int32(), *[pa.binary()] * 5], strict=True)], names=["bucket", "docs", "keys", "times", "sizes", "texts"])
 
-    for batch in batches:
-        for doc_id, text, key in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    for batch, lo in ((b, lo) for b in batches for lo in range(0, len(b), 256)):
+        for doc_id, text, key in zip(*(c.to_pylist() for c in batch.slice(lo, 256).columns), strict=True):
             row = (doc_id, key, (text or "").encode())
             size += 0 if row in held else len(row[2]) + 100
             held[row] = held.get(row, 0) + 1
