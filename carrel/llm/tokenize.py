@@ -184,7 +184,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
         if ids:
             yield flush()
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", "_text_key"]  # rows of one doc_id stand in the same order in every run
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_text_key")).repartitionByRange(*order).sortWithinPartitions(*order).drop("_text_key")
     table = stage(ordered.mapInArrow(run, "part int, seq int, path string, n_docs long, n_tokens long"), "token-files")
     parts = table.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = parts.select("part", (F.sum("_n").over(W.orderBy("part")) - F.col("_n")).alias("_before"))
