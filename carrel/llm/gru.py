@@ -115,7 +115,8 @@ class Network:
         """One pass of truncated backpropagation over the documents; returns the tokens used.
 
         The documents follow one another in parallel streams. The state is carried from window to
-        window and gradients stop at a window's first step.
+        window and gradients stop at a window's first step. The tokens that the streams leave over
+        follow the last stream, in windows of their own that count by their tokens.
         """
         if not docs:
             return 0
@@ -123,18 +124,22 @@ class Network:
         before = np.concatenate([np.r_[self.n_head + self.n_rare, d[:-1]] for d in docs])
         streams = max(1, min(streams, len(ids) // (steps * UPDATES)))
         n = len(ids) // streams
+        rest = slice(n * streams, None)
+        left, left_before = ids[rest, None], before[rest, None]
         ids, before = ids[: n * streams].reshape(streams, n).T, before[: n * streams].reshape(streams, n).T
+        windows = [(before[lo : lo + steps], ids[lo : lo + steps], 1.0) for lo in range(0, n, steps)]
+        windows += [(left_before[lo : lo + steps], left[lo : lo + steps], 1 / streams) for lo in range(0, len(left), steps)]
         h = np.zeros((streams, self.hidden), np.float32)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        for i, lo in enumerate(range(0, n, steps), 1):
-            h, gradients = self._window(before[lo : lo + steps], ids[lo : lo + steps], h)
+        for i, (prior, own, weight) in enumerate(windows, 1):
+            h, gradients = self._window(prior, own, h[-own.shape[1] :])
             for k, g in gradients.items():
-                g = np.clip(g, -1, 1)
+                g = np.clip(g, -1, 1) * np.float32(weight)
                 m[k] += 0.1 * (g - m[k])
                 s[k] += 0.01 * (g * g - s[k])
                 self.p[k] -= rate * (m[k] / (1 - 0.9**i)) / (np.sqrt(s[k] / (1 - 0.99**i)) + 1e-6)
-        return n * streams
+        return n * streams + len(left)
 
     def _window(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         n, p = self.hidden, self.p

@@ -2,9 +2,9 @@
 
 Counts of all tokens of all training documents give the unigram base score, the head vocabulary
 (the ``head`` most frequent words, modelled one by one), and the distribution within each class of
-rare words. The network's weights are trained on a fixed share of the training documents, chosen
-by a hash of doc_id, so this grows with the input as well: in each of ``ROUNDS`` rounds tasks train
-from the same weights on documents of that round, and the weights are averaged by their tokens.
+rare words. The network's weights are trained on every token of every training document once: a
+hash of doc_id deals the documents to ``ROUNDS`` rounds, in each of which tasks train from the same
+weights on documents of that round, and the weights are averaged by their tokens.
 
 A document's score is the log10 probability of all its tokens in order. The network pass looks up
 the most frequent words, at most ``known``, in a table sent to every task; the counts of all
@@ -33,8 +33,7 @@ from carrel.llm.words import Chunk, chunks
 HEAD = 1024
 KNOWN = 1 << 17
 RARE = 32
-SHARES = 16  #: one of so many training documents is in a round
-ROUNDS = 4
+ROUNDS = 4  #: each training document is in one of them
 TASK_TOKENS = 1 << 17
 END = 1
 _MERGE = 1 << 21
@@ -124,7 +123,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: int = KNOWN, rounds: int = ROUNDS, shares: int = SHARES) -> tuple[Model, DataFrame]:
+def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: int = KNOWN, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """(model, table of the counts (token, c) of all words that the model doesn't hold)."""
     spark = docs.sparkSession
     keep = ~held_out(F.col("doc_id")) if keep is None else keep
@@ -150,8 +149,8 @@ def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: in
     np.add.at(mass, top["rare"].to_numpy(np.int64)[: vocabulary.n_head], -(head_counts + 0.5))
     mass = np.maximum(mass, 0.5)
     model = Model(vocabulary, Network(head_counts, mass), mass, int(n), int(v))
-    order = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(shares))
-    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n) // shares // TASK_TOKENS))
+    order = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(rounds))
+    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n) // rounds // TASK_TOKENS))
     for i in range(rounds):
         held = spark.sparkContext.broadcast(model)
         trained = training.filter(order == i).select("text").repartition(tasks, F.xxhash64("text")).sortWithinPartitions(F.xxhash64("text"), "text").mapInArrow(lambda batches, held=held: _train(batches, held.value), "part int, tokens long, weights binary")

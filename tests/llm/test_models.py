@@ -135,6 +135,35 @@ def test_training_lowers_the_loss():
     assert n.log_likelihood(ids, bounds).sum() > 0.7 * before
 
 
+def test_training_takes_every_token():
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 5, k) for k in (12_000, 1, 130)]
+    n, seen = gru.Network(np.full(5, 2400), np.full(2, 0.5)), []
+    window = n._window
+    n._window = lambda before, ids, h: (seen.append(ids.size), window(before, ids, h))[1]
+    assert n.train(docs) == sum(seen) == 12_131 and 12_131 % 5  # five streams
+
+
+def test_every_training_document_is_in_one_round(spark, monkeypatch, tmp_path):
+    train = language_model._train
+
+    def noted(batches, model):
+        def each():
+            for batch in batches:
+                for t in batch.column(0).to_pylist():
+                    with open(f"{tmp_path}/{t}", "a") as f:
+                        f.write("x")
+                yield batch
+
+        return train(each(), model)
+
+    monkeypatch.setattr(language_model, "_train", noted)
+    docs = spark.createDataFrame([(i, f"d{i}") for i in range(200)], "doc_id long, text string")
+    language_model.fit(docs)
+    expected = {f"d{i}" for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1}
+    assert {p.name for p in tmp_path.iterdir()} == expected and {p.read_text() for p in tmp_path.iterdir()} == {"x"}
+
+
 def test_language_model_counts_and_base_scores(spark, monkeypatch):
     monkeypatch.setattr(language_model, "KNOWN", 300)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
