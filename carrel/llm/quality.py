@@ -8,10 +8,11 @@ compared with every labelled vector by exact cosine products in blocks, and its
 each with its similarity to a power.
 
 The labelled sample is bounded: at most ``sample`` documents (parameter), the same number of each
-label where there are enough, chosen by a hash of doc_id; the model sent to the executors has at
+label where there are enough, chosen by a hash of doc_id, and each counts by the share that its label
+has among all training rows, so scores don't depend on the sample; the model sent to the executors has at
 most sample * rank + terms * rank numbers, whatever the input.
 
-Cases: a null, empty or wordless text has no terms and gets the share of label 1 among the sample;
+Cases: a null, empty or wordless text has no terms and gets the share of label 1 among the training rows;
 without any labelled document every score is 0.5; conflicting labels of one doc_id count by their
 mean, 0.5 as 1; rows with a null doc_id or label don't train; repeated rows give repeated result
 rows; further columns are ignored.
@@ -76,23 +77,27 @@ def term_counts(chunk: Chunk) -> np.ndarray:
 
 
 class Model:
-    """Projection, labelled vectors and their labels; fit on term counts and labels 0/1."""
+    """Projection, labelled vectors and their labels; fit on term counts and labels 0/1.
 
-    def __init__(self, counts: np.ndarray, labels: np.ndarray, rank: int = RANK, neighbours: int = NEIGHBOURS):
+    weights: how much a row of label 0, and of label 1, counts.
+    """
+
+    def __init__(self, counts: np.ndarray, labels: np.ndarray, rank: int = RANK, neighbours: int = NEIGHBOURS, weights: tuple[float, float] = (1.0, 1.0)):
         used = counts.sum(axis=1) > 0
-        self.prior = float(labels.mean()) if len(labels) else 0.5
-        counts, labels = counts[used], labels[used].astype(np.float32)
-        self.labels = labels
+        each = np.where(labels > 0, weights[1], weights[0]).astype(np.float32)
+        self.prior = float(np.average(labels, weights=each)) if len(labels) else 0.5
+        counts, labels, each = counts[used], labels[used].astype(np.float32), each[used]
+        self.labels, self.each = labels, each
         self.neighbours = min(neighbours, len(labels))
         if not len(labels):
             return
-        self.idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1
+        self.idf = np.log((1 + each.sum()) / (1 + each @ (counts > 0))).astype(np.float32) + 0.1
         x = self._weighted(counts)
         rng = np.random.default_rng(7)
         basis = rng.standard_normal((TERMS, min(rank + 16, TERMS))).astype(np.float32)
         for _ in range(6):
-            basis, _ = np.linalg.qr(x.T @ (x @ basis))
-        _, _, v = np.linalg.svd(x @ basis, full_matrices=False)
+            basis, _ = np.linalg.qr(x.T @ (each[:, None] * (x @ basis)))
+        _, _, v = np.linalg.svd(np.sqrt(each)[:, None] * (x @ basis), full_matrices=False)
         self.projection = (basis @ v.T)[:, :rank].astype(np.float32)
         self.vectors = self._unit(x @ self.projection)
 
@@ -112,7 +117,7 @@ class Model:
             at = rows[lo : lo + 256]
             cosine = self._unit(self._weighted(counts[at]) @ self.projection) @ self.vectors.T
             near = np.argpartition(cosine, -self.neighbours, axis=1)[:, -self.neighbours :]
-            weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6) ** POWER
+            weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6) ** POWER * self.each[near]
             out[at] = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
         return np.clip(out, 0.0, 1.0)
 
@@ -121,10 +126,26 @@ def held_out(doc_id: Column, folds: int = 5, fold: int = 0) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(False))
 
 
+def _one_label(labels: DataFrame, label: str, keep: Column) -> DataFrame:
+    """(doc_id, y) of all training rows."""
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & keep)
+    return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
+
+
+def label_weights(labels: DataFrame, label: str, keep: Column, sample: int) -> tuple[float, float]:
+    """How much a row of each label of ``labelled_sample`` counts: its label's share of all rows by that of the sample.
+
+    The mean over the sample is 1.
+    """
+    count = {r.y: r.n for r in _one_label(labels, label, keep).groupBy("y").agg(F.count("*").alias("n")).collect()}
+    drawn = {y: min(n, sample // 2) for y, n in count.items()}
+    mean = sum(count.values()) / max(1, sum(drawn.values()))
+    return tuple(count[y] / drawn[y] / mean if drawn.get(y) else 1.0 for y in (0, 1))
+
+
 def labelled_sample(labels: DataFrame, label: str, keep: Column, sample: int) -> DataFrame:
     """(doc_id, y): at most sample / 2 ids of each label, those of the smallest hashes."""
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & keep)
-    one = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.avg(label) >= 0.5).cast("int").alias("y"))
+    one = _one_label(labels, label, keep)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     parts = [one.filter(F.col("y") == y).orderBy(*order).limit(sample // 2) for y in (0, 1)]
     return parts[0].unionByName(parts[1])
@@ -147,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", keep: Column
     found = rows.select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, counts binary").collect()
     found = sorted({(r[0], r[1], bytes(r[2])) for r in found})
     counts = np.array([np.frombuffer(zlib.decompress(r[2]), np.uint16) for r in found], np.float32).reshape(len(found), TERMS)
-    return Model(counts, np.array([r[1] for r in found], np.float32))
+    return Model(counts, np.array([r[1] for r in found], np.float32), weights=label_weights(labels, label, keep, sample))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

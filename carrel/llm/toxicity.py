@@ -11,7 +11,8 @@ Scoring runs forward-backward over every whole text. The marginals give the offs
 and, summed and maximised, two inputs of a logistic document score, fit on the same sample.
 
 The sample is bounded: at most ``sample`` labelled documents (parameter), half of each label where
-there are enough. The model holds at most ``max_features`` weights.
+there are enough; each counts by the share that its label has among all training rows, so scores
+don't depend on the sample. The model holds at most ``max_features`` weights.
 
 Cases: a null, empty or wordless text has no toxic token and gets the score of that; without toxic
 documents in the sample every score is the prior; conflicting labels of one doc_id count by their
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carrel.llm.quality import labelled_sample
+from carrel.llm.quality import label_weights, labelled_sample
 from carrel.llm.words import Chunk, chunks
 
 SAMPLE = 6000
@@ -74,10 +75,11 @@ class Chain:
         self.order, self.active = _packed_order(lengths)
         self.first, self.last = bounds[:-1][self.order], bounds[1:][self.order] - 1
 
-    def marginals(self, emission: np.ndarray, transition: np.ndarray, pairs: bool = False):
+    def marginals(self, emission: np.ndarray, transition: np.ndarray, pairs: bool = False, weight: np.ndarray | None = None):
         """Probability of state 1 at each token; with pairs also expected transition counts and log Z.
 
-        emission: score of state 1 over state 0 at each token; transition: 2 x 2 scores.
+        emission: score of state 1 over state 0 at each token; transition: 2 x 2 scores; weight: how
+        much the transition to each token counts, 1 unless given.
         """
         n = len(emission)
         w = np.exp(transition)
@@ -113,7 +115,7 @@ class Chain:
         at = np.flatnonzero(inner)
         left, right = forward[at - 1], e[at] * backward[at]
         joint = np.stack([w[0, 0] * np.ones(len(at)), w[0, 1] * right, w[1, 0] * left, w[1, 1] * left * right])
-        expected = (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        expected = (joint / joint.sum(axis=0) * (1.0 if weight is None else weight[at])).sum(axis=1).reshape(2, 2)
         return p, expected, log_z
 
 
@@ -164,15 +166,16 @@ class Model:
         np.add.at(out, tokens, self.weights[numbers])
         return out
 
-    def fit(self, documents: list[tuple[int, int, np.ndarray, np.ndarray]], rounds: int = 60) -> None:
+    def fit(self, documents: list[tuple[int, int, np.ndarray, np.ndarray]], rounds: int = 60, weights: tuple[float, float] = (1.0, 1.0)) -> None:
         """documents: (label, number of tokens, token of each kept feature, the feature's number).
 
         Chain weights are fit to segments of ``_SEGMENT`` tokens, which together are all tokens of
         all documents; document weights are fit to the marginals of whole documents. A bounded
-        number of tokens is taken at a time; only kept features are held for all of them.
+        number of tokens is taken at a time; only kept features are held for all of them. weights: how
+        much a document of label 0, and of label 1, counts.
         """
         k = len(self.lexicon)
-        groups = [_Group(self, part) for part in _groups([piece for d in documents for piece in _segments(*d)])]
+        groups = [_Group(self, part, weights) for part in _groups([piece for d in documents for piece in _segments(*d)])]
         seen = sum(g.pairs for g in groups)
         theta = np.r_[self.weights, self.transition.ravel()]
         m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -187,17 +190,18 @@ class Model:
             m, v = 0.8 * m + 0.2 * g, 0.95 * v + 0.05 * g * g
             theta = theta + 0.25 * (m / (1 - 0.8**i)) / (np.sqrt(v / (1 - 0.95**i)) + 1e-8)
         self.weights, self.transition = theta[: k + 3], theta[k + 3 :].reshape(2, 2)
-        x, labels = [], []
+        x, labels, each = [], [], []
         for part in _groups(documents):
-            whole = _Group(self, part)
+            whole = _Group(self, part, weights)
             x.append(self._summary(whole.marginals(self), whole.bounds))
             labels.append(whole.labels)
-        x, labels = np.concatenate(x), np.concatenate(labels)
+            each.append(whole.each)
+        x, labels, each = np.concatenate(x), np.concatenate(labels), np.concatenate(each)
         d = self.document
         for _ in range(200):  # Newton steps of a logistic regression
             q = _sigmoid(x @ d)
-            h = (x * (q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(3)
-            step = np.linalg.solve(h, x.T @ (labels - q) - 0.05 * d)
+            h = (x * (each * q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(3)
+            step = np.linalg.solve(h, x.T @ (each * (labels - q)) - 0.05 * d)
             d = d + step
             if np.abs(step).max() < 1e-9:
                 break
@@ -247,28 +251,30 @@ def _groups(documents: list[tuple[int, int, np.ndarray, np.ndarray]]) -> Iterato
 class _Group:
     """Training documents that are taken together, and the states their tokens are taught."""
 
-    def __init__(self, model: Model, documents: list[tuple[int, int, np.ndarray, np.ndarray]]):
+    def __init__(self, model: Model, documents: list[tuple[int, int, np.ndarray, np.ndarray]], weights: tuple[float, float]):
         self.labels = np.array([d[0] for d in documents], float)
+        self.each = np.where(self.labels > 0, weights[1], weights[0])
         self.bounds = np.r_[0, np.cumsum([d[1] for d in documents])].astype(np.int64)
         self.n = int(self.bounds[-1])
         self.tokens = np.concatenate([d[2].astype(np.int64) + lo for d, lo in zip(documents, self.bounds[:-1], strict=True)])
         self.numbers = np.concatenate([d[3].astype(np.int64) for d in documents])
         self.chain = Chain(self.bounds)
+        self.weight = np.repeat(self.each, np.diff(self.bounds))
         self.taught = np.zeros(self.n, bool)
         self.taught[self.tokens[model.strong[self.numbers]]] = True
         self.taught &= np.repeat(self.labels > 0, np.diff(self.bounds))
         inner = np.ones(self.n, bool)
         inner[self.bounds[:-1][self.bounds[:-1] < self.bounds[1:]]] = False
         at = np.flatnonzero(inner)
-        self.pairs = np.bincount(2 * self.taught[at - 1].astype(np.int64) + self.taught[at], minlength=4).reshape(2, 2)
+        self.pairs = np.bincount(2 * self.taught[at - 1].astype(np.int64) + self.taught[at], self.weight[at], minlength=4).reshape(2, 2)
 
     def marginals(self, model: Model) -> np.ndarray:
         return self.chain.marginals(model.emission(self.tokens, self.numbers, self.n, self.bounds), model.transition)
 
     def gradient(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
         """(gradient of the token weights, expected transitions) of the log-likelihood."""
-        p, expected, _ = self.chain.marginals(model.emission(self.tokens, self.numbers, self.n, self.bounds), model.transition, pairs=True)
-        rest = self.taught - p
+        p, expected, _ = self.chain.marginals(model.emission(self.tokens, self.numbers, self.n, self.bounds), model.transition, pairs=True, weight=self.weight)
+        rest = (self.taught - p) * self.weight
         marked = np.zeros(self.n)
         marked[self.tokens] = 1
         left, right = model._neighbours(marked, self.bounds)
@@ -300,7 +306,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column |
     counts = rows.mapInArrow(count, "feature long, bad long, n long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     n_docs, n_bad = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     n_good = n_docs - n_bad
-    prior = (n_bad + 1) / (n_docs + 2)
+    weights = label_weights(labels, label, keep, sample)
+    prior = (weights[1] * n_bad + 1) / (weights[0] * n_good + weights[1] * n_bad + 2)
     odds = F.log((F.col("bad") + 0.5) / (n_bad + 1.0)) - F.log((F.col("n") - F.col("bad") + 0.5) / (n_good + 1.0))
     best = counts.filter(F.col("bad") >= least_docs).withColumn("odds", odds).filter(F.col("odds") >= strong / 2)
     kept = best.orderBy(F.desc("odds"), F.desc("bad"), "feature").limit(max_features).collect()
@@ -322,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column |
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(np.diff(chunk.bounds)), pa.array(places, pa.binary()), pa.array(which, pa.binary())], names=["doc_id", "y", "n", "places", "numbers"])
 
     seen = sorted({(r.doc_id, r.y, r.n, bytes(r.places), bytes(r.numbers)) for r in rows.mapInArrow(hits, "doc_id long, y int, n long, places binary, numbers binary").toLocalIterator()})
-    model.fit([(y, n, np.frombuffer(places, np.int32), np.frombuffer(which, np.int16)) for _, y, n, places, which in seen])
+    model.fit([(y, n, np.frombuffer(places, np.int32), np.frombuffer(which, np.int16)) for _, y, n, places, which in seen], weights=weights)
     return model
 
 

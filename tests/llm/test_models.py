@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from carrel.llm import gru, language_model, queries, toxicity, words
+from carrel.llm import gru, language_model, quality, queries, toxicity, words
 from tests.compare import check
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -69,6 +69,29 @@ def test_toxicity_edge_cases(spark):
     assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()} == {0.5}
 
 
+def test_scores_do_not_depend_on_the_sample(spark):
+    clean, bad = "he told them that she was a friend of mine", "he told them that she was an idiot of mine"
+    rows = [(i, "" if i % 40 == 9 else bad if i % 10 == 0 or i % 40 == 1 else clean) for i in range(1_200)]
+    docs = spark.createDataFrame([*rows, (5_001, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 if i % 10 == 0 else 0, 0 if i % 10 == 0 else 1) for i, _ in rows], "doc_id long, toxic int, quality int")
+    share = {True: [], False: []}
+    logit = lambda p: math.log(p / (1 - p))
+    for sample in (10_000, 100):
+        model = toxicity.fit(docs, labels, sample=sample)
+        by = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+        share[True].append(logit(by[0]))  # a text that stands under both labels, 4 to 1
+        share[False].append({r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, labels, sample=sample)).collect()}[5_001])
+    assert abs(share[True][0] - share[True][1]) < 0.8 and abs(share[True][0] - math.log(4)) < 0.8, share
+    assert abs(share[False][0] - share[False][1]) < 0.02 and share[False][0] > 0.85
+
+
+def test_votes_count_by_label_shares():
+    counts = np.random.default_rng(1).integers(0, 5, (20, quality.TERMS)).astype(np.float32)
+    counts[:] = counts[0]
+    model = quality.Model(counts, np.repeat([0, 1], 10), neighbours=20, weights=(0.2, 1.8))
+    assert np.allclose(model.scores(counts[:1]), 0.9) and math.isclose(model.prior, 0.9, rel_tol=1e-6)
+
+
 def plain_network(n, ids):
     """Step by step, one document, with the distribution over all classes and words summed."""
     p, h, total = n.p, np.zeros(n.hidden), 0.0
