@@ -82,20 +82,9 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataF
     """
     fps = stage(fingerprints(docs, shingle), "simhash")
     classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
-    members = connected(links(classes, radius))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = connected(links(classes.repartition(tasks, "fp"), radius))
     owned = classes.join(members.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
     smallest = owned.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = stage(owned.join(smallest, "component").select("fp", "component_id"), "simhash-named")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest doc_id.
-
-    Of rows that repeat the kept doc_id one stays. Rows without a doc_id can't be told apart by
-    one and all stay.
-    """
-    found = near_duplicates(docs, radius, shingle)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.filter(F.col("doc_id").isNull()))
