@@ -8,7 +8,8 @@ import pytest
 from carrel.llm import decontaminate, quality, queries
 from carrel.sources.staging import stage
 
-from tests.llm.test_first_five import plain_components, plain_fingerprint, shingles
+from tests.llm.test_first_five import shingles
+from tests.llm.test_near_copies import kept_by_all_pairs
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,8 +42,8 @@ def test_classifier_drops_what_it_scores_low(spark, stages):
 
 def test_one_of_each_group_of_near_duplicates_stays(stages):
     given, kept, _ = stages[1]
-    component = plain_components([(r.doc_id, plain_fingerprint(r.text)) for r in given])
-    assert sorted(r.doc_id for r in kept) == sorted(set(component.values())) and len(kept) < len(given)
+    expected = kept_by_all_pairs([(r.doc_id, r.text) for r in given])
+    assert sorted(r.doc_id for r in kept) == sorted(d for d, _ in expected) and len(kept) < len(given)
     assert {tuple(r) for r in kept} <= {tuple(r) for r in given}
 
 
