@@ -13,6 +13,7 @@ and codes, bitmap and ranks of each level.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import numpy as np
 
@@ -45,40 +46,57 @@ def encode(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
     return b"".join([MAGIC, len(head).to_bytes(8, "little"), head, *(x.tobytes() for x in sections.values())])
 
 
+def within(data: bytes) -> Callable[[int, int], memoryview]:
+    """The read function of a file that is in memory."""
+    view = memoryview(data)
+    return lambda offset, n: view[offset : offset + n]
+
+
 class Reader:
-    """Random access to a file's tokens; ``read(offset, n)`` gives bytes of it."""
+    """Random access to a file's tokens; ``read(offset, n)`` gives n bytes of it from offset.
 
-    def __init__(self, data: bytes | memoryview):
-        view = memoryview(data)
-        if bytes(view[:8]) != MAGIC:
+    Opening reads the header and the documents' sections. A token takes a read of its code, of its
+    mark's block and of one entry of the rank directory for each level it has.
+    """
+
+    def __init__(self, read: Callable[[int, int], bytes | memoryview]):
+        self._read, self._sections = read, {}
+        head = read(0, 16)
+        if bytes(head[:8]) != MAGIC:
             raise ValueError("not a file of directly addressable codes")
-        at = 16 + int.from_bytes(view[8:16], "little")
-        found = {}
-        for name, kind, n in json.loads(bytes(view[16:at])):
-            found[name] = np.frombuffer(view, kind, n, at)
+        size = int.from_bytes(head[8:16], "little")
+        at = 16 + size
+        for name, kind, n in json.loads(bytes(read(16, size))):
+            self._sections[name] = (at, np.dtype(kind), n)
             at += n * np.dtype(kind).itemsize
-        self.doc_id, self.known, self.first = found["doc_id"], found["known"], found["first"]
-        self.levels = [(found[f"codes{j}"], found[f"marks{j}"], found[f"ranks{j}"]) for j in range(sum(n.startswith("codes") for n in found))]
+        self.doc_id, self.known, self.first = (self._part(name) for name in ("doc_id", "known", "first"))
+        self.n_levels = sum(n.startswith("codes") for n in self._sections)
+
+    def _part(self, name: str, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Entries lo to hi - 1 of a section."""
+        at, kind, n = self._sections[name]
+        hi = n if hi is None else min(hi, n)
+        return np.frombuffer(self._read(at + lo * kind.itemsize, max(0, hi - lo) * kind.itemsize), kind)
 
     def __len__(self) -> int:
-        return len(self.levels[0][0])
+        return self._sections["codes0"][2]
 
     def _rank(self, level: int, i: int) -> int:
         """Marks before place i of a level."""
-        _, marks, ranks = self.levels[level]
         block = i // _BLOCK
         lo, hi = block * _BLOCK // 8, i // 8
-        part = int(_ONES[marks[lo:hi]].sum())
+        marks = self._part(f"marks{level}", lo, hi + 1)
+        part = int(_ONES[marks[: hi - lo]].sum())
         if i % 8:
-            part += int(_ONES[marks[hi] & ((1 << i % 8) - 1)])
-        return int(ranks[block]) + part
+            part += int(_ONES[marks[hi - lo] & ((1 << i % 8) - 1)])
+        return int(self._part(f"ranks{level}", block, block + 1)[0]) + part
 
     def token(self, i: int) -> int:
         """The i-th id of the file."""
         value = 0
-        for level, (codes, marks, _) in enumerate(self.levels):
-            value |= int(codes[i]) << (8 * level)
-            if not marks[i // 8] >> (i % 8) & 1:
+        for level in range(self.n_levels):
+            value |= int(self._part(f"codes{level}", i, i + 1)[0]) << (8 * level)
+            if not self._part(f"marks{level}", i // 8, i // 8 + 1)[0] >> (i % 8) & 1:
                 break
             i = self._rank(level, i)
         return value
@@ -87,11 +105,12 @@ class Reader:
         """The ids lo to hi - 1: a run of places on a level is a run of places on the next."""
         out = np.zeros(hi - lo, np.uint32)
         at = np.arange(hi - lo)
-        for level, (codes, marks, _) in enumerate(self.levels):
+        for level in range(self.n_levels):
             if hi <= lo:
                 break
-            out[at] |= codes[lo:hi].astype(np.uint32) << np.uint32(8 * level)
-            more = np.unpackbits(marks[lo // 8 : (hi + 7) // 8], bitorder="little")[lo % 8 : lo % 8 + hi - lo].astype(bool)
+            out[at] |= self._part(f"codes{level}", lo, hi).astype(np.uint32) << np.uint32(8 * level)
+            marks = self._part(f"marks{level}", lo // 8, (hi + 7) // 8)
+            more = np.unpackbits(marks, bitorder="little")[lo % 8 : lo % 8 + hi - lo].astype(bool)
             at = at[more]
             if not len(at):
                 break

@@ -6,7 +6,9 @@ kept as Parquet. Readers get a row for each file and open it where they run.
 
 The tokenizer sees a piece of text once for each worker that holds it: a text falls apart, before every space
 and line break that follow no white space, into pieces that the tokenizer's pre-tokenization never
-joins. Texts with other runs of white space are encoded as one piece.
+joins. Texts with other runs of white space are encoded as one piece, as are those that hold one of the
+tokenizer's added tokens (such as its end of text), which become their ids as the tokenizers library has it.
+Pieces are looked up by hash and compared byte by byte, so none gets the ids of another.
 
 Cases: a null or empty text has the end id only; repeated rows are encoded each; rows with a null
 doc_id come first; an empty table gives no file; further columns are ignored.
@@ -27,9 +29,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carrel.llm import dac
-from carrel.llm.files import read_whole, write_whole
+from carrel.llm.files import read_range, read_whole, write_whole
 from carrel.sources.staging import fresh_dir, stage
-from carrel.llm.words import Chunk, chunks, mix
+from carrel.llm.words import Chunk, chunks, mix, same_bytes
 
 END = 2
 FILE_TOKENS = 4_000_000
@@ -37,11 +39,15 @@ _CACHED_PIECES = 3_000_000
 _SPACE, _LINE, _NONE = 0, 1, 2  #: before a piece's word: a space, a line break, the start of the text
 
 
+def _room(x: np.ndarray, need: int) -> np.ndarray:
+    return x if need <= len(x) else np.r_[x, np.zeros(max(len(x), need), x.dtype)]
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, which encodes each distinct piece once.
 
-    Pieces are known by 64-bit hashes; ``keys`` is sorted, and first and count give the ids of each
-    in ``flat``. A count of -1 marks a piece whose texts are encoded whole.
+    Pieces are known by 64-bit hashes; ``keys`` is sorted, first and count give the ids of each
+    in ``flat``, and text and size its word in ``bytes``. A count of -1 marks a piece whose texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -49,11 +55,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.line = self.whole("\n")
-        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.used = 0
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.keys = np.zeros(0, np.uint64)
+        self.first, self.count, self.text, self.size = (np.zeros(0, np.int64) for _ in range(4))
+        self.flat, self.bytes = np.zeros(1 << 20, np.uint32), np.zeros(1 << 20, np.uint8)
+        self.used = self.used_bytes = 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -81,8 +88,7 @@ class Encoder:
             own = [i for i in np.flatnonzero(kind == k).tolist() if words[i].strip() == words[i]]
             ids, n = self._pieces([words[i] for i in own], head)
             need = self.used + len(ids)
-            if need > len(self.flat):
-                self.flat = np.r_[self.flat, np.zeros(max(len(self.flat), need), np.uint32)]
+            self.flat = _room(self.flat, need)
             self.flat[self.used : need] = ids
             drop = int(k == _NONE) * len(self.line)  # the line break before it is no part of the text
             firsts[own] = self.used + np.cumsum(n) - n + drop
@@ -91,27 +97,55 @@ class Encoder:
         return firsts, counts
 
     def _entries(self, chunk: Chunk, key: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first, count) of every word's ids."""
+        """(first, count) of every word's ids; a word whose hash is that of another has the count -1."""
         wanted, where, number = np.unique(key, return_index=True, return_inverse=True)
+        start, end = chunk.start[where], chunk.end[where]
         at = np.searchsorted(self.keys, wanted)
         known = np.zeros(len(wanted), bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == wanted[inside]
         first, count = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
-        first[known], count[known] = self.first[at[known]], self.count[at[known]]
+        old = np.flatnonzero(known)
+        first[old], count[old] = self.first[at[old]], self.count[at[old]]
+        false = self.size[at[old]] != end[old] - start[old]
+        like = old[~false]
+        false[~false] = ~same_bytes(chunk.data, start[like], end[like], self.bytes, self.text[at[like]])
+        count[old[false]] = -1
         new = np.flatnonzero(~known)
         if len(new):
             data = chunk.data.tobytes()
-            words = [data[a:b].decode() for a, b in zip(chunk.start[where[new]].tolist(), chunk.end[where[new]].tolist(), strict=True)]
+            found = [data[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
             full, used = len(self.keys) + len(new) > _CACHED_PIECES, self.used
-            first[new], count[new] = self._learn(wanted[new], words, kind[where[new]])
+            first[new], count[new] = self._learn(wanted[new], [w.decode() for w in found], kind[where[new]])
             if full:  # what came first is what comes most; the rest isn't kept
                 self.used = used
             else:
+                size = end[new] - start[new]
+                need = self.used_bytes + int(size.sum())
+                self.bytes = _room(self.bytes, need)
+                self.bytes[self.used_bytes : need] = np.frombuffer(b"".join(found), np.uint8)
+                text = self.used_bytes + np.cumsum(size) - size
+                self.used_bytes = need
                 self.keys = np.insert(self.keys, at[new], wanted[new])
-                self.first = np.insert(self.first, at[new], first[new])
-                self.count = np.insert(self.count, at[new], count[new])
-        return first[number], count[number]
+                for name, values in (("first", first[new]), ("count", count[new]), ("text", text), ("size", size)):
+                    setattr(self, name, np.insert(getattr(self, name), at[new], values))
+        counts = count[number]
+        size = end - start
+        counts[chunk.end - chunk.start != size[number]] = -1
+        like = np.flatnonzero(counts >= 0)
+        counts[like[~same_bytes(chunk.data, chunk.start[like], chunk.end[like], chunk.data, start[number[like]])]] = -1
+        return first[number], counts
+
+    def _with_added(self, chunk: Chunk) -> np.ndarray:
+        """Which documents hold an added token."""
+        found, data = np.zeros(chunk.n_docs, bool), chunk.data.tobytes()
+        for token in self.added:
+            at = data.find(token)
+            while at >= 0:
+                i = int(np.searchsorted(chunk.doc_bytes, at, "right")) - 1
+                found[i] = True
+                at = data.find(token, max(at + 1, int(chunk.doc_bytes[i + 1]) - len(token) + 1))
+        return found
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text in turn, null as empty."""
@@ -133,10 +167,11 @@ class Encoder:
             total = int(ends[-1]) if len(ends) else 0
             ids = self.flat[np.repeat(first - (ends - np.maximum(count, 0)), np.maximum(count, 0)) + np.arange(total)]
             starts = np.r_[0, ends]
+            added = self._with_added(chunk)
             for i in range(chunk.n_docs):
                 lo, hi = bounds[i], bounds[i + 1]
                 tail = chunk.doc_bytes[i + 1] - (end[hi - 1] if hi > lo else chunk.doc_bytes[i])
-                if tail or bad[hi] > bad[lo]:
+                if tail or added[i] or bad[hi] > bad[lo]:
                     yield self.whole(texts[chunk.first + i].as_py())
                 else:
                     yield ids[starts[lo] : starts[hi]]
@@ -156,7 +191,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     """Writes the files and returns their table: (part, seq, path, n_docs, n_tokens, start).
 
     ``tokenizer`` is the path of a tokenizers file on every executor; start counts the ids of all
-    files before.
+    files before. The windows that add them up see a row for each part and for each file of one, no documents.
     """
     folder = folder or fresh_dir(docs.sparkSession, "tokens")
 
@@ -193,13 +228,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     return table.withColumn("_inside", inside).join(before, "part").select(*table.columns, (F.col("_before") + F.col("_inside")).alias("start"))
 
 
+def opened(path: str) -> dac.Reader:
+    """Random access to a file by range reads: the header, then the bytes that a token or document needs."""
+    return dac.Reader(lambda offset, n: read_range(path, offset, n))
+
+
 def read_tokens(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the files of the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                reader = dac.Reader(read_whole(path))
+                reader = dac.Reader(dac.within(read_whole(path)))  # every token is wanted; for a few, see ``opened``
                 n = len(reader.doc_id)
                 sums = [zlib.crc32(reader.document(i).astype("<u4").tobytes()) for i in range(n)]
                 yield pa.RecordBatch.from_arrays([pa.array(reader.doc_id, mask=reader.known == 0), pa.array(reader.first[:-1] + start), pa.array(np.diff(reader.first)), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])

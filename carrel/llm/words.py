@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 21
+_COMPARED = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
@@ -88,6 +89,23 @@ class Chunk:
         return at, mix(total[at] + _U(k))
 
 
+def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether data[start[i]:end[i]] stands at other[at[i]], for each i; the ranges lie inside both."""
+    size = (end - start).astype(np.int64)
+    same = np.ones(len(size), bool)
+    lo = 0
+    edges = np.r_[0, np.cumsum(size)]
+    while lo < len(size):  # a bounded number of bytes at a time
+        hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + _COMPARED, "right")) - 1)
+        own = np.arange(edges[hi] - edges[lo])
+        left = np.repeat(start[lo:hi] - (edges[lo:hi] - edges[lo]), size[lo:hi])
+        right = np.repeat(at[lo:hi] - (edges[lo:hi] - edges[lo]), size[lo:hi])
+        differ = np.flatnonzero(data[left + own] != other[right + own])
+        same[lo + np.searchsorted(edges[lo : hi + 1] - edges[lo], differ, "right") - 1] = False
+        lo = hi
+    return same
+
+
 def chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """Splits a column of texts (null: empty) into chunks; a text is never divided."""
     if isinstance(texts, pa.ChunkedArray):

@@ -152,14 +152,13 @@ def test_mix_edge_cases(spark):
     assert mixing.mixed(spark.createDataFrame([(1, "", "en", "a", 0)], DOCS)).count() == 0
 
 
-ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "a\n\nb", "\n", "\na", "a\n", "a\t\n\tb", "don't I'll 12ab !? x", "ä ö   b", "<|endoftext|> x<|endoftext|>", "日本語 テキスト\n二行", "x" * 5000, "a\r\nb c", "\x1f a", "a \u2003b c", "é́ ​", "a\u00a0 \u00a0b", "a b\u3000", "\u3000a b"]
+ODD = ["", " ", "a", " a", "a ", "a  b", "a\nb", "a \nb", "a\n b", "a\n\nb", "\n", "\na", "a\n", "a\t\n\tb", "don't I'll 12ab !? x", "ä ö   b", "<|endoftext|> x<|endoftext|>", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>\nb <|endoftext|>", "<|endoftext", "|>", "<|endoftext|> a", "a <|endoftext|>", "日本語 テキスト\n二行", "x" * 5000, "a\r\nb c", "\x1f a", "a \u2003b c", "é́ ​", "a\u00a0 \u00a0b", "a b\u3000", "\u3000a b"]
 
 
 def test_pieces_encode_as_whole_texts(spark):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(queries.TOKENIZER)
-    plain.encode_special_tokens = True
     texts = ODD + [r["text"] for r in documents(spark)] + ODD
     got = list(tokenize.Encoder(queries.TOKENIZER).encode(pa.array(texts)))
     for text, ids in zip(texts, got, strict=True):
@@ -189,11 +188,43 @@ def test_tokens_edge_cases(spark):
     assert tokenize.read_tokens(tokenize.write_tokens(empty, queries.TOKENIZER)).count() == 0
 
 
+def test_random_access_through_range_reads(spark):
+    rows = [(i, r["text"]) for i, r in enumerate(documents(spark)[:20])]
+    files = tokenize.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), queries.TOKENIZER, file_tokens=2000)
+    encoder = tokenize.Encoder(queries.TOKENIZER)
+    for row in files.collect():
+        reader = tokenize.opened(row.path)
+        for i, doc_id in enumerate(reader.doc_id.tolist()):
+            ids = [*encoder.whole(rows[doc_id][1]).tolist(), tokenize.END]
+            lo = int(reader.first[i])
+            assert reader.document(i).tolist() == ids
+            assert [reader.token(lo + j) for j in range(0, len(ids), 11)] == ids[::11]
+
+
+def test_words_of_equal_hashes_are_told_apart(monkeypatch):
+    from carrel.llm.words import Chunk
+
+    monkeypatch.setattr(Chunk, "hashes", lambda self, lower, start=None, end=None: (self.end - self.start).astype(np.uint64))
+    encoder = tokenize.Encoder(queries.TOKENIZER)
+    texts = ["ab cd ab", "cd ab", "xyz", "ab abc"]
+    for text, ids in zip(texts * 2, list(encoder.encode(pa.array(texts))) + list(encoder.encode(pa.array(texts))), strict=True):
+        assert ids.tolist() == encoder.whole(text).tolist()
+
+
 def test_codes_are_directly_addressable():
     rng = np.random.default_rng(3)
     docs = [rng.integers(0, top, n).astype(np.uint32) for top, n in ((200, 50), (60_000, 3000), (2**32, 700), (5, 0))]
-    reader = dac.Reader(dac.encode([4, 5, None, 9], docs))
+    data = dac.encode([4, 5, None, 9], docs)
+    taken = []
+
+    def read(offset, n):
+        taken.append(n)
+        return data[offset : offset + n]
+
+    reader = dac.Reader(read)
+    opening, before = sum(taken), len(taken)
     ids = np.concatenate(docs)
+    assert reader.token(3000) == ids[3000] and opening + sum(taken[before:]) < 1000  # no block is decoded for one token
     assert len(reader) == len(ids) and reader.known.tolist() == [1, 1, 0, 1]
     assert [reader.token(i) for i in range(0, len(ids), 7)] == ids[::7].tolist()
     for i, own in enumerate(docs):
