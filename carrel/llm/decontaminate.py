@@ -10,13 +10,15 @@ this partition can lack at the threshold, plus one. A document at or over the th
 holds a sketch hash of the item, however long it is, and the search loses no pair. Documents that
 hold one are candidates, which exact containment of the shingles verifies.
 
-The item index is sent to all tasks only while its items number at most ``broadcast_items``;
-beyond that, document shingles and sketches meet in a shuffle.
+The item index is sent to all tasks only while its items number at most ``broadcast_items`` and
+their texts hold at most ``broadcast_bytes``; beyond that, document shingles and sketches meet in a
+shuffle, and the texts of the pairs that met are compared.
 
 Cases: a null or wordless item leaks nowhere, a null or wordless document holds none; repeated
 documents and items give one row for each distinct pair of ids; items that share an item_id count
 as one text each; null ids are kept as values; empty tables give an empty result; further columns
-are ignored.
+are ignored. ``clean`` judges rows by themselves: a clean row stays whatever its doc_id, and also if
+another row has the same or none either.
 """
 
 from __future__ import annotations
@@ -26,15 +28,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carrel.llm.words import chunks
+from carrel.sources.staging import stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BROADCAST_ITEMS = 20_000
+BROADCAST_BYTES = 16 << 20
 
 _FOUND = "doc_id long, item long, n_shared long"
 
@@ -60,6 +64,14 @@ def item_shingles(text: str | None, k: int = SHINGLE) -> tuple[int, set[int]]:
     return 0, set()
 
 
+def _grams(text: str | None, size: int) -> set[int]:
+    """Hashes of the distinct runs of so many words of a text."""
+    found: set[int] = set()
+    for chunk in chunks(pa.array([text], pa.string())):
+        found.update(chunk.windows(chunk.hashes(lower=True), size)[1].tolist())
+    return found
+
+
 class Index:
     """Sketch hashes to items, and all shingles of each item."""
 
@@ -142,35 +154,63 @@ def _shingled(rows: DataFrame, key: str, sizes: list[int] | None, k: int) -> Dat
     return rows.select(key, "text").mapInArrow(run, f"{key} {kind}, size int, gram long").distinct()
 
 
+def _key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def _by_shuffle(docs: DataFrame, items: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(doc_id, item, n_shared) with sketches and shingles as tables; items (item, text)."""
-    full = _shingled(items, "item", None, k)
+    """(key, doc_id, item, n_shared) by tables of shingles and sketches; items (item, text); key: a hash of doc_id and text."""
+    full = stage(_shingled(items, "item", None, k), "leak-items")
     counts = full.groupBy("item").agg(F.count("*").alias("n"))
-    least = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * F.col("n") - 1e-9))
     top = F.pow(F.lit(2), F.ceil(F.log2("n"))).cast("long")
     lack = F.least(F.col("n"), top - F.greatest(F.lit(1), F.ceil(F.lit(threshold) * top - 1e-9)) + 1)
     sketches = full.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("gram", "size"))).alias("grams")).join(counts, "item").select("item", F.explode(F.slice("grams", F.lit(1), lack.cast("int"))).alias("s")).select("item", "s.size", "s.gram")
-    grams = _shingled(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", list(range(1, k + 1)), k)
-    candidates = grams.join(sketches, ["size", "gram"]).select("doc_id", "item").distinct()
-    shared = candidates.join(full, "item").join(grams, ["doc_id", "size", "gram"]).groupBy("doc_id", "item").agg(F.count("*").alias("n_shared"))
-    return shared.join(counts, "item").filter(F.col("n_shared") >= least).select("doc_id", "item", "n_shared")
+    sizes = sorted(r["size"] for r in full.select("size").distinct().collect())
+    rows = docs.select(_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    grams = _shingled(rows, "key", sizes, k)
+    met = stage(grams.join(sketches, ["size", "gram"]).select("key", "item").distinct(), "leak-pairs")
+    texts = rows.join(met.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    both = met.join(texts, "key").join(items.withColumnRenamed("text", "wanted"), "item")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared = []
+            for text, wanted in zip(batch.column(3), batch.column(4), strict=True):
+                size, own = item_shingles(wanted.as_py(), k)
+                n = len(own & _grams(text.as_py(), size))
+                shared.append(n if n >= needed(len(own), threshold) else None)
+            found = pa.array(shared, pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], names=["key", "doc_id", "item", "n_shared"]).filter(found.is_valid())
+
+    return both.select("key", "doc_id", "item", "text", "wanted").mapInArrow(run, "key long, doc_id long, item long, n_shared long")
+
 
+def _held(benchmark: DataFrame, broadcast_items: int, broadcast_bytes: int) -> list[tuple[int, str | None]] | None:
+    """The distinct items (item_id, text) in order, or None if they are too many to send."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if n > broadcast_items or size > broadcast_bytes:
+        return None
+    return sorted(set(map(tuple, items.collect())), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
 
-def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, broadcast_items: int = BROADCAST_ITEMS) -> DataFrame:
+
+def _numbered(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct().withColumn("item", F.xxhash64("item_id", "text"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, broadcast_items: int = BROADCAST_ITEMS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, item_id, n_shared, n_shingles, containment): each document with each item that leaked into it."""
     spark = docs.sparkSession
-    first = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").limit(broadcast_items + 1).collect()
-    if len(first) <= broadcast_items:
-        items = [(r[0], r[1]) for r in sorted(set(map(tuple, first)), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))]
+    items = _held(benchmark, broadcast_items, broadcast_bytes)
+    if items is not None:
         rows = [(n, item_id, len(item_shingles(text, k)[1])) for n, (item_id, text) in enumerate(items)]
         found = _by_broadcast(docs, items, k, threshold)
-    else:
-        numbered = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct().withColumn("item", F.xxhash64("item_id", "text"))
-        found = _by_shuffle(docs, numbered.select("item", "text"), k, threshold)
-        sizes = _shingled(numbered.select("item", "text"), "item", None, k).groupBy("item").agg(F.count("*").alias("n_shingles"))
-        return _report(found, numbered.select("item", "item_id").join(sizes, "item"))
-    schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", T.LongType()), T.StructField("n_shingles", T.LongType())])
-    return _report(found, F.broadcast(spark.createDataFrame(rows, schema)))
+        schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", T.LongType()), T.StructField("n_shingles", T.LongType())])
+        return _report(found, F.broadcast(spark.createDataFrame(rows, schema)))  # a row for each of a bounded number of items
+    numbered = stage(_numbered(benchmark), "leak-texts")
+    found = _by_shuffle(docs, numbered.select("item", "text"), k, threshold)
+    sizes = _shingled(numbered.select("item", "text"), "item", None, k).groupBy("item").agg(F.count("*").alias("n_shingles"))
+    return _report(found, numbered.select("item", "item_id").join(sizes, "item"))
 
 
 def _report(found: DataFrame, items: DataFrame) -> DataFrame:
@@ -179,7 +219,25 @@ def _report(found: DataFrame, items: DataFrame) -> DataFrame:
     return best.groupBy("doc_id", "item_id").agg(top).select("doc_id", "item_id", "top.n_shared", "top.n_shingles", "top.containment")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those into which an item leaked."""
-    leaked = leaks(docs, benchmark, k, threshold).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, k: int = SHINGLE, threshold: float = THRESHOLD, broadcast_items: int = BROADCAST_ITEMS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``docs`` without the rows into which an item leaked.
+
+    While the items can be sent to all tasks, batches of whole rows are filtered and nothing is joined.
+    """
+    items = _held(benchmark, broadcast_items, broadcast_bytes)
+    if items is None:
+        found = _by_shuffle(docs, _numbered(benchmark).select("item", "text"), k, threshold)
+        name = "_leaked"
+        while name in docs.columns:
+            name += "_"
+        return docs.withColumn(name, _key()).join(found.select(F.col("key").alias(name)).distinct(), name, "left_anti").select(*docs.columns)
+    held = docs.sparkSession.sparkContext.broadcast(Index(items, k, threshold))
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            keep[[row for row, _, _ in _search(held.value, batch.column(place))]] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -105,7 +105,23 @@ def test_decontamination_is_exact_containment(spark, limit):
     got = decontaminate.leaks(docs, bench, broadcast_items=limit).collect()
     assert {(r.doc_id, r.item_id) for r in got} == expected and len(got) == len(expected)
     assert (9000, 0) in expected and (9001, 0) not in expected and (9003, 500) in expected
-    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {d["doc_id"] for d in rows} - {d for d, _ in expected}
+    assert {r.doc_id for r in decontaminate.clean(docs, bench, broadcast_items=limit).collect()} == {d["doc_id"] for d in rows} - {d for d, _ in expected}
+
+
+@pytest.mark.parametrize("limit", [20_000, 0])
+def test_clean_judges_rows_by_themselves(spark, limit):
+    leaked, clean = "a text that holds the item of the test set as it is", "a text that holds nothing of the kind at all here"
+    rows = [(None, leaked, 1, 2), (None, clean, 1, 2), (None, clean, 1, 2), (5, leaked, 1, 2), (5, clean, 1, 2), (5, clean, 9, 2), (6, None, 1, 2), (7, "", 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _leaked long, key long")
+    bench = spark.createDataFrame([(1, "holds the item of the test set"), (2, None), (3, "")], "item_id long, text string")
+    got = decontaminate.clean(docs, bench, broadcast_items=limit)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted((r for r in rows if r[1] != leaked), key=str)
+    found = decontaminate.leaks(docs, bench, broadcast_items=limit).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in found), key=str) == [(5, 1), (None, 1)]
+    for a, b in ((docs.limit(0), bench), (docs, bench.limit(0)), (docs.limit(0), bench.limit(0))):
+        assert decontaminate.leaks(a, b, broadcast_items=limit).count() == 0
+        assert decontaminate.clean(a, b, broadcast_items=limit).count() == a.count()
 
 
 def all_grams(text, k):
