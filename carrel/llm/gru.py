@@ -12,11 +12,12 @@ import numpy as np
 
 HIDDEN = 16
 WIDTH = 32
-STREAMS = 64
+STREAMS = 256
 STEPS = 16
-RATE = 0.01
+RATE = 0.02
 UPDATES = 128  #: windows in each stream at least; few tokens make fewer streams
-_OUTPUT_ROWS = 1 << 15
+_OUTPUT_ROWS = 1 << 13
+_TOGETHER = 1024  #: documents that advance together, those of like length
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -28,6 +29,12 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 class Network:
     """Parameters by name; ``flat`` and ``load`` turn them into one array and back."""
 
@@ -69,47 +76,56 @@ class Network:
         new = np.tanh(x[:, 2 * n :] + r * inner)
         return new + z * (h - new), z, r, inner, new
 
+    def _by_class(self, which: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of head words in the order of their classes, and where each class begins."""
+        head = np.flatnonzero(~rare)
+        head = head[np.argsort(which[head], kind="stable")]
+        return head, np.searchsorted(which[head], np.arange(self.n_classes + 1))
+
     def _log_p(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each id, rare classes as a whole, after state h."""
         rare = ids >= self.n_head
         which = np.where(rare, ids - self.n_head + self.n_classes, ids // self.width)
         out = _log_softmax(h @ self.p["class_w"] + self.p["class_b"])[np.arange(len(ids)), which]
-        head = np.flatnonzero(~rare)
-        head = head[np.argsort(which[head], kind="stable")]
-        edges = np.searchsorted(which[head], np.arange(self.n_classes + 1))
-        for c in range(self.n_classes):
-            at = head[edges[c] : edges[c + 1]]
-            if len(at):
-                inner = _log_softmax(h[at] @ self.p["word_w"][c] + self.p["word_b"][c])
-                out[at] += inner[np.arange(len(at)), ids[at] % self.width]
+        head, edges = self._by_class(which, rare)
+        states, words = h[head], ids[head] % self.width
+        inner = np.empty(len(head), h.dtype)
+        for c in np.flatnonzero(np.diff(edges)).tolist():
+            at = slice(edges[c], edges[c + 1])
+            inner[at] = _log_softmax(states[at] @ self.p["word_w"][c] + self.p["word_b"][c])[np.arange(edges[c + 1] - edges[c]), words[at]]
+        out[head] += inner
         return out
 
     def log_likelihood(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Natural log-likelihood of each whole document ids[bounds[i]:bounds[i + 1]].
 
-        All documents advance together, a token at a time; the state of each is carried through the
-        windows of steps after which the output layer is applied to what has gathered.
+        Documents of like length advance together, a token at a time; the state of each is carried
+        through the windows of steps after which the output layer is applied to what has gathered.
         """
         lengths = np.diff(bounds)
-        order = np.argsort(-lengths, kind="stable")
-        active = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), "left")
-        first = bounds[:-1][order]
+        ordered = np.argsort(-lengths, kind="stable")
         table = self.p["x"] + self.p["bias"]
-        h = np.zeros((len(lengths), self.hidden), np.float32)
         total = np.zeros(len(lengths))
-        states, wanted, owners, held = [], [], [], 0
-        for t, k in enumerate(active):
-            x = np.broadcast_to(table[-1], (k, table.shape[1])) if t == 0 else table[ids[first[:k] + t - 1]]
-            h = self._step(x, h[:k])[0]
-            states.append(h)
-            wanted.append(ids[first[:k] + t])
-            owners.append(order[:k])
-            held += k
-            if held >= _OUTPUT_ROWS or t == len(active) - 1:
-                found = self._log_p(np.concatenate(states), np.concatenate(wanted))
-                total += np.bincount(np.concatenate(owners), found, len(total))
-                states, wanted, owners, held = [], [], [], 0
-        return total
+        for lo in range(0, len(ordered), _TOGETHER):
+            order = ordered[lo : lo + _TOGETHER]
+            active = np.searchsorted(-lengths[order], -np.arange(int(lengths[order[0]])), "left")
+            first = bounds[:-1][order]
+            h = np.zeros((len(order), self.hidden), np.float32)
+            states, wanted, owners, held = [], [], [], 0
+            for t, k in enumerate(active.tolist()):
+                x = np.broadcast_to(table[-1], (k, table.shape[1])) if t == 0 else table[ids[first[:k] + t - 1]]
+                h = self._step(x, h[:k])[0]
+                states.append(h)
+                wanted.append(ids[first[:k] + t])
+                owners.append(np.arange(k))
+                held += k
+                if held >= _OUTPUT_ROWS or t == len(active) - 1:
+                    found = self._log_p(np.concatenate(states), np.concatenate(wanted))
+                    total[lo : lo + len(order)] += np.bincount(np.concatenate(owners), found, len(order))
+                    states, wanted, owners, held = [], [], [], 0
+        out = np.empty_like(total)
+        out[ordered] = total
+        return out
 
     def train(self, docs: list[np.ndarray], rate: float = RATE, streams: int = STREAMS, steps: int = STEPS) -> int:
         """One pass of truncated backpropagation over the documents; returns the tokens used.
@@ -143,34 +159,34 @@ class Network:
 
     def _window(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         n, p = self.hidden, self.p
-        steps, states = [], []
-        start = self.n_head + self.n_rare
-        for row in before:
-            h = np.where((row == start)[:, None], np.float32(0), h)
-            new_h, z, r, inner, new = self._step(p["x"][row] + p["bias"], h)
-            steps.append((h, z, r, inner, new))
-            h = new_h
-            states.append(h)
-        hs, wanted = np.concatenate(states), ids.ravel()
-        d_h, g = self._output_gradients(hs, wanted)
-        d_h = d_h.reshape(len(ids), -1, n)
-        d_x = np.empty((len(ids), ids.shape[1], 3 * n), np.float32)
-        g["u"] = np.zeros_like(p["u"])
-        carry = np.zeros_like(h)
+        x = p["x"][before] + p["bias"]
+        carried = (before != self.n_head + self.n_rare).astype(x.dtype)[:, :, None]  # 0 at the start of a document
+        prior, states, z, r, inner, new = (np.empty((*ids.shape, n), x.dtype) for _ in range(6))
+        for t in range(len(ids)):
+            prior[t] = h * carried[t]
+            h, z[t], r[t], inner[t], new[t] = self._step(x[t], prior[t])
+            states[t] = h
+        d_h, g = self._output_gradients(states.reshape(-1, n), ids.ravel())
+        d_h = d_h.reshape(states.shape)
+        by_new, by_z, by_r = (1 - z) * (1 - new * new), (prior - new) * z * (1 - z), inner * r * (1 - r)
+        d_a, d_new = np.empty((*ids.shape, 3 * n), x.dtype), np.empty_like(new)
+        carry, back = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
         for t in range(len(ids) - 1, -1, -1):
-            prior, z, r, inner, new = steps[t]
             d = d_h[t] + carry
-            d_new = d * (1 - z) * (1 - new * new)
-            d_z = d * (prior - new) * z * (1 - z)
-            d_r = d_new * inner * r * (1 - r)
-            d_x[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            d_a = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            g["u"] += prior.T @ d_a
-            carry = np.where((before[t] == start)[:, None], np.float32(0), d * z + d_a @ p["u"].T)
-        flat = d_x.reshape(-1, 3 * n)
+            d_new[t] = d * by_new[t]
+            d_a[t, :, :n] = d * by_z[t]
+            d_a[t, :, n : 2 * n] = d_new[t] * by_r[t]
+            d_a[t, :, 2 * n :] = d_new[t] * r[t]
+            carry = (d * z[t] + d_a[t] @ back) * carried[t]
+        g["u"] = prior.reshape(-1, n).T @ d_a.reshape(-1, 3 * n)
+        d_a[:, :, 2 * n :] = d_new
+        flat = d_a.reshape(-1, 3 * n)
         g["bias"] = flat.sum(axis=0)
         g["x"] = np.zeros_like(p["x"])
-        np.add.at(g["x"], before.ravel(), flat)
+        order = np.argsort(before.ravel(), kind="stable")
+        used = before.ravel()[order]
+        heads = np.flatnonzero(np.r_[True, used[1:] != used[:-1]])
+        g["x"][used[heads]] = np.add.reduceat(flat[order], heads, axis=0)
         return h, g
 
     def _output_gradients(self, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -178,21 +194,21 @@ class Network:
         p, scale = self.p, np.float32(1 / ids.size * STEPS)
         rare = ids >= self.n_head
         which = np.where(rare, ids - self.n_head + self.n_classes, ids // self.width)
-        d = np.exp(_log_softmax(h @ p["class_w"] + p["class_b"]))
+        d = _softmax(h @ p["class_w"] + p["class_b"])
         d[np.arange(len(ids)), which] -= 1
         d *= scale
         g = {"class_w": h.T @ d, "class_b": d.sum(axis=0), "word_w": np.zeros_like(p["word_w"]), "word_b": np.zeros_like(p["word_b"])}
         d_h = d @ p["class_w"].T
-        head = np.flatnonzero(~rare)
-        head = head[np.argsort(which[head], kind="stable")]
-        edges = np.searchsorted(which[head], np.arange(self.n_classes + 1))
-        for c in range(self.n_classes):
-            at = head[edges[c] : edges[c + 1]]
-            if len(at):
-                e = np.exp(_log_softmax(h[at] @ p["word_w"][c] + p["word_b"][c]))
-                e[np.arange(len(at)), ids[at] % self.width] -= 1
-                e *= scale
-                g["word_w"][c] = h[at].T @ e
-                g["word_b"][c] = e.sum(axis=0)
-                d_h[at] += e @ p["word_w"][c].T
+        head, edges = self._by_class(which, rare)
+        states, words = h[head], ids[head] % self.width
+        d_states = np.empty_like(states)
+        for c in np.flatnonzero(np.diff(edges)).tolist():
+            at = slice(edges[c], edges[c + 1])
+            e = _softmax(states[at] @ p["word_w"][c] + p["word_b"][c])
+            e[np.arange(len(e)), words[at]] -= 1
+            e *= scale
+            g["word_w"][c] = states[at].T @ e
+            g["word_b"][c] = e.sum(axis=0)
+            d_states[at] = e @ p["word_w"][c].T
+        d_h[head] += d_states
         return d_h, g

@@ -3,11 +3,12 @@
 Counts of all tokens of all training documents give the unigram base score, the head vocabulary
 (the ``head`` most frequent words, modelled one by one), and the distribution within each class of
 rare words. The network's weights are trained on every token of every training document once: a
-hash of doc_id deals the documents to ``ROUNDS`` rounds, in each of which tasks train from the same
-weights on documents of that round, and the weights are averaged by their tokens.
+hash of doc_id and text deals the documents to ``rounds`` rounds and, within each, to groups of about
+``group_tokens`` tokens. The groups of a round train from the same weights, which are then averaged by
+their tokens. Rounds and groups depend on the documents alone, not on the cluster.
 
 A document's score is the log10 probability of all its tokens in order. The network pass looks up
-the most frequent words, at most ``known``, in a table sent to every task; the counts of all
+the most frequent words, about ``known``, in a table sent to every task; the counts of all
 other words are joined to the documents that hold them.
 
 Words are told apart by 64-bit hashes. Cases: a null or wordless text is its end token alone;
@@ -18,27 +19,28 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carrel.llm.gru import Network
+from carrel.llm.gru import HIDDEN, Network
 from carrel.sources.staging import stage
-from carrel.llm.words import Chunk, chunks
+from carrel.llm.words import Chunk, chunks, mix
 
 HEAD = 1024
 KNOWN = 1 << 17
 RARE = 32
 ROUNDS = 4  #: each training document is in one of them
-TASK_TOKENS = 1 << 17
+GROUP_TOKENS = 1 << 19
 END = 1
 _MERGE = 1 << 21
 _PARTS = 32  #: of the weights, averaged apart from one another
-_LEVELS = 16  #: of counts for each doubling; words are held by whole levels, the most frequent first
+_LEVELS = 16  #: of counts for each doubling; words are held by levels, the most frequent first
 
 
 def _sequence(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,8 +125,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: int = KNOWN, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """(model, table of the counts (token, c) of all words that the model doesn't hold)."""
+def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: int = KNOWN, rounds: int = ROUNDS, hidden: int = HIDDEN, group_tokens: int = GROUP_TOKENS) -> tuple[Model, DataFrame]:
+    """(model, table of the counts (token, c) of all words that the model doesn't hold).
+
+    Of the first count level that ``known`` has no room for, about as many words as it has are held.
+    """
     spark = docs.sparkSession
     keep = ~held_out(F.col("doc_id")) if keep is None else keep
     training = docs.filter(keep)
@@ -133,13 +138,15 @@ def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: in
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     level = F.floor(F.log2("c") * _LEVELS).cast("int")
     sizes = sorted(words.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect(), reverse=True)
-    least, held_words = 1 << 20, 0
+    least, cut, room = 1 << 20, 0, known
     for r in sizes:
-        held_words += r.n
-        if held_words > known:
+        if r.n > room:  # of the first level that doesn't fit, the share that does, by hash
+            cut = (room << 20) // r.n
             break
-        least = r.level
-    top = words.filter(level >= least).toPandas().sort_values(["c", "token"], ascending=[False, True])
+        least, room = r.level, room - r.n
+    below = max((r.level for r in sizes if r.level < least), default=-1)
+    kept = (level >= least) | ((level == below) & (F.pmod("token", F.lit(1 << 20)) < cut))
+    top = words.filter(kept).toPandas().sort_values(["c", "token"], ascending=[False, True])
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     vocabulary = Vocabulary(tokens, top["c"].to_numpy(np.int64), head)
     head_counts = vocabulary.counts[: vocabulary.n_head]
@@ -148,29 +155,40 @@ def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: in
         mass[r.rare] += r.mass
     np.add.at(mass, top["rare"].to_numpy(np.int64)[: vocabulary.n_head], -(head_counts + 0.5))
     mass = np.maximum(mass, 0.5)
-    model = Model(vocabulary, Network(head_counts, mass), mass, int(n), int(v))
-    order = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(rounds))
-    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n) // rounds // TASK_TOKENS))
+    model = Model(vocabulary, Network(head_counts, mass, hidden), mass, int(n), int(v))
+    groups = max(1, int(n) // rounds // group_tokens)
+    sent = spark.sparkContext.broadcast(model)
+    numbered = stage(training.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(lambda batches: _numbered(batches, sent.value, rounds, groups), "round int, group int, key long, ids binary"), "lm-ids")
     for i in range(rounds):
-        held = spark.sparkContext.broadcast(model)
-        trained = training.filter(order == i).select("text").repartition(tasks, F.xxhash64("text")).sortWithinPartitions(F.xxhash64("text"), "text").mapInArrow(lambda batches, held=held: _train(batches, held.value), "part int, tokens long, weights binary")
-        parts = trained.groupBy("part").applyInArrow(_average, "part int, weights binary").collect()
+        trained = numbered.filter(F.col("round") == i).groupBy("group").applyInArrow(_trainer(spark.sparkContext.broadcast(model.network)), "part int, tokens long, weights binary")
+        parts = trained.groupBy("part").applyInArrow(_average, "part int, weights binary").collect()  # one network, whatever the input
         if parts:
             model.network.load(np.concatenate([np.frombuffer(r.weights, np.float64) for r in sorted(parts)]))
-    return model, words.filter(level < least).select("token", "c")
+    return model, words.filter(~kept).select("token", "c")
 
 
-def _train(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    network, docs = model.network, []
+def _numbered(batches: Iterator[pa.RecordBatch], model: Model, rounds: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """(round, group, key, ids) of each training document."""
     for batch in batches:
-        for chunk in chunks(batch.column(0)):
+        for chunk in chunks(batch.column(1)):
             tokens, rare, bounds = _sequence(chunk)
-            ids = model.ids(model.vocabulary.find(tokens), rare)
-            docs += np.split(ids, bounds[1:-1])
-    used = network.train(docs)
-    if used:
-        parts = np.array_split(network.flat(), _PARTS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(_PARTS), pa.int32()), pa.array([used] * _PARTS, pa.int64()), pa.array([w.tobytes() for w in parts], pa.binary())], names=["part", "tokens", "weights"])
+            data = model.ids(model.vocabulary.find(tokens), rare).astype("<i4").tobytes()
+            key = batch.column(0).slice(chunk.first, chunk.n_docs)
+            dealt = mix(key.to_numpy().view(np.uint64)) % np.uint64(rounds * groups)
+            ids = [data[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array((dealt % np.uint64(rounds)).astype(np.int32)), pa.array((dealt // np.uint64(rounds)).astype(np.int32)), key, pa.array(ids, pa.binary())], names=["round", "group", "key", "ids"])
+
+
+def _trainer(held: Broadcast) -> Callable[[pa.Table], pa.Table]:
+    return lambda rows: _train(rows, held.value)
+
+
+def _train(rows: pa.Table, network: Network) -> pa.Table:
+    """The weights after one group of documents, which stand in an order of their own."""
+    order = pc.sort_indices(rows, [("key", "ascending"), ("ids", "ascending")])
+    used = network.train([np.frombuffer(x.as_buffer(), "<i4") for x in rows.column("ids").take(order)])
+    parts = np.array_split(network.flat(), _PARTS)
+    return pa.table({"part": pa.array(range(_PARTS), pa.int32()), "tokens": pa.array([used] * _PARTS, pa.int64()), "weights": pa.array([w.tobytes() for w in parts], pa.binary())})
 
 
 def _average(rows: pa.Table) -> pa.Table:

@@ -170,23 +170,42 @@ def test_training_takes_every_token():
 def test_every_training_document_is_in_one_round(spark, monkeypatch, tmp_path):
     train = language_model._train
 
-    def noted(batches, model):
-        def each():
-            for batch in batches:
-                for t in batch.column(0).to_pylist():
-                    with open(f"{tmp_path}/{t}", "a") as f:
-                        f.write("x")
-                yield batch
-
-        return train(each(), model)
+    def noted(rows, network):
+        for key in rows.column("key").to_pylist():
+            with open(f"{tmp_path}/{key}", "a") as f:
+                f.write("x")
+        return train(rows, network)
 
     monkeypatch.setattr(language_model, "_train", noted)
     docs = spark.createDataFrame([(i, f"d{i}") for i in range(200)], "doc_id long, text string")
-    language_model.fit(docs)
-    expected = {f"d{i}" for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1}
+    language_model.fit(docs, group_tokens=20)
+    keys = {r.doc_id: r.key for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text) AS key").collect()}
+    expected = {str(k) for i, k in keys.items() if zlib.crc32(str(i).encode()) % 5 != 1}
     assert {p.name for p in tmp_path.iterdir()} == expected and {p.read_text() for p in tmp_path.iterdir()} == {"x"}
 
 
+def test_scores_do_not_depend_on_the_cluster(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("3", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            rows = docs.repartition(int(n), "lang")
+            found.append({r.doc_id: r.score for r in language_model.score(rows, *language_model.fit(rows, group_tokens=4000)).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0].keys() == found[1].keys()
+    assert all(math.isclose(found[0][d], found[1][d], rel_tol=1e-6) for d in found[0])
+
+
+def test_a_head_where_all_words_are_equally_frequent(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(40)], "doc_id long, text string")
+    model, rest = language_model.fit(docs, known=100, head=50)
+    assert model.vocabulary.n_head == 50 and 50 <= len(model.vocabulary.counts) <= 150
+    got = language_model.score(docs, model, rest).collect()
+    assert all(r.n_known == (1 if zlib.crc32(str(r.doc_id).encode()) % 5 == 1 else 31) for r in got)
+
+
 def test_language_model_counts_and_base_scores(spark, monkeypatch):
     monkeypatch.setattr(language_model, "KNOWN", 300)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
