@@ -3,16 +3,17 @@
 A source's target is its weighted share of the mix, at most ``max_epochs`` times its size; what is
 over the clamp is dealt again by weight among the sources below theirs, until none is above. The
 documents of a source then repeat as often as whole targets ask for; the rest of the target is
-filled in an order seeded by the hash of doc_id: documents count fully while they fit, and the one
+filled in an order seeded by the hash of doc_id and text: documents count fully while they fit, and the one
 document on the boundary counts for the words that are left, so taken words miss the target by
 less than one word.
 
 The running total over a source is two sums: within one of 4096 hash buckets, and over a source's
-bucket totals. No source, however large, is brought together in one task.
+bucket totals. No source, however large, is brought together in one task. The windows over bucket totals and
+over sources see one row for each bucket of a source (4096 at most) and one for each source.
 
 Cases: a null or wordless text has size zero and is never taken; null is a source of its own, after
-all others; a null doc_id is ordered as an empty one; repeated rows are separate documents, ordered
-by a further hash of their text; an empty table gives an empty result; further columns are ignored
+all others; a null doc_id is ordered as an empty one; repeated rows are separate documents, which
+can't be told apart; an empty table gives an empty result; further columns are ignored
 by ``mix`` and kept by ``mixed``.
 """
 
@@ -56,9 +57,9 @@ def water_fill(sources: DataFrame, share: float = SHARE, max_epochs: int = MAX_E
 
 
 def _keys(seed: str) -> list[Column]:
-    key = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
     source = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
-    return [source.alias("_source"), F.substring(key, 1, BUCKET_DIGITS).alias("_bucket"), key.alias("_key"), F.xxhash64("text").alias("_text_key")]
+    return [source.alias("_source"), F.substring(key, 1, BUCKET_DIGITS).alias("_bucket"), key.alias("_key")]
 
 
 def _plan(sized: DataFrame, weights: tuple[float, ...], share: float, max_epochs: int) -> DataFrame:
@@ -76,8 +77,8 @@ def _plan(sized: DataFrame, weights: tuple[float, ...], share: float, max_epochs
 def _taken(docs: DataFrame, weights: tuple[float, ...], share: float, max_epochs: int, seed: str, keep: list[str]) -> DataFrame:
     sized = docs.withColumns({"size": n_words()}).select("*", *_keys(seed))
     plan = _plan(sized, weights, share, max_epochs)
-    joined = sized.select(*keep, "size", "_source", "_bucket", "_key", "_text_key").join(plan, ["_source", "_bucket"])
-    inside = W.partitionBy("_source", "_bucket").orderBy("_key", "_text_key").rowsBetween(W.unboundedPreceding, -1)
+    joined = sized.select(*keep, "size", "_source", "_bucket", "_key").join(plan, ["_source", "_bucket"])
+    inside = W.partitionBy("_source", "_bucket").orderBy("_key").rowsBetween(W.unboundedPreceding, -1)
     start = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     whole = F.floor(F.col("target") / F.col("source_size"))
     left = F.floor(F.col("target")) - whole * F.col("source_size")

@@ -14,7 +14,7 @@ most sample * rank + terms * rank numbers, whatever the input.
 
 Cases: a null, empty or wordless text has no terms and gets the share of label 1 among the training rows;
 without any labelled document every score is 0.5; conflicting labels of one doc_id count by their
-mean, 0.5 as 1; rows with a null doc_id or label don't train; repeated rows give repeated result
+mean, 0.5 as 1; a doc_id trains once, by one of its texts; rows with a null doc_id or label don't train; repeated rows give repeated result
 rows; further columns are ignored.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carrel.llm.words import Chunk, chunks
+from carrel.sources.staging import stage
 
 SAMPLE = 4096
 RANK = 48
@@ -151,11 +152,22 @@ def labelled_sample(labels: DataFrame, label: str, keep: Column, sample: int) ->
     return parts[0].unionByName(parts[1])
 
 
+def training_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, text, y): one row for each chosen id that ``docs`` has, however often it has it.
+
+    Of several texts of one id the one of the smallest hash trains. Staged: it is read more than once.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    least = rows.groupBy("doc_id", "y").agg(F.min(F.xxhash64("text")).alias("_hash"))
+    same = rows.join(F.broadcast(least), ["doc_id", "y"]).filter(F.xxhash64("text") == F.col("_hash"))
+    return stage(same.select("doc_id", "text", "y").dropDuplicates(["doc_id"]), "labelled")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", keep: Column | None = None, sample: int = SAMPLE) -> Model:
     """Trains on labelled documents for which ``keep`` (a condition on doc_id) holds."""
     keep = ~held_out(F.col("doc_id")) if keep is None else keep
     chosen = labelled_sample(labels, label, keep, sample)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    rows = training_rows(docs, chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", keep: Column
                 part = batch.slice(chunk.first, chunk.n_docs)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(packed, pa.binary())], names=["doc_id", "y", "counts"])
 
-    found = rows.select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, counts binary").collect()
+    found = rows.mapInArrow(run, "doc_id long, y int, counts binary").collect()  # at most ``sample`` rows
     found = sorted({(r[0], r[1], bytes(r[2])) for r in found})
     counts = np.array([np.frombuffer(zlib.decompress(r[2]), np.uint16) for r in found], np.float32).reshape(len(found), TERMS)
     return Model(counts, np.array([r[1] for r in found], np.float32), weights=label_weights(labels, label, keep, sample))

@@ -65,7 +65,7 @@ FROM h JOIN n USING (item_id) WHERE n_shared >= greatest(1, ceil(0.8 * n_shingle
 
 OP10 = f"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), {_WORD})) AS BIGINT) AS size,
-                  md5('carrel-mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+                  md5('carrel-mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT source, source_size, 2.0 * source_size AS cap, [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS weight FROM s),
 o AS (SELECT CAST(cap AS DOUBLE) AS cap, CAST(weight AS DOUBLE) AS weight, row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS m FROM w),

@@ -16,7 +16,7 @@ don't depend on the sample. The model holds at most ``max_features`` weights.
 
 Cases: a null, empty or wordless text has no toxic token and gets the score of that; without toxic
 documents in the sample every score is the prior; conflicting labels of one doc_id count by their
-mean; rows with a null doc_id or label don't train; repeated rows give repeated result rows;
+mean; a doc_id trains once, by one of its texts; rows with a null doc_id or label don't train; repeated rows give repeated result rows;
 further columns are ignored.
 """
 
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carrel.llm.quality import label_weights, labelled_sample
+from carrel.llm.quality import label_weights, labelled_sample, training_rows
 from carrel.llm.words import Chunk, chunks
 
 SAMPLE = 6000
@@ -39,6 +39,7 @@ STRONG = 2.5
 MAX_FEATURES = 4096
 _GROUP_TOKENS = 1 << 18  #: that training holds at a time, or one longer document
 _SEGMENT = 512
+_CONTEXT = 4.0  #: pull to zero of the weights of neighbours and transitions; 0.1 of a token's own
 _PREFIXES = (4, 5, 6, 7, 8)
 _EDGE = np.zeros(256, bool)
 _EDGE[[ord(c) for c in ".,;:!?'\"()[]{}*#$%&|<>-_~"]] = True
@@ -170,18 +171,20 @@ class Model:
         """documents: (label, number of tokens, token of each kept feature, the feature's number).
 
         Chain weights are fit to segments of ``_SEGMENT`` tokens, which together are all tokens of
-        all documents; document weights are fit to the marginals of whole documents. A bounded
+        all documents, with a clean one before and after each, as a span is entered and left even
+        where it is the whole document; document weights are fit to the marginals of whole documents. A bounded
         number of tokens is taken at a time; only kept features are held for all of them. weights: how
         much a document of label 0, and of label 1, counts.
         """
         k = len(self.lexicon)
-        groups = [_Group(self, part, weights) for part in _groups([piece for d in documents for piece in _segments(*d)])]
+        groups = [_Group(self, part, weights) for part in _groups([piece for y, n, tokens, numbers in documents for piece in _segments(y, n + 2, tokens + 1, numbers)])]
         seen = sum(g.pairs for g in groups)
         theta = np.r_[self.weights, self.transition.ravel()]
+        pull = np.r_[np.full(k + 1, 0.1), np.full(6, _CONTEXT)]
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for i in range(1, rounds + 1):
             self.weights, self.transition = theta[: k + 3], theta[k + 3 :].reshape(2, 2)
-            g = -0.1 * theta
+            g = -pull * theta
             g[k + 3 :] += seen.ravel()
             for group in groups:
                 at_tokens, transitions = group.gradient(self)
@@ -289,7 +292,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column |
     """Trains on labelled documents for which ``keep`` (a condition on doc_id) holds."""
     keep = ~held_out(F.col("doc_id")) if keep is None else keep
     chosen = labelled_sample(labels, label, keep, sample)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    rows = training_rows(docs, chosen)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,11 +328,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep: Column |
                 edges = np.searchsorted(tokens, chunk.bounds)
                 part = batch.slice(chunk.first, chunk.n_docs)
                 places = [(tokens[a:b] - lo).astype(np.int32).tobytes() for a, b, lo in zip(edges[:-1], edges[1:], chunk.bounds[:-1], strict=True)]
-                which = [numbers[a:b].astype(np.int16).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                which = [numbers[a:b].astype(np.int32).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(np.diff(chunk.bounds)), pa.array(places, pa.binary()), pa.array(which, pa.binary())], names=["doc_id", "y", "n", "places", "numbers"])
 
     seen = sorted({(r.doc_id, r.y, r.n, bytes(r.places), bytes(r.numbers)) for r in rows.mapInArrow(hits, "doc_id long, y int, n long, places binary, numbers binary").toLocalIterator()})
-    model.fit([(y, n, np.frombuffer(places, np.int32), np.frombuffer(which, np.int16)) for _, y, n, places, which in seen], weights=weights)
+    model.fit([(y, n, np.frombuffer(places, np.int32), np.frombuffer(which, np.int32)) for _, y, n, places, which in seen], weights=weights)
     return model
 
 

@@ -56,8 +56,9 @@ def test_toxicity_on_held_out_documents(spark):
     assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.95
 
 
-def test_toxicity_edge_cases(spark):
-    rows = [(i, "he told them that she was a friend of mine" if i % 2 else "he told them that she was an idiot of mine", "s") for i in range(60)]
+@pytest.mark.parametrize("clean, bad", [("he told them that she was a friend of mine", "he told them that she was an idiot of mine"), ("fine words here", "such an idiot he is")])
+def test_toxicity_edge_cases(spark, clean, bad):
+    rows = [(i, clean if i % 2 else bad, "s") for i in range(60)]
     odd = [(100, None, "s"), (101, "", "s"), (102, "!!! ---", "s"), (103, "w " * 30_000 + "idiot!", "s"), (103, "w " * 30_000 + "idiot!", "s"), (None, "x", "s")]
     docs = spark.createDataFrame(rows + odd, "doc_id long, text string, spans string")
     labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)] + [(None, 1), (100, None)], "doc_id long, toxic int")
@@ -85,6 +86,47 @@ def test_scores_do_not_depend_on_the_sample(spark):
     assert abs(share[False][0] - share[False][1]) < 0.02 and share[False][0] > 0.85
 
 
+def test_votes_are_those_of_all_cosines(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["one", "Two", "3", "four,", "FIVE", "six!", "|", "seven-eight"], rng.integers(3, 40), p=np.roll([0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.05, 0.05], i % 2))) for i in range(120)]
+    texts[7], texts[8] = texts[5], texts[5]  # ties among equal cosines
+    rows = [(i, t) for i, t in enumerate(texts)] + [(200, None), (201, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    train = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    counts = {i: quality.term_counts(next(words.chunks(pa.array([t]))))[0].astype(np.float64) for i, t in rows if t and t.strip()}
+    idf = np.log((1 + len(train)) / (1 + sum((counts[i] > 0).astype(float) for i in train))) + 0.1
+
+    def unit(x):
+        return x / np.linalg.norm(x)
+
+    space = np.stack([unit(np.sqrt(counts[i]) * idf) for i in train])
+    _, _, v = np.linalg.svd(space, full_matrices=False)
+    project = v[: quality.RANK].T
+    vectors = np.stack([unit(x @ project) for x in space])
+    y = np.array([i % 2 for i in train])
+    for i, x in counts.items():
+        cosine = vectors @ unit(unit(np.sqrt(x) * idf) @ project)
+        ordered = np.sort(cosine)[::-1]
+        if ordered[quality.NEIGHBOURS - 1] - ordered[quality.NEIGHBOURS] < 1e-4:
+            continue  # the last neighbour could be either
+        near = np.argsort(-cosine)[: quality.NEIGHBOURS]
+        weight = np.maximum(cosine[near], 1e-6) ** quality.POWER
+        assert abs(got[i] - (weight @ y[near]) / weight.sum()) < 2e-3, i
+    assert got[5] == pytest.approx(got[7], abs=1e-5) and got[5] == pytest.approx(got[8], abs=1e-5) and got[200] == got[201] == pytest.approx(y.mean())
+
+
+def test_a_sample_is_bounded_however_often_its_rows_repeat(spark):
+    rows = [(i, f"text {i} {j % 3}") for i in range(6) for j in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    chosen = quality.labelled_sample(labels, "quality", quality.F.lit(True), 4)
+    found = quality.training_rows(docs, chosen).collect()
+    assert len(found) == 4 and sorted(r.y for r in found) == [0, 0, 1, 1]
+
+
 def test_votes_count_by_label_shares():
     counts = np.random.default_rng(1).integers(0, 5, (20, quality.TERMS)).astype(np.float32)
     counts[:] = counts[0]
@@ -213,12 +255,14 @@ def test_language_model_counts_and_base_scores(spark, monkeypatch):
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [None] for r in docs.collect()}
     counts = Counter(w for d, ws in texts.items() if zlib.crc32(str(d).encode()) % 5 != 1 for w in ws)
     n, v = sum(counts.values()), len(counts)
+    better = 0
     for r in got:
         own = texts[r.doc_id]
         base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(counts[w] > 0 for w in own), n)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.score < 0
-    assert len(got) == len(texts)
+        better += r.score > r.base_score
+    assert len(got) == len(texts) and better > 0.9 * len(got)
 
 
 def test_language_model_on_held_out_documents(spark):
