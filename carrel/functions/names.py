@@ -14,18 +14,19 @@ ROMAN = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5, "VI": 6, "VII": 7, "VIII":
 def without_marks(name: Column | str) -> Column:
     """Struct of a name without its marks, and what they say.
 
-    ``(syllabic)`` gives syllabic; ``(IV)`` gives ordinal; ``, var. X`` gives variants, in order of
-    their letters.
+    ``(syllabic`` anywhere and in any case gives syllabic, and is taken away only as a whole mark at
+    the end, as ``(IV)`` is, which gives ordinal; ``, var. X`` gives variants, in order of their letters.
     """
     n = col(name)
     variants = F.regexp_extract_all(n, F.lit(r", var\. ([^,(]+)"), 1)
-    roman = found(n, r"\((" + "|".join(sorted(ROMAN, key=len, reverse=True)) + r")\)")
     table = F.create_map(*(F.lit(x) for pair in ROMAN.items() for x in pair))
     bare = F.regexp_replace(n, r", var\. [^,(]+", "")
-    bare = F.regexp_replace(bare, r"\s*\((?:syllabic|[IVX]+)\)", "")
+    bare = F.regexp_replace(bare, r"(?i)\s*\(syllabic\)\s*$", "")
+    roman = found(bare, r"\(([IVX]+)\)\s*$")
+    bare = F.regexp_replace(bare, r"\s*\([IVX]+\)\s*$", "")
     return F.struct(
         stripped(bare).alias("name"),
-        n.contains("(syllabic)").alias("syllabic"),
+        F.lower(n).contains("(syllabic").alias("syllabic"),
         table[roman].alias("ordinal"),
         F.array_sort(F.array_distinct(F.transform(variants, strip))).alias("variants"),
     )
@@ -81,13 +82,22 @@ def last_locality(c: Column | str, pattern: str, default: Column | str) -> Colum
     return F.when(last.isNull() | F.coalesce(F.contains(col(default), last), F.lit(False)), col(default)).otherwise(last)
 
 
-def confidence_and_reference(name: Column | str, hedges: list[tuple[str, str]]) -> Column:
-    """Struct (confidence, reference): the first hedge found, and ``[ 12 A ]`` as ``12a``."""
+def confidence_and_reference(name: Column | str, hedges: list[tuple[str, str]], prefix: str = "") -> Column:
+    """Struct (confidence, reference): the first hedge found in any case, and ``[ 12 A ]``'s number.
+
+    A reference is a number with a letter or none, in brackets; ``[60 A]`` gives ``60a`` behind the prefix.
+    """
     confidence = F.lit(None).cast("string")
     for token, label in reversed(hedges):
-        confidence = F.when(col(name).contains(token), F.lit(label)).otherwise(confidence)
-    reference = F.lower(F.regexp_replace(found(name, r"\[([^\]]+)\]"), r"\s", ""))
-    return F.struct(confidence.alias("confidence"), filled(reference).alias("reference"))
+        confidence = F.when(F.lower(col(name)).contains(token.lower()), F.lit(label)).otherwise(confidence)
+    number = filled(F.lower(F.regexp_replace(found(name, r"\[\s*(\d+\s*[a-zA-Z]?)\s*\]"), r"\s", "")))
+    return F.struct(confidence.alias("confidence"), F.concat(F.lit(prefix), number).alias("reference"))
+
+
+def parallel_references(names: Column | str, prefix: str = "") -> Column:
+    """The reference of each name of a list, null for one without, in the list's order; none for a null list."""
+    empty = F.array().cast("array<string>")
+    return F.transform(F.coalesce(col(names), empty), lambda n: confidence_and_reference(n, [], prefix)["reference"])
 
 
 def compact(name: Column | str) -> Column:

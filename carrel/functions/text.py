@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def col(c: Column | str) -> Column:
@@ -75,10 +77,45 @@ def words_replaced(c: Column | str, table: dict[str, str]) -> Column:
     out = col(c)
     for old, new in table.items():
         for a, b in ((old, new), (old.capitalize(), new.capitalize())):
-            out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}_]){a}(?![\p{{L}}\p{{N}}_])", b)
+            out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}_])\Q{a}\E(?![\p{{L}}\p{{N}}_])", b.replace("\\", "\\\\").replace("$", "\\$"))
     return out
 
 
+def numerals_after(c: Column | str, names: list[str], misread: dict[str, str]) -> Column:
+    """Misread numerals that follow one of the names, put right whatever their case; white space in one counts as any.
+
+    misread: numeral as it is read -> as it should be; a longer one is tried before a shorter one.
+    """
+    said = "|".join(rf"\Q{n}\E" for n in names)
+    out = col(c)
+    for old, new in sorted(misread.items(), key=lambda x: (-len(x[0]), x[0])):
+        numeral = r"\s+".join(rf"\Q{part}\E" for part in old.split())
+        out = F.regexp_replace(out, rf"(?iu)(?<![\p{{L}}\p{{N}}_])({said})(\s+){numeral}(?![\p{{L}}\p{{N}}_])", f"$1$2{new}")
+    return out
+
+
+def without_tail(c: Column | str, start: str) -> Column:
+    """Without everything from a match of ``start`` on, over line ends; null where nothing is left."""
+    return stripped(F.regexp_replace(col(c), rf"(?s){start}.*$", ""))
+
+
+def deeply(c: Column, kind: T.DataType, change: Callable[[Column], Column]) -> Column:
+    """A change of texts made to every text at any depth of lists and structs."""
+    if isinstance(kind, T.StringType):
+        return change(c)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: deeply(x, kind.elementType, change))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*(deeply(c[f.name], f.dataType, change).alias(f.name) for f in kind)))
+    return c
+
+
+def plain_names(c: Column | str, field: str = "name") -> Column:
+    """Names from a JSON list of texts, or of objects that hold one under ``field``, or of both."""
+    entries = F.from_json(col(c), "array<string>")
+    return F.transform(entries, lambda x: F.when(x.rlike(r"^\s*\{"), F.coalesce(F.get_json_object(x, f"$.{field}"), x)).otherwise(x))
+
+
 def first_label(c: Column | str, rules: list[tuple[str, str]], otherwise: str | None = None) -> Column:
     """The label of the first pattern that matches; rules are (label, pattern), strongest first."""
     out = F.lit(otherwise)
@@ -93,8 +130,8 @@ def key(c: Column | str) -> Column:
 
 
 def tokens(c: Column | str) -> Column:
-    """Lower-case runs of ASCII letters and digits, in order."""
-    return F.filter(F.split(F.lower(col(c)), "[^a-z0-9]+"), lambda x: x != "")
+    """Lower-case runs of letters and digits of any script, in order."""
+    return F.filter(F.split(F.lower(col(c)), r"[^\p{L}\p{M}\p{N}]+"), lambda x: x != "")
 
 
 def token_sort(c: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carrel.functions.claims import place_role
 from carrel.operators.guards import fail_if_any
 
 
@@ -61,3 +62,15 @@ def resolve(claims: DataFrame, prefer: str, order: str = "decided_at") -> DataFr
     )
     fail_if_any(per.filter("chosen is null and n > 1"), "several values and no preferred one")
     return per.select("subject", "predicate", F.coalesce("chosen", "any").alias("value"))
+
+
+def places_by_role(places: DataFrame, id_: str, label: str, site: str) -> DataFrame:
+    """(id, production, findspot, certainty): where a thing was made and where it was found, never mixed.
+
+    Of several places of one kind the most certain counts, then the first by its letters.
+    """
+    said = F.col("_r.certainty")
+    rank = F.when(said == "confirmed", 0).when(said == "probable", 1).when(said == "uncertain", 2).otherwise(3)
+    told = places.select(F.col(id_).alias("id"), F.col(site).alias("site"), place_role(label).alias("_r")).filter("_r.kind is not null and site is not null")
+    best = lambda kind: F.min(F.when(F.col("_r.kind") == kind, F.struct(rank.alias("rank"), "site", F.col("_r.certainty").alias("certainty"))))
+    return told.groupBy("id").agg(best("production").alias("p"), best("findspot").alias("f")).select("id", F.col("p.site").alias("production"), F.col("f.site").alias("findspot"), F.col("f.certainty").alias("certainty"))

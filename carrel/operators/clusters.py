@@ -61,6 +61,13 @@ def b_cubed(found: DataFrame, gold: DataFrame) -> DataFrame:
     return scores.withColumn("f1", F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
+def abstention(universe: DataFrame, found: DataFrame) -> DataFrame:
+    """(total, assigned, abstained, rate) over a closed universe of ids, of which some have no cluster."""
+    ids = universe.select("id").distinct().join(found.select("id").distinct().withColumn("_there", F.lit(1)), "id", "left")
+    counts = ids.agg(F.count("*").alias("total"), F.count("_there").alias("assigned"))
+    return counts.withColumn("abstained", F.col("total") - F.col("assigned")).withColumn("rate", F.try_divide("abstained", "total"))
+
+
 def split_pairs(pairs: DataFrame, clusters: DataFrame) -> DataFrame:
     """Pairs (a, b) known to be the same that stand in different clusters."""
     a = clusters.select(F.col("id").alias("a"), F.col("cluster").alias("_ca"))

@@ -9,13 +9,14 @@ small by its own threshold.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carrel.functions.text import strip
-from carrel.operators.guards import fail_if_any
+from carrel.operators.guards import DataError, fail_if_any
 
 #: Texts that mean nothing was found.
 SENTINELS = ["none", "-", "—", "n/a", "na", "unknown", "null"]
@@ -23,6 +24,29 @@ SENTINELS = ["none", "-", "—", "n/a", "na", "unknown", "null"]
 IDENTIFYING = ["anglicised", "transliteration", "translation", "variant_index", "is_variant"]
 
 
+#: Letters of the ASCII spelling of transliterations, and code points that stand for others.
+SPELLINGS = {"A": "ꜣ", "a": "ꜥ", "H": "ḥ", "x": "ḫ", "X": "ẖ", "S": "š", "T": "ṯ", "D": "ḏ", "q": "ḳ", "ɜ": "ꜣ", "ɛ": "ꜥ", "ˁ": "ꜥ"}
+
+
+def canonical_names(names: Column, field: str = "transliteration", spellings: dict[str, str] = SPELLINGS) -> Column:
+    """A list of name structs with one field in one spelling, so that versions that differ in it agree in the vote."""
+    return F.transform(names, lambda e: e.withField(field, F.translate(e[field], "".join(spellings), "".join(spellings.values()))))
+
+
+def require_agents(rows: DataFrame, agent: str, expected: list) -> None:
+    """Fails if one of the agents has no row at all."""
+    there = {r[0] for r in rows.filter(F.col(agent).isin(expected)).select(agent).distinct().collect()}  # no more than are expected
+    missing = [a for a in expected if a not in there]
+    if missing:
+        raise DataError(f"agents without rows: {missing}")
+
+
+def together(versions: dict[str, DataFrame], agent: str = "agent") -> DataFrame:
+    """The agents' versions as one table with every field that any of them has; a field that one lacks is null there."""
+    each = [df.withColumn(agent, F.lit(name)) for name, df in versions.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each)
+
+
 @dataclass(frozen=True)
 class Rules:
     """How a source's versions are merged."""
@@ -50,10 +74,11 @@ def cell(c: Column) -> Column:
     return F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})
 
 
-def votes(rows: DataFrame, key: list[str], agent: str, fields: list[str], rules: Rules) -> DataFrame:
+def votes(rows: DataFrame, key: list[str], agent: str, fields: list[str], rules: Rules, shown: bool = True) -> DataFrame:
     """(key..., agent, field, value, shown): value after, shown before sentinels became null."""
     kinds = {f.name: f.dataType for f in rows.schema}
-    cells = F.array(*(F.struct(F.lit(f).alias("field"), cell(without_sentinels(F.col(f), kinds[f], rules.sentinels, rules.deep)).alias("value"), cell(F.col(f)).alias("shown")) for f in fields))
+    said = lambda f: [cell(F.col(f)).alias("shown")] if shown else []
+    cells = F.array(*(F.struct(F.lit(f).alias("field"), cell(without_sentinels(F.col(f), kinds[f], rules.sentinels, rules.deep)).alias("value"), *said(f)) for f in fields))
     return rows.select(*key, F.col(agent).alias("agent"), F.explode(cells).alias("c")).select(*key, "agent", "c.*")
 
 
@@ -86,6 +111,13 @@ def classify_tie(values: Column, identifying: list[str] = IDENTIFYING) -> Column
     return F.when(structure, "STRUCTURE").when(F.size(F.array_distinct(names)) > 1, "IDENTIFIER").otherwise("PROSE")
 
 
+def tie_class(values: Column, kind: T.DataType, identifying: list[str] = IDENTIFYING) -> Column:
+    """SCALAR for a field that is no list of name structs, else what its tied versions differ in."""
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        return classify_tie(values, [f for f in identifying if f in kind.elementType.names])
+    return F.lit("SCALAR")
+
+
 def settle_prose(values: Column, additive: str = "attested_in") -> Column:
     """The version with the shortest JSON (then the first by its letters), its citations united.
 
@@ -110,15 +142,18 @@ def check_overrides(overrides: DataFrame) -> DataFrame:
     return read.select("key", "field", "value")
 
 
-def merge(rows: DataFrame, key: str, agent: str, fields: list[str], rules: Rules = Rules(), overrides: DataFrame | None = None) -> DataFrame:
+def merge(rows: DataFrame, key: str, agent: str, fields: list[str], rules: Rules = Rules(), overrides: DataFrame | None = None, agents: list | None = None) -> DataFrame:
     """(key, fields..., one column n_<field> each): one row for each key.
 
     overrides: (key, field, value as JSON text) for ties. A key that too few agents have fails the
-    merge, as does a tie without an override, unless the rules settle it.
+    merge, as does a tie without an override, unless the rules settle it, and an agent of ``agents``
+    without any row.
     """
+    if agents is not None:
+        require_agents(rows, agent, agents)
     fail_if_any(uncorroborated(rows, [key], agent, rules.least_agents), "too few agents have a key")
     kinds = {f.name: f.dataType for f in rows.schema}
-    chosen = decide(tally(votes(rows, [key], agent, fields, rules), [key]), [key])
+    chosen = decide(tally(votes(rows, [key], agent, fields, rules, shown=False), [key]), [key])
     if overrides is not None:
         own = overrides.select(F.col("key").cast(kinds[key]).alias(key), "field", F.concat(F.lit('{"v":'), "value", F.lit("}")).alias("override"))
         chosen = chosen.join(own, [key, "field"], "left")

@@ -56,6 +56,12 @@ def disagreeing(rows: DataFrame, a: Column, b: Column) -> DataFrame:
     return rows.filter(F.coalesce(a, no) != F.coalesce(b, no))
 
 
+def missing_fields(documents: DataFrame, id_: str, data: str, fields: list[str]) -> DataFrame:
+    """(id, missing) of JSON documents that lack any of the fields; a field that is null is there."""
+    lacking = F.array_except(F.array(*map(F.lit, fields)), F.coalesce(F.json_object_keys(data), F.array().cast("array<string>")))
+    return documents.select(F.col(id_).alias("id"), lacking.alias("missing")).filter(F.size("missing") > 0)
+
+
 def unsymmetric(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Pairs without their mirror."""
     mirror = pairs.select(F.col(b).alias(a), F.col(a).alias(b)).distinct()

@@ -1,8 +1,9 @@
 """Joins of overlapping intervals without comparing all pairs.
 
-Each interval is put into every bin of a fixed width that it touches; bins are equi-joined, and a
-pair counts in the one bin where its overlap begins. An interval longer than many bins goes to a
-coarser level of bins instead, so it stands in few of them whatever its length.
+Each interval is at home on the level of bins whose width fits its length, where it touches few
+bins, and visits the levels above. Bins are equi-joined, home with home and home with visitors, and
+a pair counts in the one bin where its overlap begins. Two short intervals never meet in a wide
+bin, so what is compared is in proportion to the rows and to the pairs that overlap.
 """
 
 from __future__ import annotations
@@ -28,26 +29,37 @@ def _bins(start: Column, end: Column, width: Column) -> Column:
     return F.sequence(F.floor(start / width).cast("long"), F.floor((end - 1) / width).cast("long"))
 
 
-def overlapping(left: DataFrame, right: DataFrame, by: list[str], width: int = 64, levels: int = 5) -> DataFrame:
-    """Pairs of rows with equal ``by`` whose [start, end) of whole numbers overlap; touching is none.
-
-    left and right have columns id, start, end and ``by``. Returns by..., left_id, right_id.
-    """
+def compared(left: DataFrame, right: DataFrame, by: list[str], width: int = 64, levels: int = 5) -> DataFrame:
+    """Pairs of rows that share a bin, a row for each such bin (_w wide, numbered _bin)."""
     def shaped(df: DataFrame, side: str) -> DataFrame:
         size = F.col("end") - F.col("start")
         return df.select(*by, F.col("id").alias(f"{side}_id"), F.col("start").cast("long").alias(f"{side}_s"), F.col("end").cast("long").alias(f"{side}_e"), _level(size, width, levels).alias(f"{side}_k"))
 
-    a, b = shaped(left, "left"), shaped(right, "right")
-    # both meet at the coarser one's level; each row stands once on each level from its own upwards
-    def spread(df: DataFrame, side: str) -> DataFrame:
-        up = df.withColumn("_k", F.explode(F.sequence(F.col(f"{side}_k"), F.lit(levels - 1))))
+    def binned(df: DataFrame, side: str) -> DataFrame:
         wide = F.lit(width) * F.pow(F.lit(_FACTOR), F.col("_k")).cast("long")
-        return up.withColumn("_w", wide).withColumn("_bin", F.explode(_bins(F.col(f"{side}_s"), F.col(f"{side}_e"), F.col("_w"))))
+        return df.withColumn("_w", wide).withColumn("_bin", F.explode(_bins(F.col(f"{side}_s"), F.col(f"{side}_e"), F.col("_w"))))
+
+    def at_home(df: DataFrame, side: str) -> DataFrame:
+        return binned(df.withColumn("_k", F.col(f"{side}_k")), side)
+
+    def visiting(df: DataFrame, side: str) -> DataFrame:
+        own = F.col(f"{side}_k")
+        return binned(df.filter(own < levels - 1).withColumn("_k", F.explode(F.sequence(own + 1, F.lit(levels - 1)))), side)
 
-    pairs = spread(a, "left").join(spread(b, "right").drop("_w"), [*by, "_k", "_bin"])
+    a, b, on = shaped(left, "left"), shaped(right, "right"), [*by, "_k", "_w", "_bin"]
+    pairs = at_home(a, "left").join(at_home(b, "right").unionByName(visiting(b, "right")), on)
+    pairs = pairs.unionByName(visiting(a, "left").join(at_home(b, "right"), on))
+    return pairs
+
+
+def overlapping(left: DataFrame, right: DataFrame, by: list[str], width: int = 64, levels: int = 5) -> DataFrame:
+    """Pairs of rows with equal ``by`` whose [start, end) of whole numbers overlap; touching is none.
+
+    left and right have columns id, start, end and ``by``. Returns by..., left_id, right_id.
+    """
     begins = F.greatest("left_s", "right_s")
-    hit = (F.greatest("left_k", "right_k") == F.col("_k")) & (begins < F.least("left_e", "right_e")) & (F.floor(begins / F.col("_w")) == F.col("_bin"))
-    return pairs.filter(hit).select(*by, "left_id", "right_id")
+    hit = (begins < F.least("left_e", "right_e")) & (F.floor(begins / F.col("_w")) == F.col("_bin"))
+    return compared(left, right, by, width, levels).filter(hit).select(*by, "left_id", "right_id")
 
 
 def concurrent(rows: DataFrame, by: list[str]) -> DataFrame:

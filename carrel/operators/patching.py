@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from carrel.functions.text import looked_up
 from carrel.operators.guards import fail_if_any, orphans, repeated_keys
+from carrel.sources.sinks import audit
 
 
 def patch_cells(rows: DataFrame, key: str, patches: DataFrame, order: str | None = None) -> DataFrame:
@@ -38,6 +40,13 @@ def patch_cells(rows: DataFrame, key: str, patches: DataFrame, order: str | None
     return rows.join(wide, F.col(key) == F.col("_key"), "left").select(*(F.col(f) if f == key else cell(f) for f in rows.columns))
 
 
+def restore_marks(rows: DataFrame, key: str, field: str, values: DataFrame, mark: str) -> DataFrame:
+    """Sets a field to the value of (key, value) where it lacks the mark; a row that has it, or isn't listed, stays."""
+    listed = values.select(F.col("key").alias("_key"), F.col("value").alias("_value"))
+    lacks = F.col("_key").isNotNull() & ~F.contains(F.coalesce(field, F.lit("")), F.lit(mark))
+    return rows.join(listed, F.col(key) == F.col("_key"), "left").withColumn(field, F.when(lacks, F.col("_value")).otherwise(F.col(field))).drop("_key", "_value")
+
+
 def same_targets(a: DataFrame, b: DataFrame, key: list[str]) -> None:
     """Fails unless both correction tables speak of the same cells."""
     for x, y in ((a, b), (b, a)):
@@ -98,6 +107,23 @@ def set_path(c: Column, path: list[str | int], value: Column) -> Column:
     return F.when(F.size(c) > head, changed).otherwise(F.raise_error(F.lit(f"no element {head}")))
 
 
+def members_or_pattern(rows: DataFrame, key: str, members: DataFrame, text: str, pattern: str, flag: str) -> DataFrame:
+    """Whether a row's key is in a set or its text is of the pattern."""
+    return flag_members(rows, key, members, flag).withColumn(flag, F.col(flag) | F.coalesce(F.col(text).rlike(pattern), F.lit(False)))
+
+
+def in_order(rows: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], key: list[str], fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows after all named stages in their order, audit of the cells that each stage changed)."""
+    changes = None
+    for name, change in stages:
+        after = change(rows)
+        own = audit(rows, after, key, fields, name)
+        rows, changes = after, own if changes is None else changes.unionByName(own)
+    if changes is None:
+        raise ValueError("no stages")
+    return rows, changes
+
+
 def derive(rows: DataFrame, derivers: list[tuple[str, Column]]) -> DataFrame:
     """Columns derived one after the other from a table of (name, expression)."""
     return reduce(lambda df, d: df.withColumn(*d), derivers, rows)

@@ -44,3 +44,9 @@ def excluded(rows: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     for name, condition in reversed(rules):
         reason = F.when(F.coalesce(condition, F.lit(False)), name).otherwise(reason)
     return rows.withColumn("reason", reason)
+
+
+def outcomes(rows: DataFrame, error: Column, skipped: Column) -> DataFrame:
+    """(stored, skipped, errors) in one pass; a row that failed counts as an error alone."""
+    bad, left = F.coalesce(error, F.lit(False)), F.coalesce(skipped, F.lit(False))
+    return rows.agg(F.count_if(~bad & ~left).alias("stored"), F.count_if(~bad & left).alias("skipped"), F.count_if(bad).alias("errors"))

@@ -15,7 +15,7 @@ LARGEST_PAGE = 100
 
 @dataclass(frozen=True)
 class Query:
-    """text ``*`` or empty: all rows. filters: field to value. typos: edits allowed a word."""
+    """text ``*``: all rows; empty: all rows that filters, if there are any, leave. filters: field to value. typos: edits allowed a word."""
 
     text: str = "*"
     filters: dict[str, str] = field(default_factory=dict)
@@ -27,6 +27,9 @@ class Query:
         low = "".join(c if c.isascii() and c.isalnum() else " " for c in self.text.lower())
         return list(dict.fromkeys(low.split()))
 
+    def asks(self) -> bool:
+        return bool(self.text.strip() or any(self.filters.values()))
+
     def window(self) -> tuple[int, int]:
         """(rows to skip, rows to show)."""
         size = min(max(int(self.page_size), 1), LARGEST_PAGE)
@@ -52,9 +55,10 @@ def filtered(rows: DataFrame, query: Query) -> DataFrame:
 def hits(rows: DataFrame, id_: str, fields: dict[str, float], query: Query) -> DataFrame:
     """Rows with all words of the query, and their score: the weights of the fields that hold them.
 
-    One scan of the rows: scores are column expressions, so filters and columns reach the files.
+    One scan of the rows: scores are column expressions, so filters and columns reach the files. A
+    query of no text and no filters finds nothing and reads nothing.
     """
-    rows = filtered(rows, query)
+    rows = filtered(rows, query) if query.asks() else rows.filter(F.lit(False))
     words = query.words() if query.text.strip() not in ("", "*") else []
     score, every = F.lit(0.0), F.lit(True)
     for w in words:

@@ -34,14 +34,13 @@ def json_overlay_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.overlay(base, detail, "o_orderkey", ["status", "priority"])
 
 
-@book.query("""
+@book.query(r"""
 SELECT doc_id, array_to_string(parts, '|') AS parts, len(parts) AS n FROM (
-  SELECT doc_id, [trim(x) FOR x IN string_split_regex(split_part(text, chr(10), 1), '[,;.]+') IF trim(x) <> ''] AS parts FROM documents)
+  SELECT doc_id, [regexp_replace(x, '^\s+|\s+$', '', 'g') FOR x IN string_split_regex(text, '[,;.]+') IF regexp_replace(x, '^\s+|\s+$', '', 'g') <> ''] AS parts FROM documents)
 WHERE len(parts) > 0""")
 def split_clean_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents")
-    first = F.substring_index("text", "\n", 1)
-    return d.select("doc_id", text.split_clean(first, "[,;.]+").alias("p")).filter("p is not null").select("doc_id", F.array_join("p", "|").alias("parts"), F.size("p").cast("long").alias("n"))
+    return d.select("doc_id", text.split_clean("text", "[,;.]+").alias("p")).filter("p is not null").select("doc_id", F.array_join("p", "|").alias("parts"), F.size("p").cast("long").alias("n"))
 
 
 @book.query("""
@@ -98,7 +97,7 @@ def array_exists_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @book.query("""
-SELECT 'met-' || p_partkey AS id, array_to_string([trim(x) FOR x IN string_split(p_name, ' ') IF trim(x) <> ''], '|') AS materials, CASE WHEN p_size % 2 = 0 THEN p_type END AS ruler,
+SELECT 'met-' || p_partkey AS id, array_to_string([regexp_replace(x, '^\s+|\s+$', '', 'g') FOR x IN string_split(p_name, ' ') IF trim(x) <> ''], '|') AS materials, CASE WHEN p_size % 2 = 0 THEN p_type END AS ruler,
   -p_size AS date_start, CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_size END AS date_end, p_brand || ', ' || p_type AS origin_site_raw,
   CASE WHEN p_size % 4 = 0 THEN 'confirmed' ELSE lower(p_type) END AS origin_certainty, 'Gallery ' || p_size AS current_location,
   CASE WHEN p_size % 5 = 0 THEN 'none' WHEN p_size % 2 = 0 THEN 'cc0' ELSE 'restricted' END AS license, 'Q' || p_partkey AS wikidata_id FROM part""")

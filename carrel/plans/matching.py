@@ -70,18 +70,18 @@ def wildcard_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @book.query("""
-SELECT c_custkey AS mention, n_nationkey AS nation FROM customer JOIN nation ON lower(n_name) = 'nation_' || c_nationkey WHERE c_custkey % 3 = 0""")
+SELECT c_custkey AS mention, n_nationkey AS nation FROM customer JOIN nation ON lower(n_name) = 'nation_' || c_nationkey""")
 def alias_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions whose case and spaces differ from those of the alias."""
-    m = load(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("mention"), F.concat(F.lit("  Nation_"), F.col("c_nationkey").cast("string"), F.lit(" \n")).alias("said"))
+    m = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("mention"), F.concat(F.lit("  Nation_"), F.col("c_nationkey").cast("string"), F.lit(" \n")).alias("said"))
     return joins.exact_aliases(m, "said", load(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "nation"), "n_name", "nation").select("mention", "nation")
 
 
 @book.query("""
-WITH a AS (SELECT DISTINCT p_brand AS id, lower(p_name) AS v FROM part WHERE p_size < 10), b AS (SELECT DISTINCT p_type AS id, lower(p_name) AS v FROM part WHERE p_size < 10)
+WITH a AS (SELECT DISTINCT p_brand AS id, lower(p_name) AS v FROM part), b AS (SELECT DISTINCT p_type AS id, lower(p_name) AS v FROM part)
 SELECT a.id AS a_id, b.id AS b_id, count(*) AS shared FROM a JOIN b USING (v) GROUP BY 1, 2""")
 def alias_set_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = load(spark, sf_dir, "part").filter("p_size < 10")
+    p = load(spark, sf_dir, "part")
     sets = lambda by, change: p.groupBy(F.col(by).alias("id")).agg(F.collect_set(change("p_name")).alias("variants"))
     return joins.set_matches(sets("p_brand", F.upper), sets("p_type", F.lower))
 
@@ -90,10 +90,11 @@ def alias_set_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH n AS (SELECT min(p_partkey) AS id, p_name AS t FROM part GROUP BY p_name),
 s AS (SELECT id, array_to_string(list_sort(string_split(t, ' ')), ' ') AS o, string_split(t, ' ') AS w FROM n),
 m AS (SELECT id, array_to_string(list_sort(list_transform(string_split(t, ' '), lambda x: CASE WHEN x = string_split(t, ' ')[1] THEN x || 's' ELSE x END)), ' ') AS o, [x || CASE WHEN x = string_split(t, ' ')[1] THEN 's' ELSE '' END FOR x IN string_split(t, ' ')] AS w FROM n),
-p AS (SELECT m.id AS mention, s.id AS name, 1 - levenshtein(m.o, s.o) / greatest(length(m.o), length(s.o), 1)::DOUBLE AS score FROM m JOIN s ON list_has_any(m.w, s.w))
-SELECT mention, name, round(score, 6) AS score, 'pending' AS status FROM p QUALIFY row_number() OVER (PARTITION BY mention ORDER BY score DESC, name) = 1""")
+p AS (SELECT m.id AS mention, s.id AS name, 1 - levenshtein(m.o, s.o) / greatest(length(m.o), length(s.o), 1)::DOUBLE AS score FROM m JOIN s ON true),
+b AS (SELECT * FROM p WHERE score >= 0.7 - 1e-9 QUALIFY row_number() OVER (PARTITION BY mention ORDER BY score DESC, name) = 1)
+SELECT m.id AS mention, name, round(score, 6) AS score, 'pending' AS status FROM m LEFT JOIN b ON b.mention = m.id""")
 def fuzzy_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The closest name of each misspelt one, for review; candidates share a word."""
+    """The closest name of each misspelt one, for review."""
     n = load(spark, sf_dir, "part").groupBy(F.col("p_name").alias("text")).agg(F.min("p_partkey").alias("id"))
     misspelt = n.select("id", F.regexp_replace("text", r"^(\S+)", "$1s").alias("text"))
     return joins.fuzzy_queue(misspelt, n)
@@ -111,10 +112,10 @@ def companion_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @book.query("""
-SELECT o_orderkey AS mention, c_custkey AS subject FROM orders JOIN customer ON c_nationkey = o_orderkey % 25 AND c_mktsegment = 'BUILDING' AND c_custkey % 20 = o_custkey % 20 WHERE o_orderkey % 50 = 0""")
+SELECT o_orderkey AS mention, c_custkey AS subject FROM orders JOIN customer ON c_nationkey = o_orderkey % 25 AND c_mktsegment = 'BUILDING' AND c_custkey % 20 = o_custkey % 20""")
 def narrowed_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subjects that a claim allows first, by name second."""
-    o = load(spark, sf_dir, "orders").filter("o_orderkey % 50 = 0")
+    o = load(spark, sf_dir, "orders")
     c = load(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'")
     number = lambda x: (F.col(x) % 20).cast("string")
     m = o.select(F.col("o_orderkey").alias("id"), F.lit("nation").alias("predicate"), (F.col("o_orderkey") % 25).cast("string").alias("value"), F.concat(F.lit("NAME "), number("o_custkey")).alias("name"))

@@ -74,14 +74,14 @@ def section_router(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @book.query("""
 SELECT p_partkey, p_type || ' (' || p_brand || ')' AS gloss, CASE WHEN p_size % 2 = 0 THEN 'name: ' || translate(p_name, 'ab', 'xy') ELSE p_name END AS spelled,
-  p_size AS ordinal FROM part WHERE p_size <= 39 AND p_size >= 1""")
+  CASE WHEN p_size <= 39 THEN p_size END AS ordinal FROM part""")
 def glosses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last balanced parenthesis, letters replaced only after a label, ordinals in words."""
     ones = ["", "first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth"]
     teens = ["tenth", "eleventh", "twelfth", "thirteenth", "fourteenth", "fifteenth", "sixteenth", "seventeenth", "eighteenth", "nineteenth"]
     tens = [f"{t}-{w}" if w else z for t, z in (("twenty", "twentieth"), ("thirty", "thirtieth")) for w in ones]
-    spoken = F.element_at(F.array(*map(F.lit, [*ones, *teens, *tens])), F.col("p_size") + 1)
-    p = load(spark, sf_dir, "part").filter("p_size between 1 and 39")
+    spoken = F.coalesce(F.get(F.array(*map(F.lit, [*ones, *teens, *tens])), F.col("p_size")), F.lit("last"))
+    p = load(spark, sf_dir, "part")
     line = F.concat("p_name", F.lit(" (x) ("), "p_type", F.lit(" ("), "p_brand", F.lit(")) "))
     made = p.select("p_partkey", line.alias("line"), F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("name: "), "p_name")).otherwise(F.col("p_name")).alias("s"), F.concat(F.lit("## The "), spoken, F.lit(" Dynasty")).alias("h"))
     return lines.with_gloss(made).select("p_partkey", "gloss", lines.translated_span("s", "name: ", {"a": "x", "b": "y"}).alias("spelled"), names.ordinal_word("h").alias("ordinal"))
@@ -127,10 +127,10 @@ def page_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @book.query("""
-SELECT o_custkey AS doc, 100 + row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS number, 'note of ' || o_orderpriority || ' kind' AS text FROM orders WHERE o_custkey % 5 = 0""")
+SELECT o_custkey AS doc, 100 + row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS number, 'note of ' || o_orderpriority || ' kind' AS text FROM orders""")
 def page_footnotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Footnotes at the end of pages: every customer's orders are notes below one body line."""
-    o = load(spark, sf_dir, "orders").filter("o_custkey % 5 = 0")
+    o = load(spark, sf_dir, "orders")
     n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
     notes = o.select(F.col("o_custkey").alias("doc"), n.alias("line_no"), F.concat((n + 100).cast("string"), F.lit(". note of "), "o_orderpriority", F.lit(" kind")).alias("line"))
     body = notes.select("doc", F.lit(0).alias("line_no"), F.lit("body text").alias("line")).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ["mapping", "votes", "fixes", "matching", "reading", "searching", "claiming", "checking"]
+MODULES = ["mapping", "votes", "fixes", "matching", "reading", "searching", "claiming", "checking", "repairing"]
 
 
 class Book:

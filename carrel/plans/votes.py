@@ -11,8 +11,8 @@ from carrel.sources.staging import load
 
 book = Book()
 
-#: Agents 1 to 3 of each order, and what each says of its flag and status.
-_ROWS = "rows AS (SELECT l_orderkey AS key, l_linenumber AS agent, min(l_returnflag) AS flag, min(l_linestatus) AS status FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1, 2)"
+#: Each line number is an agent, and says what an order's flag and status are.
+_ROWS = "rows AS (SELECT l_orderkey AS key, l_linenumber AS agent, min(l_returnflag) AS flag, min(l_linestatus) AS status FROM lineitem GROUP BY 1, 2)"
 _LONG = "long AS (SELECT key, agent, 'flag' AS field, flag AS value FROM rows UNION ALL SELECT key, agent, 'status', status FROM rows)"
 _COUNTED = "counted AS (SELECT key, field, value, count(*) AS n, min(agent) AS first FROM long GROUP BY 1, 2, 3)"
 _RANKED = "ranked AS (SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY key, field, n) > 1 AS tied, sum(n) OVER (PARTITION BY key, field) AS present FROM counted WINDOW w AS (PARTITION BY key, field ORDER BY n DESC, first))"
@@ -20,7 +20,7 @@ _CHOSEN = f"WITH {_ROWS}, {_LONG}, {_COUNTED}, {_RANKED}, chosen AS (SELECT key,
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem").filter("l_linenumber <= 3")
+    li = load(spark, sf_dir, "lineitem")
     return li.groupBy(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("agent")).agg(F.min("l_returnflag").alias("flag"), F.min("l_linestatus").alias("status"))
 
 

@@ -11,10 +11,13 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set, as in tests."""
+    """The cluster's checkpoint folder; a temporary one only where none is set and Spark is local, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set, and other machines can't see a temporary folder of this one")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="carrel-shared-")

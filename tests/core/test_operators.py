@@ -192,6 +192,114 @@ def test_intervals_agree_with_all_pairs(spark):
         intervals.concurrent(touching.withColumn("end", F.col("start")).drop("corrected_end"), ["g"])
 
 
+def test_short_intervals_do_not_meet_in_wide_bins(spark):
+    df = spark.range(32_000).selectExpr("0 AS g", "id", "id * 10 AS start", "id * 10 + 5 AS end")
+    assert intervals.compared(df, df, ["g"]).count() < 1_000_000
+    assert intervals.overlapping(df, df, ["g"]).filter("left_id <> right_id").count() == 0
+    long = df.unionByName(spark.createDataFrame([(0, -1, 0, 320_000)], "g int, id long, start long, end long"))
+    assert intervals.compared(long, long, ["g"]).count() < 1_100_000
+    assert intervals.overlapping(long, long, ["g"]).filter("left_id = -1 AND right_id >= 0").count() == 32_000
+
+
+def test_fuzzy_matches_lose_no_pair_at_the_threshold(spark):
+    import random
+
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcdeéö") for _ in range(rng.randint(1, 12))) + rng.choice(["", " von x", " al-din"]) for _ in range(60)]
+
+    def typo(t):
+        t = list(t)
+        for _ in range(rng.randint(0, 3)):
+            t[rng.randrange(len(t))] = rng.choice("abcxyz é")
+        return "".join(t)
+
+    named = list(enumerate(base))
+    asked = [(i, typo(rng.choice(base))) for i in range(150)] + [(900, ""), (901, "!!"), (902, "Tutankhamen")]
+    named.append((77, "Tutankhamun"))
+
+    def order(t):
+        return " ".join(sorted(w for w in "".join(c if c.isalnum() else " " for c in t.lower()).split()))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    expected = {}
+    for i, t in asked:
+        x, best = order(t), None
+        for j, n in named:
+            y = order(n)
+            score = 1 - distance(x, y) / max(len(x), len(y), 1)
+            if x and y and score >= 0.7 - 1e-9 and (best is None or (score, -j) > (best[0], -best[1])):
+                best = (score, j)
+        expected[i] = best
+    table = lambda rows: spark.createDataFrame(rows, "id int, text string")
+    got = {r.mention: r for r in joins.fuzzy_queue(table(asked), table(named)).collect()}
+    assert set(got) == set(expected) and all(r.status == "pending" for r in got.values())
+    for i, best in expected.items():
+        assert (got[i].name, got[i].score) == ((best[1], round(best[0], 6)) if best else (None, None)), asked[i]
+    assert got[902].name == 77 and sum(b is not None for b in expected.values()) > 60
+
+
+def test_agents_and_spellings(spark):
+    rows = spark.createDataFrame([("k", "a", "x"), ("k", "b", "x")], "key string, agent string, f string")
+    with pytest.raises(guards.DataError, match="agents without rows"):
+        consensus.merge(rows, "key", "agent", ["f"], agents=["a", "b", "c"])
+    assert consensus.merge(rows, "key", "agent", ["f"], agents=["a", "b"]).first()["f"] == "x"
+    names_ = spark.createDataFrame([([("mn-xpr-ra", "Ra"), ("ɜbˁ", "A"), (None, "x")],)], "n array<struct<transliteration:string,anglicised:string>>")
+    assert [tuple(x) for x in names_.select(consensus.canonical_names(F.col("n")).alias("n")).first().n] == [("mn-ḫpr-rꜥ", "Ra"), ("ꜣbꜥ", "A"), (None, "x")]
+    assert one(spark, consensus.tie_class(F.array("a"), rows.schema["f"].dataType), a="x") == "SCALAR"
+    both = consensus.together({"a": rows.select("key", "f"), "b": rows.select("key", F.lit(1).alias("g"))})
+    assert sorted(both.columns) == ["agent", "f", "g", "key"] and both.filter("agent = 'a' AND g IS NULL").count() == 2
+
+
+def test_marks_hedges_and_references(spark):
+    marks = lambda t: tuple(one(spark, names.without_marks("a"), a=t))
+    assert marks("x (syllabic?)") == ("x (syllabic?)", True, None, []) and marks("x (SYLLABIC)") == ("x", True, None, [])
+    assert marks("x (syllabic), not preceded by y") == ("x (syllabic), not preceded by y", True, None, []) and marks("Ra (II) b") == ("Ra (II) b", False, None, [])
+    hedges = [("(?)", "uncertain"), ("(probable)", "probable"), ("(per baud)", "per_baud")]
+    read = lambda t: tuple(one(spark, names.confidence_and_reference("a", hedges, "baud-"), a=t))
+    assert read("Meresankh [60 A] (Probable)") == ("probable", "baud-60a") and read("X [not one] (per Baud)") == ("per_baud", None) and read(None) == (None, None)
+    assert one(spark, names.parallel_references("a", "baud-"), a=["N [60 a]", "M"]) == ["baud-60a", None]
+    assert one(spark, text.without_tail("a", r"\s*(?:^|\. )?OCR vs pypdf disagreement:"), a="Kept. OCR vs pypdf disagreement: a\nb") == "Kept"
+    assert one(spark, text.without_tail("a", "OCR vs"), a="OCR vs x") is None
+    assert one(spark, text.plain_names("a"), a='["A", {"name": "B", "role": "r"}, {"other": 1}]') == ["A", "B", '{"other":1}']
+    assert one(spark, text.numerals_after("a", ["Amenophis", "Ptolemy"], {"i il": "III", "ill": "III", "il": "II", "11": "II"}), a="AMENOPHIS I  Il, Amenophis Ill, ptolemy 11; Others Il") == "AMENOPHIS III, Amenophis III, ptolemy II; Others Il"
+
+
+def test_searches_that_ask_nothing(spark):
+    rows = spark.createDataFrame([(1, "a b", "x"), (2, "c", "y")], "id int, t string, f string")
+    ask = lambda q: sorted(r.id for r in search.hits(rows, "id", {"t": 1.0}, q).collect())
+    assert ask(search.Query("")) == [] and ask(search.Query("  ", {"f": ""})) == []
+    assert ask(search.Query("*")) == [1, 2] and ask(search.Query("", {"f": "y"})) == [2]
+
+
+def test_locators_fail_loudly(spark):
+    rows = spark.createDataFrame([(1, "ruler", "Old"), (2, "ruler", "Next")], "id int, kind string, display string")
+    loc = lambda *r: spark.createDataFrame(list(r), "locator int, kind string, display string, after string")
+    with pytest.raises(guards.DataError, match="without a filled field"):
+        joins.locate(rows, "id", loc((1, None, None, None)), ["kind", "display"])
+    found = joins.locate_migrated(rows, "id", loc((1, None, "Old", None), (2, "ruler", "Before", "Next")), ["kind", "display"], "display", "after")
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 2)]
+    with pytest.raises(guards.DataError, match="fits no row"):
+        joins.locate_migrated(rows, "id", loc((3, None, "Gone", "Gone too")), ["kind", "display"], "display", "after")
+
+
+def test_places_and_chunks(spark):
+    places_ = spark.createDataFrame([(1, "Made in", "A"), (1, "Probably from", "B"), (1, "From", "C"), (2, "Possible place of use", "D"), (3, "Seen in", "E")], "id int, label string, site string")
+    assert sorted(map(tuple, claims.places_by_role(places_, "id", "label", "site").collect())) == [(1, "A", "C", "confirmed"), (2, None, "D", "uncertain")]
+    rows = landed.lines(spark.createDataFrame([("d", "**Iuhetibu** (x)\n**SOBK IV**\n**Hor**\ntext **b**\n### Unplaced\n**Iy**\n**Brief Lives**")], "doc string, text string"))
+    promoted = lines.italics_promoted(rows, spark.createDataFrame([("Hor",)], "name string"))
+    shown = lines.headers_inserted(promoted, spark.createDataFrame([(92, "Hor")], "page int, name string")).orderBy("line_no", "part")
+    assert [r.line for r in shown.collect()] == ["***Iuhetibu*** (x)", "**SOBK IV**", "## p. 92", "", "**Hor**", "text **b**", "### Unplaced", "***Iy***", "***Brief Lives***"]
+    assert tuple(lines.entry_counts(rows).first()) == ("d", 3, 1, 4)
+
+
 def test_trees_and_clusters(spark):
     chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(9)], "n int, p int")
     save = lambda df, i: stage(df, f"t{i}")
@@ -267,12 +375,25 @@ def test_line_operators(spark):
     rows = lambda t: landed.lines(spark.createDataFrame([("d", t)], "doc string, text string"))
     got = lines.name_cards(rows(CARDS)).collect()
     assert [(r.label, r.name, r.transliteration, r.translation, r.code, r.sources) for r in got] == [("Throne name", "Men kheper Ra", "mn-ḫpr-rꜥ", None, "N5:Y5-L1", ["_source_ one"])]
-    assert lines.merge_split_numbers(["10", "1. Text", "102", "Other text", "7", "x"]) == ["101. Text", "102. Other text", "7", "x"]
+    def merged(page):
+        return [r.line for r in lines.split_numbers_merged(rows("\n".join(page))).orderBy("line_no").collect()]
+
+    # a number apart from its text without a period is none of the three shapes
+    assert merged(["10", "1. Text", "102", "Other text", "7", "x"]) == ["101. Text", "102", "Other text", "7", "x"]
+    assert merged(["34", ". Turi", "n 11,9"]) == ["34. Turi", "n 11,9"] and merged(["56.", " The na", "me may"]) == ["56. The na", "me may"]
+    assert merged(["12", "2. Ibid", "., 106"]) == ["122. Ibid", "., 106"] and merged(["42", "1. headword"]) == ["42", "1. headword"]
+    assert merged(["1985.", "a"]) == ["1985.", "a"] and merged(["56.", "57. b"]) == ["56.", "57. b"] and merged(["5.", "6.", "c", "d"]) == ["5. 6.", "c", "d"]
+    assert merged(["1.", "a", "2.", "b"]) == ["1. a", "2. b"]
+
+    def notes(page):
+        found = lines.footnotes(rows("\n".join(page))).collect()
+        return sorted((r.number, r.text) for r in found if r.kind == "body"), sorted((r.number, r.text) for r in found if r.kind == "note")
+
     page = ["body 1–", "12. still body", "101. First note that", "goes on", "102. Second one", ""]
-    body, notes = lines.split_footnotes(page)
-    assert body == page[:2] and notes == [(101, "First note that goes on"), (102, "Second one")]
-    assert lines.split_footnotes(["a", "b"]) == (["a", "b"], [])
-    assert [lines.gloss_start(t) for t in ("a (b (c))", "a b)", "a", None)] == [2, None, None, None]
+    assert notes(page) == ([(1, page[0]), (2, page[1])], [(101, "First note that goes on"), (102, "Second one")])
+    assert notes(["a", "b"]) == ([(1, "a"), (2, "b")], []) and notes(["a", "1. b c"]) == ([(1, "a"), (2, "1. b c")], [])
+    assert notes(["x", "34", ". Turi n one", "35. Two"]) == ([(1, "x")], [(34, "Turi n one"), (35, "Two")])
+    assert [one(spark, lines.gloss("a"), a=t) for t in ("a (b (c))", "a (x) (b) ", "a b)", "a", None, "()")] == ["b (c)", "b", None, None, None, ""]
     table = lines.footnotes(rows("Word.101 and 55\n101. A long note here"))
     assert [r.text for r in lines.anchored(table, table).collect()] == ["Word.[^101] and 55"]
     context = rows("## II\n<!-- page -->\ntext\n# New\n<!-- page -->\nmore\n## III\n<!-- page -->\n## IV")
