@@ -4,7 +4,11 @@ import hashlib
 import re
 from collections import Counter
 
-from carrel.llm import queries, rules, substring, warc
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from carrel.llm import queries, rules, substring, warc, words
 
 SF = "/root/testdata/sf0.001"
 WS = re.compile("[^\\x20\\x09-\\x0D]+")
@@ -138,3 +142,45 @@ def test_substring_edge_cases(spark, monkeypatch):
         got = substring.deduplicated(docs, blocks=blocks).collect()
         assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == plain_substrings(rows)
     assert substring.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_factors_name_equal_words_of_their_reference(spark):
+    texts = {r["doc_id"]: WS.findall(r["text"] or "") for r in table(spark, "documents")}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    n = longer = 0
+    for r in substring.deduplicated(docs, blocks=5).collect():
+        for s in r.spans:
+            own, ref = texts[r.doc_id][s.first : s.end], texts[s.ref_doc][s.ref_first : s.ref_first + s.end - s.first]
+            assert own == ref and len(own) >= 13 and s.ref_doc < r.doc_id
+            n, longer = n + 1, longer + (len(own) > 13)
+    assert n and longer > 0.3 * n
+
+
+def test_windows_of_equal_hashes_are_not_removed(monkeypatch):
+    """The tasks' functions one after the other, with hashes that collide."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, 60))) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(5)] + [(200, "a " * 40), (201, "a " * 50)]
+    plain = words.Chunk.windows
+    monkeypatch.setattr(words.Chunk, "windows", lambda self, hashes, k: (lambda at, h: (at, h % np.uint64(1 << 16)))(*plain(self, hashes, k)))
+    ids, texts = pa.array([d for d, _ in rows]), pa.array([t for _, t in rows])
+    batch = pa.RecordBatch.from_arrays([ids, texts, pa.array(range(len(rows)), pa.int32())], names=["doc_id", "text", "key"])
+    by = lambda t, name: {b: t.filter(pc.equal(t.column(name), b)) for b in set(t.column(name).to_pylist())}
+    sent = pa.Table.from_batches(list(substring._send(iter([batch]), 13, 3)))
+    assert sum(len(x) // 8 for x in sent.column("hashes").to_pylist() if x) > 100
+    found = pa.concat_tables([substring._settle(t, 3) for t in by(sent, "block").values()])
+    packed = pa.Table.from_batches(list(substring._packs(iter([batch]), 3)))
+    probes = pa.concat_tables([substring._lone(t, 3) for t in by(found, "bucket").values()])
+    asked = by(probes, "bucket")
+    digests = pa.concat_tables([substring._digests(t, asked.get(b, probes.slice(0, 0)), 13) for b, t in by(packed, "bucket").items()]).to_pylist()
+    told = {}
+    for r in digests:
+        told.setdefault((r["tag_doc"], r["tag_key"], r["tag_place"]), set()).add(r["digest"])
+    bad = [tag for tag, seen in told.items() if len(seen) > 1]
+    assert bad
+    refuted = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*bad), (pa.int64(), pa.int32(), pa.int32()))], names=["tag_doc", "tag_key", "tag_place"])
+    dealt = pa.Table.from_batches(list(substring._to_buckets(iter([refuted]), 3)))
+    both = by(pa.concat_tables([found, dealt], promote_options="default"), "bucket")
+    out = pa.concat_tables([substring._cut(t, both.get(b, found.slice(0, 0).append_column("tag_doc", pa.array([], pa.int64())).append_column("tag_key", pa.array([], pa.int32())).append_column("tag_place", pa.array([], pa.int32()))), 13) for b, t in by(packed, "bucket").items()])
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out.to_pylist()), key=str)
+    assert got == plain_substrings(rows)
