@@ -43,12 +43,17 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of documents with the verdicts of the base and the strict policy."""
-    book = rules.apply(rules.ledger(_table(spark, sf_dir, "documents")), "strict-1")
+    book = rules.apply(rules.stored(_table(spark, sf_dir, "documents")), "strict-1")
     base = rules.mask(rules.POLICIES["base-1"])
     failed = F.col("failed").bitwiseAND(F.lit(base)) != 0
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept", "failed")
 
 
+def rules_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents each rule of the strict policy fails, and how many it fails alone."""
+    return rules.ablation(rules.stored(_table(spark, sf_dir, "documents")), "strict-1")
+
+
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probabilities of documents by a gated recurrent language model and by unigrams."""
     docs = _table(spark, sf_dir, "documents")
@@ -80,9 +85,9 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_warc, op3_toxicity, op4_tokens, op5_rules, op6_language_model, op7_substrings, op8_quality, op9_decontaminate, op10_mix]
+    found = [op1_simhash, op2_warc, op3_toxicity, op4_tokens, op5_rules, rules_ablation, op6_language_model, op7_substrings, op8_quality, op9_decontaminate, op10_mix]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": sql.OP2, "op5_rules": sql.OP5, "op7_substrings": sql.OP7, "op9_decontaminate": sql.OP9, "op10_mix": sql.OP10}
+    return {"op2_warc": sql.OP2, "op5_rules": sql.OP5, "rules_ablation": sql.ABLATION, "op7_substrings": sql.OP7, "op9_decontaminate": sql.OP9, "op10_mix": sql.OP10}

@@ -1,7 +1,7 @@
 """Quality rules as a ledger of failure bits. DataFrame functions only.
 
 ``ledger`` measures every text once and evaluates every rule once: bit i of ``failed`` is set where
-rule i fails. A policy is a named, versioned mask of rules; applying one, or comparing policies and
+rule i fails. ``stored`` writes it, so that all that follows reads a few numbers a row. A policy is a named, versioned mask of rules; applying one, or comparing policies and
 leaving rules out, is bitwise arithmetic on the ledger and never reads a text again.
 
 Cases: a null or wordless text measures zero everywhere and fails ``few_words``; repeated rows give
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carrel.sources.staging import stage
+
 WORD = "[^\\x20\\x09-\\x0D]+"
 WINDOW = 8
 
@@ -81,6 +83,11 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measure(docs).withColumn("failed", bits)
 
 
+def stored(docs: DataFrame) -> DataFrame:
+    """The ledger of ``docs``, written to the shared folder and read from there."""
+    return stage(ledger(docs), "ledger")
+
+
 def apply(book: DataFrame, policy: str, column: str = "kept") -> DataFrame:
     """Adds whether each row of a ledger passes a policy."""
     return book.withColumn(column, F.col("failed").bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0)

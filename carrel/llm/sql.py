@@ -40,6 +40,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
+_NAMED = ", ".join(f"('{rule}', {1 << i})" for i, rule in enumerate(RULES))
+
+ABLATION = f"""
+WITH book AS ({OP5})
+SELECT rule, count(*) FILTER ((failed & bit) <> 0) AS n_failed, count(*) FILTER ((failed & {mask(POLICIES["strict-1"])}) = bit) AS n_only
+FROM book, (VALUES {_NAMED}) r(rule, bit) GROUP BY rule
+"""
+
 OP7 = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
 g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) AS i FROM w)),
