@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-HIDDEN = 16
+HIDDEN = 32
 WIDTH = 32
 STREAMS = 256
 STEPS = 16
