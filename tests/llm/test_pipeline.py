@@ -99,3 +99,32 @@ def test_tokens_are_those_of_the_mix(stages):
 
 def test_the_whole_run_agrees(spark, stages):
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, stages[-1][1]))
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty, repeated and very long texts, one id with several texts, clashing columns."""
+    words = " ".join(f"w{i}" for i in range(400))
+    item = "this item of the benchmark should stand in no document"
+    rows = [(None, None, None, None, None), (None, "", "en", "a", 0), (1, words, "en", "a", 9), (1, words, "en", "a", 9), (1, words + " more", None, "b", None), (2, words + " more still", "en", None, 1)]
+    rows += [(3, f"{item} {words[::-1]}", "en", "b", 3), (3, "another text of the same id that is clean", "en", "b", 3), (None, f"x {item} y", "en", "b", 3), (None, "a clean text without an id, which stays", "en", "c", 3), (4, "long " * 50_000, "en", "a", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "7 AS _key", "8 AS _leaked", "9 AS size", "text AS key")
+    spark.createDataFrame([(1, 1, 0), (2, None, 1), (None, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = []
+    now = docs
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        made = stage(function(spark, now, str(tmp_path)), "odd")
+        assert made.columns == docs.columns, name
+        found.append(sorted(((r.doc_id, r.text) for r in made.collect()), key=str))
+        assert all((r["_key"], r["_leaked"], r["size"], r["key"]) == (7, 8, 9, r.text) for r in made.collect() if name != "mixing sources")
+        now = made
+    classified, deduplicated, cleaned, mixed = found
+    assert len(classified) == len(rows)  # one labelled document, of good quality
+    assert deduplicated == sorted({(r[0], r[1]) for r in rows} - {(None, None), (1, words + " more"), (2, words + " more still")}, key=str) or (None, None) in deduplicated
+    assert (3, rows[6][1]) not in cleaned and (3, rows[7][1]) in cleaned and (None, rows[9][1]) in cleaned and (None, rows[8][1]) not in cleaned
+    assert {t for _, t in mixed if t} and all(t for _, t in mixed)
+    last = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).collect()
+    assert len(last) == len(mixed)
+    for empty in (docs.limit(0),):
+        for _, function in corpus_pipeline.STAGES:
+            assert function(spark, empty, str(tmp_path)).count() == 0
