@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carrel.operators.guards import fail_if_any
@@ -31,18 +31,35 @@ def document(*columns: str) -> Column:
 
 
 def publish(rows: DataFrame, folder: str, version: int | str, view: str) -> int:
-    """Writes a new version beside the old ones, checks it, and then points the view at it.
+    """Writes a new version beside the old ones, checks it, and then points at it.
 
-    Readers of the view see the old version whole or the new one whole. Returns the rows written.
+    The pointer is a row in a table of its own beside the versions, so every session and every later
+    run sees the same one; readers see the old version whole or the new one whole. The view of this
+    session follows. Returns the rows written.
     """
     spark, path = rows.sparkSession, f"{folder}/{view}_{version}"
     rows.write.mode("errorifexists").parquet(path)
     written = spark.read.parquet(path)
     fail_if_any(written.agg(F.count("*").alias("n")).filter("n = 0"), "an empty version is not published")
+    pointer = spark.range(1).select(F.lit(str(version)).alias("version"), F.lit(path).alias("path"), F.current_timestamp().alias("at"))
+    pointer.write.mode("append").parquet(f"{folder}/{view}__pointers")
     written.createOrReplaceTempView(view)
     return written.count()
 
 
+def published(spark: SparkSession, folder: str, view: str) -> DataFrame:
+    """The version that was published last, in whatever session."""
+    last = spark.read.parquet(f"{folder}/{view}__pointers").agg(F.max_by("path", "at")).first()[0]
+    return spark.read.parquet(last)
+
+
+def outdated(spark: SparkSession, folder: str, view: str) -> DataFrame:
+    """(version, path) of published versions that a later one replaced, which may be removed."""
+    pointers = spark.read.parquet(f"{folder}/{view}__pointers")
+    last = pointers.agg(F.max_by("path", "at").alias("_last"))
+    return pointers.join(last, F.col("path") == F.col("_last"), "left_anti").select("version", "path")
+
+
 def write_documents(rows: DataFrame, path: str, key: str) -> None:
     """JSON lines of null-free documents; a missing or repeated key fails before anything is written."""
     fail_if_any(rows.filter(F.col(key).isNull()), "a document without a key")

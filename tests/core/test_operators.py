@@ -432,6 +432,10 @@ def test_sinks(spark, tmp_path):
     with pytest.raises(guards.DataError, match="twice"):
         sinks.write_documents(rows.unionByName(rows), str(tmp_path / "e"), "id")
     assert sinks.publish(rows, str(tmp_path / "p"), 1, "found_items") == 2
+    for version, some in (("1", rows), ("later", rows.limit(1))):
+        sinks.publish(some, str(tmp_path / "q"), version, "other_items")
+    assert sinks.published(spark.newSession(), str(tmp_path / "q"), "other_items").count() == 1
+    assert [r.version for r in sinks.outdated(spark, str(tmp_path / "q"), "other_items").collect()] == ["1"]
     with pytest.raises(guards.DataError, match="empty"):
         sinks.publish(rows.limit(0), str(tmp_path / "p"), 2, "found_items")
     assert spark.table("found_items").count() == 2
