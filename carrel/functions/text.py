@@ -124,6 +124,14 @@ def first_label(c: Column | str, rules: list[tuple[str, str]], otherwise: str |
     return out
 
 
+def prefix_label(c: Column | str, table: dict[str, str]) -> Column:
+    """The label of the longest prefix of the table that a text begins with; null for others."""
+    out = F.lit(None).cast("string")
+    for prefix in sorted(table, key=len):
+        out = F.when(col(c).startswith(prefix), F.lit(table[prefix])).otherwise(out)
+    return out
+
+
 def key(c: Column | str) -> Column:
     """Lower case, with white space collapsed: what aliases are matched on."""
     return filled(F.lower(F.regexp_replace(strip(c), r"(?U)\s+", " ")))

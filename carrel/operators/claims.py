@@ -49,6 +49,17 @@ def sharing(rows: DataFrame, id_: str, value: str) -> DataFrame:
     return left.join(right, "_v").filter("a <> b").select("a", "b").distinct()
 
 
+def sharing_groups(rows: DataFrame, id_: str, value: str) -> DataFrame:
+    """(id, group, n): those that share a value as members of a group named by its smallest id.
+
+    The same pairs as ``sharing`` says, a row for each member instead of one for each pair, so that a
+    value with very many ids costs no more than these.
+    """
+    one = rows.filter(F.col(value).isNotNull()).select(F.col(id_).alias("id"), F.col(value).alias("_v")).distinct()
+    groups = one.groupBy("_v").agg(F.min("id").alias("group"), F.count("*").alias("n")).filter("n > 1")
+    return one.join(groups, "_v").select("id", "group", "n")
+
+
 def resolve(claims: DataFrame, prefer: str, order: str = "decided_at") -> DataFrame:
     """(subject, predicate, value): the preferred actor's last value, else the only one said.
 

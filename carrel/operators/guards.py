@@ -62,6 +62,17 @@ def missing_fields(documents: DataFrame, id_: str, data: str, fields: list[str])
     return documents.select(F.col(id_).alias("id"), lacking.alias("missing")).filter(F.size("missing") > 0)
 
 
+def mistyped(claims: DataFrame, types: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Claims (subject, predicate, object) whose ends aren't of types that their predicate allows.
+
+    types: (node, type); allowed: (predicate, subject_type, object_type). An end without a type fits nothing.
+    """
+    told = claims
+    for end in ("subject", "object"):
+        told = told.join(types.select(F.col("node").alias(end), F.col("type").alias(f"{end}_type")), end, "left")
+    return told.join(allowed, ["predicate", "subject_type", "object_type"], "left_anti").select("subject", "predicate", "object", "subject_type", "object_type")
+
+
 def unsymmetric(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Pairs without their mirror."""
     mirror = pairs.select(F.col(b).alias(a), F.col(a).alias(b)).distinct()

@@ -124,6 +124,20 @@ def in_order(rows: DataFrame, stages: list[tuple[str, Callable[[DataFrame], Data
     return rows, changes
 
 
+def scoped(rows: DataFrame, scope: Column, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A change made to the rows in scope alone; rows of which the scope is unknown stay as they are."""
+    inside = F.coalesce(scope, F.lit(False))
+    return change(rows.filter(inside)).unionByName(rows.filter(~inside))
+
+
+def first_set(rows: DataFrame, key: str, sets: list[tuple[str, DataFrame]], label: str, otherwise: str) -> DataFrame:
+    """Adds the label of the first of several sets of keys that holds a row's key."""
+    all_ = reduce(DataFrame.unionByName, (df.select(F.col(df.columns[0]).alias("_member"), F.lit(i).alias("_rank")) for i, (_, df) in enumerate(sets)))
+    first = all_.groupBy("_member").agg(F.min("_rank").alias("_rank"))
+    names = F.array(*(F.lit(name) for name, _ in sets))
+    return rows.join(first, F.col(key) == F.col("_member"), "left").withColumn(label, F.coalesce(F.get(names, F.col("_rank")), F.lit(otherwise))).drop("_member", "_rank")
+
+
 def derive(rows: DataFrame, derivers: list[tuple[str, Column]]) -> DataFrame:
     """Columns derived one after the other from a table of (name, expression)."""
     return reduce(lambda df, d: df.withColumn(*d), derivers, rows)

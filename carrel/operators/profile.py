@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,12 @@ def excluded(rows: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     return rows.withColumn("reason", reason)
 
 
+def observed(rows: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """(rows, what is measured of them while they are written): their number and other aggregates."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in metrics.items())), seen
+
+
 def outcomes(rows: DataFrame, error: Column, skipped: Column) -> DataFrame:
     """(stored, skipped, errors) in one pass; a row that failed counts as an error alone."""
     bad, left = F.coalesce(error, F.lit(False)), F.coalesce(skipped, F.lit(False))

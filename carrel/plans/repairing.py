@@ -334,3 +334,84 @@ def split_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = load(spark, sf_dir, "documents")
     pairs = d.select(F.lag("doc_id").over(Window.partitionBy("lang").orderBy("doc_id")).alias("a"), F.col("doc_id").alias("b")).filter("a is not null")
     return clusters.split_pairs(pairs, clusters.by_equal(d, "doc_id", "text"))
+
+@book.query("""
+SELECT p_partkey, CASE WHEN p_brand LIKE 'Brand#3%' THEN 'third' ELSE 'any' END AS label, CASE WHEN p_partkey % 4 = 0 THEN 'first' WHEN p_partkey % 6 = 0 THEN 'second' ELSE 'rest' END AS kind,
+  CASE WHEN p_type = 'PROMO' THEN 'promo' ELSE p_name END AS name FROM part""")
+def prefixes_and_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels by the longest prefix, kinds by the first set of ids, and a change to the rows of one type alone."""
+    p = load(spark, sf_dir, "part").select("p_partkey", text.prefix_label("p_brand", {"Brand": "any", "Brand#3": "third"}).alias("label"), "p_type", F.col("p_name").alias("name"))
+    kinds = patching.first_set(p, "p_partkey", [("first", p.filter("p_partkey % 4 = 0").select("p_partkey")), ("second", p.filter("p_partkey % 6 = 0").select("p_partkey"))], "kind", "rest")
+    return patching.scoped(kinds, F.col("p_type").startswith("PROMO"), lambda df: df.withColumn("name", F.lit("promo"))).drop("p_type")
+
+
+@book.query("""
+SELECT 'n' || c_nationkey AS subject, 'holds' AS predicate, 'c' || c_custkey AS object, 'nation' AS subject_type, CASE WHEN c_custkey % 3 <> 0 THEN 'customer' END AS object_type FROM customer WHERE c_custkey % 3 = 0 OR c_nationkey % 2 = 1""")
+def mistyped_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims between things of types that their predicate doesn't allow, or of none."""
+    c = load(spark, sf_dir, "customer")
+    node = lambda p, x: F.concat(F.lit(p), F.col(x).cast("string"))
+    edges = c.select(node("n", "c_nationkey").alias("subject"), F.lit("holds").alias("predicate"), node("c", "c_custkey").alias("object"))
+    types = c.select(node("n", "c_nationkey").alias("node"), F.lit("nation").alias("type")).distinct().unionByName(c.filter("c_custkey % 3 <> 0").select(node("c", "c_custkey").alias("node"), F.lit("customer").alias("type")))
+    even = edges.filter(F.substr("subject", F.lit(2)).cast("int") % 2 == 0)
+    odd = edges.filter(F.substr("subject", F.lit(2)).cast("int") % 2 == 1)
+    allowed = lambda *r: spark.createDataFrame(list(r), "predicate string, subject_type string, object_type string")
+    return guards.mistyped(even, types, allowed(("holds", "nation", "customer"))).unionByName(guards.mistyped(odd, types, allowed(("holds", "region", "customer"))))
+
+
+@book.query("""
+WITH x AS (SELECT DISTINCT l_suppkey AS id, l_partkey AS v FROM lineitem)
+SELECT id, min(id) OVER (PARTITION BY v) AS "group", count(*) OVER (PARTITION BY v) AS n FROM x QUALIFY count(*) OVER (PARTITION BY v) > 1""")
+def sharing_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers of a part as members of its group, instead of all their pairs."""
+    return claims.sharing_groups(load(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey")
+
+
+@book.query("""
+SELECT c_custkey AS id, 'near' AS tier, min(c_custkey) OVER w AS "group", count(*) OVER w AS n FROM customer WINDOW w AS (PARTITION BY c_nationkey, c_mktsegment) QUALIFY count(*) OVER w > 1
+UNION ALL SELECT c_custkey, 'far', min(c_custkey) OVER w, count(*) OVER w FROM customer WINDOW w AS (PARTITION BY c_mktsegment) QUALIFY count(*) OVER w > 1""")
+def companion_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that belong together, by two tiers, as members of groups."""
+    items = load(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "id")
+    return joins.companion_groups(items, [("near", ["c_nationkey", "c_mktsegment"]), ("far", ["c_mktsegment"])])
+
+
+@book.query("""
+SELECT o_orderkey AS mention, CASE o_orderstatus WHEN 'F' THEN 'accepted' WHEN 'O' THEN 'rejected' ELSE 'pending' END AS status FROM orders""")
+def review_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of several verdicts on each mention of a queue."""
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("mention"), "o_orderstatus")
+    said = o.filter("o_orderstatus IN ('F', 'O')")
+    first = said.select("mention", F.lit("rejected").alias("status"), F.lit(1).alias("at"))
+    second = said.filter("o_orderstatus = 'F'").select("mention", F.lit("accepted").alias("status"), F.lit(2).alias("at"))
+    return joins.review_states(o.select("mention", F.lit("pending").alias("status")), first.unionByName(second))
+
+
+@book.query("""
+SELECT n_nationkey + 1 AS line_no, n_name AS line FROM nation WHERE n_nationkey < 20 UNION ALL SELECT 21, '# section' UNION ALL SELECT 22 + r_regionkey, r_name FROM region""")
+def section_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log whose section from a marker on is replaced; doing it twice changes nothing more."""
+    n = load(spark, sf_dir, "nation")
+    log = n.select((F.col("n_nationkey") + 1).alias("line_no"), F.when(F.col("n_nationkey") == 20, "# section").otherwise(F.col("n_name")).alias("line"))
+    section = load(spark, sf_dir, "region").select((F.col("r_regionkey") + 1).cast("long").alias("line_no"), F.col("r_name").alias("line"))
+    once = sinks.section_replaced(log, "# section", section)
+    return sinks.section_replaced(once, "# section", section)
+
+
+@book.query("SELECT 'lineitem' AS name, count(*) AS rows, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem")
+def observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a write measures of its rows as it goes."""
+    rows, seen = profile.observed(load(spark, sf_dir, "lineitem"), "lineitem", quantity=F.sum("l_quantity"))
+    rows.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([("lineitem", int(seen.get["rows"]), int(seen.get["quantity"]))], "name string, rows long, quantity long")
+
+
+@book.query("""
+SELECT p_partkey AS id, 'Other' || p_size AS candidate FROM part WHERE p_size % 2 = 0""")
+def harvest_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of kin in prose that are neither part of a known one nor have one as a part."""
+    p = load(spark, sf_dir, "part")
+    other = F.concat(F.lit("Other"), F.col("p_size").cast("string"))
+    prose = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("son of Known; son of "), other, F.lit(";"))).otherwise("son of Known the Elder;")
+    rows = p.select(F.col("p_partkey"), prose.alias("prose"), F.array(F.lit("Known")).alias("known"))
+    return lines.harvest(rows, "p_partkey", "prose", "known", [r"son of ([^;]+);"], parts=True)

@@ -25,12 +25,15 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType, key: list[s
     return rows
 
 
-def agent_of(file: Column | str) -> Column:
-    """Struct (agent, chunk) of ``agent-a-part.jsonl``; null for other names; no third part, no chunk."""
+def agent_of(file: Column | str, chunked: bool = False) -> Column:
+    """Struct (agent, chunk) of ``agent-a-part.jsonl``; null for other names.
+
+    Without a third part there is no chunk, and nothing at all if names are to be ``chunked``.
+    """
     stem = F.regexp_replace(F.col(file) if isinstance(file, str) else file, r"\.jsonl$", "")
     parts = F.split(stem, "-", 3)
     named = F.struct(F.get(parts, F.lit(1)).alias("agent"), F.get(parts, F.lit(2)).alias("chunk"))
-    return F.when((F.get(parts, F.lit(0)) == "agent") & (F.size(parts) >= 2), named)
+    return F.when((F.get(parts, F.lit(0)) == "agent") & (F.size(parts) >= (3 if chunked else 2)), named)
 
 
 def agents(spark: SparkSession, folder: str, schema: T.StructType, key: list[str], chunked: bool = False) -> DataFrame:

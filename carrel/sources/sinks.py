@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carrel.operators.guards import fail_if_any
@@ -74,6 +74,19 @@ def write_sorted_json(rows: DataFrame, path: str, order: list[Column | str]) ->
     rows.repartitionByRange(*order).sortWithinPartitions(*order).select(line).write.mode("overwrite").text(path)
 
 
+def section_replaced(log: DataFrame, marker: str, section: DataFrame) -> DataFrame:
+    """(line_no, line) of a log cut at the first line that is the marker, with the section's lines after it.
+
+    Replacing it again gives the same lines.
+    """
+    order = Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)  # a log is a document of its own
+    kept = log.withColumn("_after", F.max((F.col("line") == marker).cast("int")).over(order)).filter("_after = 0").select("line_no", "line")
+    last = kept.agg(F.coalesce(F.max("line_no"), F.lit(0)).cast("long").alias("_last"))
+    added = section.select((F.col("line_no") + 1).alias("_n"), "line").unionByName(last.select(F.lit(1).cast("long").alias("_n"), F.lit(marker).alias("line")))
+    numbered = added.join(F.broadcast(last)).select((F.col("_last") + F.col("_n")).alias("line_no"), "line")  # one row
+    return kept.select(F.col("line_no").cast("long").alias("line_no"), "line").unionByName(numbered)
+
+
 def audit(before: DataFrame, after: DataFrame, key: list[str], fields: list[str], stage: str) -> DataFrame:
     """(stage, key..., field, before, after) for each cell that a stage changed."""
     def long(df: DataFrame, name: str) -> DataFrame:
