@@ -121,7 +121,7 @@ def without_own_name(notes: Column | str, name: Column | str) -> Column:
 
 def ordinal_word(label: Column | str) -> Column:
     """The number of a heading: digits with st, nd, rd or th, else the longest ordinal word in it."""
-    digits = found(label, r"(?:^|\s)(\d+)(?:st|nd|rd|th)\s").cast("int")
+    digits = found(label, r"(?<!\S)(\d+)(?:st|nd|rd|th)(?=\s)").cast("int")
     ones = ["first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth"]
     teens = ["tenth", "eleventh", "twelfth", "thirteenth", "fourteenth", "fifteenth", "sixteenth", "seventeenth", "eighteenth", "nineteenth"]
     table = {w: i for i, w in enumerate(ones + teens, 1)} | {"twentieth": 20, "thirtieth": 30} | {f"{t}-{w}": n + i for t, n in (("twenty", 20), ("thirty", 30)) for i, w in enumerate(ones, 1)}
