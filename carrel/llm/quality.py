@@ -158,9 +158,8 @@ def training_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     Of several texts of one id the one of the smallest hash trains. Staged: it is read more than once.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    least = rows.groupBy("doc_id", "y").agg(F.min(F.xxhash64("text")).alias("_hash"))
-    same = rows.join(F.broadcast(least), ["doc_id", "y"]).filter(F.xxhash64("text") == F.col("_hash"))
-    return stage(same.select("doc_id", "text", "y").dropDuplicates(["doc_id"]), "labelled")
+    one = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return stage(one.select("doc_id", "text", "y"), "labelled")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", keep: Column | None = None, sample: int = SAMPLE) -> Model:
