@@ -2,7 +2,8 @@
 
 Writing: payload digests decide which records hold their payload and which are revisits of an equal
 one; each task writes its records into archives, each a gzip member of its own, and returns the
-index row of each record: archive, offset and length of the member, URL and digest. Reading takes any selection of index rows, brings those of an
+index row of each record: archive, offset and length of the member, URL and digest. An archive begins
+with a warcinfo record. Reading takes any selection of index rows, brings those of an
 archive together sorted by offset, joins neighbouring ranges into one read, and parses the records.
 
 Cases: a null html is an empty payload; payloads under 100 bytes are never revisits; rows that
@@ -62,6 +63,13 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def information(date: str = DATE) -> bytes:
+    """The warcinfo record that every archive begins with; the index has no row for it."""
+    block = b"software: carrel\r\nformat: WARC File Format 1.1\r\n"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", "WARC-Record-ID: <urn:archive:carrel>", f"WARC-Date: {date}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
 def parse(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
     """(WARC fields, HTTP fields, payload) of one record; a false length or digest raises."""
     head, _, rest = data.partition(b"\r\n\r\n")
@@ -95,10 +103,10 @@ def write(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISI
     typed = rows.join(revisits, same, "left").select("page_id", "url", "payload", "digest", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        parts: list[bytes] = []
+        part, first = TaskContext.get().partitionId(), gzip.compress(information(), 6, mtime=0)
+        parts: list[bytes] = [first]
         index: list[tuple] = []
-        at = 0
+        at = len(first)
 
         def flush() -> pa.RecordBatch:
             # a name of its own for every attempt: an index row always fits the archive it names
@@ -116,7 +124,7 @@ def write(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISI
                 at += len(data)
                 if at >= archive_bytes:
                     yield flush()
-                    parts, index, at = [], [], 0
+                    parts, index, at = [first], [], len(first)
         if index:
             yield flush()
 
