@@ -35,7 +35,7 @@ from carrel.llm.words import Chunk, chunks, mix, same_bytes
 
 END = 2
 FILE_TOKENS = 4_000_000
-_CACHED_PIECES = 1 << 19  #: by a worker; rarer ones are encoded for each chunk of texts
+_CACHED_PIECES = 1 << 20  #: by a worker; rarer ones are encoded for each chunk of texts
 _SPACE, _LINE, _NONE = 0, 1, 2  #: before a piece's word: a space, a line break, the start of the text
 
 
