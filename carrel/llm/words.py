@@ -90,17 +90,19 @@ class Chunk:
 
 
 def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether data[start[i]:end[i]] stands at other[at[i]], for each i; the ranges lie inside both."""
+    """Whether data[start[i]:end[i]] stands at other[at[i]], for each i; the ranges lie inside both, which hold under 2 GB."""
     size = (end - start).astype(np.int64)
     same = np.ones(len(size), bool)
     lo = 0
     edges = np.r_[0, np.cumsum(size)]
     while lo < len(size):  # a bounded number of bytes at a time
         hi = max(lo + 1, int(np.searchsorted(edges, edges[lo] + _COMPARED, "right")) - 1)
-        own = np.arange(edges[hi] - edges[lo])
-        left = np.repeat(start[lo:hi] - (edges[lo:hi] - edges[lo]), size[lo:hi])
-        right = np.repeat(at[lo:hi] - (edges[lo:hi] - edges[lo]), size[lo:hi])
-        differ = np.flatnonzero(data[left + own] != other[right + own])
+        own, shift = np.arange(edges[hi] - edges[lo], dtype=np.int32), edges[lo:hi] - edges[lo]
+        left = np.repeat((start[lo:hi] - shift).astype(np.int32), size[lo:hi])
+        right = np.repeat((at[lo:hi] - shift).astype(np.int32), size[lo:hi])
+        left += own
+        right += own
+        differ = np.flatnonzero(data[left] != other[right])
         same[lo + np.searchsorted(edges[lo : hi + 1] - edges[lo], differ, "right") - 1] = False
         lo = hi
     return same
