@@ -67,14 +67,14 @@ def apply_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @book.query("""
-SELECT p_partkey, p_name AS name, p_size % 2 = 0 AS syllabic, CASE WHEN p_size % 12 > 0 THEN p_size % 12 END AS ordinal, least(p_type, p_brand) || '|' || greatest(p_type, p_brand) AS variants FROM part WHERE p_type <> p_brand""")
+SELECT p_partkey, p_name AS name, p_size % 2 = 0 AS syllabic, CASE WHEN p_size % 12 > 0 THEN p_size % 12 END AS ordinal, CASE WHEN p_type = p_brand THEN p_type ELSE least(p_type, p_brand) || '|' || greatest(p_type, p_brand) END AS variants FROM part""")
 def strip_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Marks in names become columns: syllabic writing, ordinals and variants."""
+    """Marks at the end of names become columns: an ordinal, syllabic writing in any case, and variants."""
     roman = F.element_at(F.array(F.lit(""), *(F.lit(f" ({r})") for r in list(names.ROMAN)[:11])), F.col("p_size") % 12 + 1)
-    mark = F.when(F.col("p_size") % 2 == 0, " (syllabic)").otherwise("")
-    made = F.concat("p_name", mark, roman, F.lit(", var. "), "p_type", F.lit(", var. "), "p_brand")
+    mark = F.when(F.col("p_size") % 2 == 0, " (Syllabic)").otherwise("")
+    made = F.concat("p_name", roman, mark, F.lit(", var. "), "p_type", F.lit(", var. "), "p_brand")
     r = names.without_marks(made)
-    return load(spark, sf_dir, "part").filter("p_type <> p_brand").select("p_partkey", r["name"].alias("name"), r["syllabic"].alias("syllabic"), r["ordinal"].alias("ordinal"), F.array_join(r["variants"], "|").alias("variants"))
+    return load(spark, sf_dir, "part").select("p_partkey", r["name"].alias("name"), r["syllabic"].alias("syllabic"), r["ordinal"].alias("ordinal"), F.array_join(r["variants"], "|").alias("variants"))
 
 
 @book.query("""
