@@ -101,15 +101,18 @@ def _message(block: int, doc: np.ndarray, ids: np.ndarray, keys: np.ndarray, pla
 
 def _earlier(hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The entry of the smallest id among those of an equal hash, -1 where no id is smaller."""
-    order = np.argsort(hashes, kind="stable")
-    ordered, own = hashes[order], ids[order]
+    order = np.argsort(hashes, kind="stable").astype(np.int32)
+    ordered = hashes[order]
     head = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    sizes = np.diff(np.r_[head, len(ordered)])
-    least = np.repeat(np.minimum.reduceat(own, head), sizes)
-    first = np.flatnonzero(own == least)
-    first = first[np.r_[True, ordered[first][1:] != ordered[first][:-1]]]
-    found = np.empty(len(hashes), np.int64)
-    found[order] = np.where(own > least, np.repeat(order[first], sizes), -1)
+    group = np.repeat(np.arange(len(head), dtype=np.int32), np.diff(np.r_[head, len(ordered)]))
+    del ordered
+    own = ids[order]
+    least = np.minimum.reduceat(own, head)
+    later = own > least[group]
+    first = np.flatnonzero(~later)
+    first = first[np.r_[True, group[first][1:] != group[first][:-1]]]
+    found = np.full(len(hashes), -1, np.int32)
+    found[order[later]] = order[first][group[later]]
     return found
 
 
