@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm import decontaminate, language_model, mixing, quality, rules, simhash, sql, substring, tokenize, toxicity, warc
+from carrel.llm import bpe, decontaminate, divergence, language_model, mixing, quality, rules, simhash, sql, substring, tokenize, toxicity, warc, whitening
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,10 +85,28 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings on the first components of their covariance, with unit variance."""
+    vectors = whitening.integers(_table(spark, sf_dir, "embeddings"))
+    return whitening.whitened(vectors, whitening.fit(vectors))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the terms of each source differ from those of the other sources and of its language."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents encoded by byte-level BPE and decoded again."""
+    found = bpe.encode(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, with_text=True)
+    n_tokens = F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return found.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_simhash, op2_warc, op3_toxicity, op4_tokens, op5_rules, rules_ablation, op6_language_model, op7_substrings, op8_quality, op9_decontaminate, op10_mix]
+    found = [op1_simhash, op2_warc, op3_toxicity, op4_tokens, op5_rules, rules_ablation, op6_language_model, op7_substrings, op8_quality, op9_decontaminate, op10_mix, op11_whitening, op12_divergence, op13_bpe]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": sql.OP2, "op5_rules": sql.OP5, "rules_ablation": sql.ABLATION, "op7_substrings": sql.OP7, "op9_decontaminate": sql.OP9, "op10_mix": sql.OP10}
+    return {"op2_warc": sql.OP2, "op5_rules": sql.OP5, "rules_ablation": sql.ABLATION, "op7_substrings": sql.OP7, "op9_decontaminate": sql.OP9, "op10_mix": sql.OP10, "op12_divergence": sql.OP12}

@@ -89,3 +89,20 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN source_size > 0 THEN whole * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - whole * source_size - start)) ELSE 0 END AS taken
 FROM r
 """
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+x AS (SELECT r, lang, source, translate(w, '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS term FROM (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM d)),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS in_lang FROM x GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+l AS (SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(in_lang) AS HUGEINT) AS total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM x JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT g.lang, g.source, coalesce(max(v), 0) AS v, coalesce(max(total), 0) AS lang_total, CAST(coalesce(sum(n), 0) AS HUGEINT) AS total
+      FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN l ON g.lang = l.lang LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 2) // (total + 2 * v) AS p, 1 + 1000000000 * (in_lang + 2) // (lang_total + 2 * v) AS q
+      FROM g JOIN k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q),
+z AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM o)
+SELECT lang, source, part, item, value, rank FROM z WHERE part = 'pair' OR rank <= 10
+"""

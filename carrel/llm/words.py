@@ -108,8 +108,8 @@ def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.n
     return same
 
 
-def chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Splits a column of texts (null: empty) into chunks; a text is never divided."""
+def chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES, between: np.ndarray = _SPACE) -> Iterator[Chunk]:
+    """Splits a column of texts (null: empty) into chunks; a text is never divided. between: which bytes belong to no word."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string())
@@ -127,7 +127,7 @@ def chunks(texts: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
         hi = min(hi, n)
         part = data[offsets[lo] : offsets[hi]]
         edges = offsets[lo : hi + 1] - offsets[lo]
-        word = ~_SPACE[part]
+        word = ~between[part]
         first, last = word.copy(), word.copy()
         first[1:] &= ~word[:-1]
         last[:-1] &= ~word[1:]
