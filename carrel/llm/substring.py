@@ -133,7 +133,9 @@ def _send(batches: Iterator[pa.RecordBatch], window: int, blocks: int) -> Iterat
             if len(at):
                 ref = earlier[at]
                 refs = _references(place[at], own[doc[ref]], own_keys[doc[ref]], place[ref])
-                rows.append(_message(int(hashes[at[0]] % np.uint64(blocks)), doc[at], own, own_keys, place[at], None, refs))
+                # settled windows need no block of their own, so each chunk names another, whatever its texts begin with
+                salt = mix(own[:1].view(np.uint64) ^ mix(own_keys[:1].astype(np.uint64)))[0]
+                rows.append(_message(int(salt % np.uint64(blocks)), doc[at], own, own_keys, place[at], None, refs))
             open_ = np.flatnonzero(earlier < 0)
             block = (hashes[open_] % np.uint64(blocks)).astype(np.int32)
             order = np.argsort(block, kind="stable")

@@ -184,3 +184,18 @@ def test_windows_of_equal_hashes_are_not_removed(monkeypatch):
     out = pa.concat_tables([substring._cut(t, both.get(b, found.slice(0, 0).append_column("tag_doc", pa.array([], pa.int64())).append_column("tag_key", pa.array([], pa.int32())).append_column("tag_place", pa.array([], pa.int32()))), 13) for b, t in by(packed, "bucket").items()])
     got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out.to_pylist()), key=str)
     assert got == plain_substrings(rows)
+
+
+def test_settled_windows_spread_over_the_blocks():
+    """A third of the texts begin alike; no block gets much more of the settled windows than the others."""
+    rng = np.random.default_rng(0)
+    passage = " ".join(f"p{i}" for i in range(40))
+    blocks, chunk = 8, 200
+    settled = np.zeros(blocks, int)
+    for lo in range(0, 64 * chunk, chunk):  # each batch is a chunk of its own
+        texts = [(passage + " " if i % 3 == 0 else "") + " ".join(f"w{j}" for j in rng.integers(0, 10**9, 20)) for i in range(chunk)]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(lo, lo + chunk), pa.int64()), pa.array(texts), pa.array(range(chunk), pa.int32())], names=["doc_id", "text", "key"])
+        for part in substring._send(iter([batch]), 13, blocks):
+            for block, hashes in zip(part.column("block").to_pylist(), part.column("hashes").to_pylist(), strict=True):
+                settled[block] += hashes is None
+    assert settled.sum() == 64 and settled.max() <= 2.5 * settled.mean()
