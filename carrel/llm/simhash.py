@@ -62,17 +62,20 @@ def _ball(fp: Column, radius: int) -> Column:
 
 
 def links(fps: DataFrame, radius: int = 2) -> DataFrame:
-    """(a, b): links between different fingerprints of column fp that connect all within ``radius``.
+    """(a, b): links between different fingerprints of column fp that connect all within ``radius`` (1 or 2).
 
-    Within a variant's group every pair is within twice the half radius, so links from its smallest
-    fingerprint to each other one connect the same fingerprints as all pairs do.
+    Within a variant's group every pair is within twice the half radius, so for radius 2 links from its smallest
+    fingerprint to each other one connect the same fingerprints as all pairs do. For radius 1 only the
+    variant itself is near enough to all of its group, so links go from it, where it is a fingerprint.
     """
     if radius not in (1, 2):
         raise ValueError("the radius is 1 or 2")
     emitted = fps.select("fp", F.explode(_ball(F.col("fp"), 1)).alias("variant"))
     groups = emitted.groupBy("variant").agg(F.min("fp").alias("a"), F.max("fp").alias("top"), F.collect_set("fp").alias("members")).filter("a < top")
+    if radius == 1:
+        groups = groups.filter(F.array_contains("members", F.col("variant"))).withColumn("a", F.col("variant"))
     pairs = groups.select("a", F.explode("members").alias("b")).filter(F.col("a") != F.col("b"))
-    return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).distinct()
+    return pairs.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:

@@ -264,3 +264,27 @@ def test_quality_edge_cases(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert {r.score for r in quality.score(docs, quality.fit(docs, none)).collect()} == {0.5}
     assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+@pytest.mark.parametrize("radius", [1, 2])
+def test_links_connect_what_all_pairs_connect(spark, radius):
+    rng = np.random.default_rng(radius)
+    values = {0b1100, 0b1101, 0b0100, 0b1001, *(int(v) for v in rng.integers(0, 1 << 9, 60))}
+    values |= {v ^ (1 << 63) for v in list(values)[:20]}
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    found = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), radius).collect()
+    assert all((r.a ^ r.b).bit_count() <= radius if (r.a < 0) == (r.b < 0) else ((r.a ^ r.b) & (2**64 - 1)).bit_count() <= radius for r in found)
+
+    def components(pairs):
+        group = {v: v for v in signed}
+        for a, b in list(pairs) * 12:
+            group[a] = group[b] = min(group[a], group[b])
+        for _ in range(len(signed)):
+            for a, b in pairs:
+                group[a] = group[b] = min(group[a], group[b])
+        return group
+
+    pairs = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= radius]
+    assert components([(r.a, r.b) for r in found]) == components(pairs)
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)
