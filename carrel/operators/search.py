@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,16 +16,20 @@ LARGEST_PAGE = 100
 
 @dataclass(frozen=True)
 class Query:
-    """text ``*``: all rows; empty: all rows that filters, if there are any, leave. filters: field to value. typos: edits allowed a word."""
+    """text ``*``: all rows; empty: all rows that filters, if there are any, leave. filters: field to value. typos: edits allowed a word.
+
+    prefix: the last word may also begin a longer one.
+    """
 
     text: str = "*"
     filters: dict[str, str] = field(default_factory=dict)
     page: int = 1
     page_size: int = PAGE_SIZE
     typos: int = 0
+    prefix: bool = False
 
     def words(self) -> list[str]:
-        low = "".join(c if c.isascii() and c.isalnum() else " " for c in self.text.lower())
+        low = "".join(c if unicodedata.category(c)[0] in "LMN" else " " for c in self.text.lower())
         return list(dict.fromkeys(low.split()))
 
     def asks(self) -> bool:
@@ -61,18 +66,20 @@ def hits(rows: DataFrame, id_: str, fields: dict[str, float], query: Query) -> D
     rows = filtered(rows, query) if query.asks() else rows.filter(F.lit(False))
     words = query.words() if query.text.strip() not in ("", "*") else []
     score, every = F.lit(0.0), F.lit(True)
-    for w in words:
+    for i, w in enumerate(words):
+        begins = query.prefix and i == len(words) - 1
         # a field without tokens counts as one without the word
-        own = [F.when(F.coalesce(_holds(f, w, query.typos), F.lit(False)), F.lit(float(weight))).otherwise(F.lit(0.0)) for f, weight in fields.items()]
+        own = [F.when(F.coalesce(_holds(f, w, query.typos, begins), F.lit(False)), F.lit(float(weight))).otherwise(F.lit(0.0)) for f, weight in fields.items()]
         total = sum(own[1:], own[0])
         score, every = score + total, every & (total > 0)
     return rows.filter(every).withColumn("score", score)
 
 
-def _holds(f: str, word: str, typos: int) -> Column:
-    if not typos:
+def _holds(f: str, word: str, typos: int, begins: bool = False) -> Column:
+    if not typos and not begins:
         return F.array_contains(tokens(f), word)
-    return F.exists(tokens(f), lambda t: F.levenshtein(t, F.lit(word), typos) >= 0)
+    begun = lambda t: t.startswith(word) if begins else F.lit(False)
+    return F.exists(tokens(f), lambda t: (F.levenshtein(t, F.lit(word), typos) >= 0) | begun(t))
 
 
 def search_index(found: DataFrame, words: list[str]) -> DataFrame:
@@ -118,7 +125,7 @@ def toggled(query: Query, facet: str, value: str) -> Query:
         del filters[facet]
     else:
         filters[facet] = value
-    return Query(query.text, filters, 1, query.page_size, query.typos)
+    return Query(query.text, filters, 1, query.page_size, query.typos, query.prefix)
 
 
 #: Licenses whose pictures may be shown.

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.operators import search
+from carrel.operators import postings, search
 from carrel.plans.registry import Book
-from carrel.sources.staging import load
+from carrel.sources.staging import fresh_dir, load
 
 book = Book()
 
@@ -37,9 +37,34 @@ def search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @book.query("""
 SELECT count(*) AS found, CAST(ceil(count(*) / 24) AS BIGINT) AS pages FROM part WHERE len([x FOR x IN string_split(lower(p_name), ' ') IF levenshtein(x, 'wiget') <= 1]) > 0""")
 def search_typo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits and pages of a misspelt word, one edit allowed."""
+    """Hits and pages of a misspelt word, one edit allowed, from the stored index."""
     q = search.Query("wiget", typos=1)
-    return search.totals(search.hits(load(spark, sf_dir, "part"), "p_partkey", {"p_name": 1.0}, q), q)
+    return search.totals(postings.found(spark, _stored(spark, sf_dir, "part", "p_partkey", {"p_name": 1.0}), q), q)
+
+
+def _stored(spark: SparkSession, sf_dir: str, table: str, id_: str, fields: dict[str, float]) -> postings.Index:
+    return postings.write(load(spark, sf_dir, table), id_, fields, fresh_dir(spark, "search-index"))
+
+
+_WORDS = r"[x FOR x IN string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}]+') IF x <> '']"
+
+
+@book.query(f"""
+WITH t AS (SELECT doc_id, {_WORDS} AS w FROM documents)
+SELECT doc_id AS id, CAST(2 AS DOUBLE) AS score FROM t
+WHERE len([x FOR x IN w IF levenshtein(x, 'thei') <= 1]) > 0 AND len([x FOR x IN w IF levenshtein(x, 'wat') <= 1 OR starts_with(x, 'wat')]) > 0""")
+def search_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a word within one edit of the first one and a word that is near or begins with the second."""
+    index = _stored(spark, sf_dir, "documents", "doc_id", {"text": 1.0})
+    return postings.found(spark, index, search.Query("Thei WAT", typos=1, prefix=True))
+
+
+@book.query("""
+SELECT p_partkey AS id, 2.0::DOUBLE * list_contains(string_split(lower(p_name), ' '), 'small')::INT + (lower(p_type) = 'small')::INT AS score FROM part
+WHERE list_contains(string_split(lower(p_name), ' '), 'small') OR lower(p_type) = 'small' ORDER BY score DESC, id LIMIT 50""")
+def search_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best rows of a word over two fields, by bounds of blocks."""
+    return postings.best(spark, _stored(spark, sf_dir, "part", "p_partkey", FIELDS), search.Query("small"), 50)
 
 
 @book.query("""
