@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carrel.functions.claims import place_role
 from carrel.operators.guards import fail_if_any
+from carrel.sources.staging import stage
 
 
 def reify(rows: DataFrame, subject: str, predicates: list[str], actor: str) -> DataFrame:
@@ -21,12 +22,38 @@ def tips(verdicts: DataFrame) -> DataFrame:
     return verdicts.join(replaced, "verdict_id", "left_anti")
 
 
+def chains(verdicts: DataFrame) -> DataFrame:
+    """(verdict_id, claim_id, root, position): the first verdict of each one's chain and how many come before it.
+
+    Every verdict looks at the one it supersedes, then at what that one has found, so it sees twice as
+    far each round. root and position are null where the way back never ends, in a ring, or leads to a verdict that is
+    not there. Verdicts that supersede the same one are on different chains.
+    """
+    told = verdicts.select("verdict_id", "claim_id", F.coalesce("supersedes", "verdict_id").alias("at"), F.col("supersedes").isNotNull().cast("long").alias("steps"), F.col("supersedes").isNull().alias("ended"))
+    now = stage(told, "chains")
+    left = now.filter("not ended").count()
+    while left:
+        seen = now.select(F.col("verdict_id").alias("_id"), F.col("at").alias("_at"), F.col("steps").alias("_steps"), F.col("ended").alias("_ended"))
+        onward = now.filter("not ended").join(seen, F.col("at") == F.col("_id"), "left")
+        # a verdict that isn't there ends the way without a root
+        lost = F.col("_id").isNull()
+        moved = onward.select("verdict_id", "claim_id", F.when(~lost, F.col("_at")).alias("at"), F.when(~lost, F.col("steps") + F.col("_steps")).alias("steps"), F.coalesce("_ended", F.lit(True)).alias("ended"))
+        now = stage(now.filter("ended").unionByName(moved), "chains")
+        before, left = left, now.filter("not ended").count()
+        if left == before:  # of a chain the nearest to the root would have ended
+            break
+    return now.select("verdict_id", "claim_id", F.when(F.col("ended"), F.col("at")).alias("root"), F.when(F.col("ended"), F.col("steps")).alias("position"))
+
+
 def check_chains(verdicts: DataFrame) -> None:
-    """Fails unless each claim's verdicts form one chain: one root, one successor each, one tip."""
+    """Fails unless each claim's verdicts form one chain: one root, one successor each, connected and without rings."""
     fail_if_any(verdicts.filter("supersedes is not null").groupBy("supersedes").count().filter("count > 1"), "a verdict has several successors")
     per = verdicts.groupBy("claim_id").agg(F.count_if(F.col("supersedes").isNull()).alias("roots"))
     fail_if_any(per.filter("roots <> 1"), "a claim without one first verdict")
-    fail_if_any(tips(verdicts).groupBy("claim_id").count().filter("count <> 1"), "a claim without one last verdict")
+    placed = chains(verdicts)
+    fail_if_any(placed.filter("root is null"), "a verdict in a ring, or behind one that is not there")
+    roots = verdicts.select(F.col("verdict_id").alias("root"), F.col("claim_id").alias("_claim"))
+    fail_if_any(placed.join(roots, "root").filter(~F.col("claim_id").eqNullSafe(F.col("_claim"))), "a verdict in the chain of another claim")
 
 
 def shortcuts(claims: DataFrame, verdicts: DataFrame, human: str = "human") -> DataFrame:
@@ -61,13 +88,13 @@ def sharing_groups(rows: DataFrame, id_: str, value: str) -> DataFrame:
 
 
 def resolve(claims: DataFrame, prefer: str, order: str = "decided_at") -> DataFrame:
-    """(subject, predicate, value): the preferred actor's last value, else the only one said.
+    """(subject, predicate, value): the preferred actor's last value (of one time the greatest), else the only one said.
 
     Several values without a preferred one fail.
     """
     own = F.col("actor") == prefer
     per = claims.groupBy("subject", "predicate").agg(
-        F.max_by(F.when(own, F.col("value")), F.when(own, F.col(order))).alias("chosen"),
+        F.max_by(F.when(own, F.col("value")), F.when(own & F.col(order).isNotNull(), F.struct(order, "value"))).alias("chosen"),
         F.count_distinct("value").alias("n"),
         F.min("value").alias("any"),
     )

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carrel.sources.staging import stage
+
 
 def min_label(nodes: DataFrame, links: DataFrame, save: Callable[[DataFrame, int], DataFrame], most_rounds: int = 40) -> DataFrame:
     """(id, cluster): the smallest id reachable by links (a, b), both ways.
@@ -29,6 +31,69 @@ def min_label(nodes: DataFrame, links: DataFrame, save: Callable[[DataFrame, int
     raise ValueError(f"labels still change after {most_rounds} rounds")
 
 
+def constrained(nodes: DataFrame, links: DataFrame, cannot: DataFrame | None = None, exclusive: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Clusters that hold no forbidden pair: ((id, cluster), refused links (a, b, weight, reason)).
+
+    links: (a, b, weight); cannot: (a, b) that may not be together; exclusive: (id, key), of which no
+    cluster may hold two ids of one key, as two rows of one source. Links are taken from the greatest weight
+    on, of equal ones by a hash of their ends, and a link that would bring a forbidden pair together is refused.
+
+    That order needs no sequence: where a link is the first of all that leave both of its clusters,
+    nothing can change these before it comes up. So each round decides all such links, by joins with the
+    constraints between clusters, merges or refuses, and names merged clusters anew. Components in which nothing is forbidden are
+    merged at once. Links of an end that is no node, of a null end, or of a node with itself are left out; constraints of
+    an id with itself forbid nothing.
+    """
+    spark = nodes.sparkSession
+    kind = nodes.schema["id"].dataType.simpleString()
+    ids = nodes.select("id").filter("id is not null").distinct()
+    if cannot is None:
+        cannot = spark.createDataFrame([], f"a {kind}, b {kind}")
+    if exclusive is None:
+        exclusive = spark.createDataFrame([], f"id {kind}, key string")
+    pairs = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("weight").cast("double").alias("weight"))
+    for end in ("a", "b"):
+        pairs = pairs.join(ids.withColumnRenamed("id", end), end, "left_semi")
+    pairs = stage(pairs.groupBy("a", "b").agg(F.max("weight").alias("weight")), "constrained-links")
+    apart = stage(cannot.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "constrained-cannot")
+    keys = stage(exclusive.filter("key is not null").select("id", "key").distinct(), "constrained-keys")
+
+    def between(labels: DataFrame, rows: DataFrame) -> DataFrame:
+        """Rows with ends a and b, and the clusters ca < cb of these, where they differ."""
+        told = rows.join(labels.select(F.col("id").alias("a"), F.col("cluster").alias("_x")), "a").join(labels.select(F.col("id").alias("b"), F.col("cluster").alias("_y")), "b")
+        return told.filter("_x <> _y").withColumn("ca", F.least("_x", "_y")).withColumn("cb", F.greatest("_x", "_y")).drop("_x", "_y")
+
+    whole = stage(min_label(ids, pairs, lambda df, i: stage(df, "constrained-round")), "constrained-whole")
+    bad_pairs = apart.join(whole.select(F.col("id").alias("a"), "cluster"), "a").join(whole.select(F.col("id").alias("b"), F.col("cluster").alias("_other")), "b").filter("cluster = _other").select("cluster")
+    bad_keys = keys.join(whole, "id").groupBy("cluster", "key").count().filter("count > 1").select("cluster")
+    bad = stage(bad_pairs.unionByName(bad_keys).distinct(), "constrained-bad")
+    free = whole.join(bad, "cluster", "left_anti").select("id", "cluster")
+    labels = stage(whole.join(bad, "cluster", "left_semi").select("id", F.col("id").alias("cluster")), "constrained-labels")
+    open_ = stage(pairs.join(labels.select(F.col("id").alias("a")), "a", "left_semi"), "constrained-open")
+    refused = []
+    while True:
+        told = stage(between(labels, open_), "constrained-told")
+        if told.isEmpty():
+            break
+        first = told.groupBy("ca", "cb").agg(F.max(F.struct("weight", F.xxhash64("a", "b").alias("h"), "a", "b")).alias("top"))
+        ends = first.select(F.col("ca").alias("c"), "top", "ca", "cb").unionByName(first.select(F.col("cb").alias("c"), "top", "ca", "cb"))
+        mine = ends.groupBy("c").agg(F.max(F.struct("top", "ca", "cb")).alias("m"))
+        due = stage(mine.groupBy("m.ca", "m.cb").count().filter("count = 2").select("ca", "cb"), "constrained-due")
+        by_pair = between(labels, apart).select("ca", "cb", F.lit("cannot").alias("reason")).distinct()
+        held = keys.join(labels, "id").select("cluster", "key").distinct()
+        by_key = due.join(held.select(F.col("cluster").alias("ca"), "key"), "ca").join(held.select(F.col("cluster").alias("cb"), "key"), ["cb", "key"]).select("ca", "cb", F.lit("exclusive").alias("reason")).distinct()
+        judged = stage(due.join(by_pair.unionByName(by_key).groupBy("ca", "cb").agg(F.min("reason").alias("reason")), ["ca", "cb"], "left"), "constrained-judged")
+        gone = told.join(judged.filter("reason is not null"), ["ca", "cb"]).select("a", "b", "weight", "reason")
+        refused.append(stage(gone, "constrained-refused"))
+        open_ = stage(told.join(judged, ["ca", "cb"], "left_anti").select("a", "b", "weight"), "constrained-open")
+        moved = judged.filter("reason is null").select(F.col("cb").alias("cluster"), F.col("ca").alias("_to"))
+        labels = stage(labels.join(moved, "cluster", "left").select("id", F.coalesce("_to", "cluster").alias("cluster")), "constrained-labels")
+    out = spark.createDataFrame([], f"a {kind}, b {kind}, weight double, reason string")
+    for one in refused:
+        out = out.unionByName(one)
+    return free.unionByName(labels), out
+
+
 def by_equal(rows: DataFrame, id_: str, value: str) -> DataFrame:
     """(id, cluster): rows of an equal value, without links between them."""
     least = rows.groupBy(F.col(value).alias("_v")).agg(F.min(id_).alias("cluster"))

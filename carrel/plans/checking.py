@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carrel.operators import guards, ordering, profile
@@ -74,8 +74,18 @@ def composite_sort_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = (F.col("n_nationkey") % 3 == 0).cast("int")
     number = ordering.parsed("n_name", r"^NATION_(\d+)$", [True])
     region = ordering.ranked(F.col("n_regionkey").cast("string"), ["3", "1"])
-    place = F.row_number().over(Window.orderBy(last, ordering.natural("n_name")))
-    return n.select("n_name", place.cast("long").alias("place"), F.row_number().over(Window.orderBy(region, *number)).cast("long").alias("by_region"))
+    by_place = ordering.placed(n, [last, ordering.natural("n_name")])
+    return ordering.placed(by_place, [region, *number], "by_region").select("n_name", "place", "by_region")
+
+
+@book.query("""
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderstatus = 'F', o_custkey % 4 = 0, lower(o_orderpriority), o_totalprice DESC, o_orderkey) AS place FROM orders""")
+def orders_in_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places over the whole table: unplaced orders last, damaged names after whole ones, then by name, price and key."""
+    name = F.when(F.col("o_custkey") % 4 == 0, F.concat(F.lit(" ["), "o_orderpriority")).otherwise(F.col("o_orderpriority"))
+    bins = ordering.binned("_name", F.col("o_orderstatus") == "F")
+    o = load(spark, sf_dir, "orders").withColumn("_name", name)
+    return ordering.placed(o, [*bins, F.col("o_totalprice") * -1, "o_orderkey"]).select("o_orderkey", "place")
 
 
 @book.query("SELECT side, count(*) AS n FROM (SELECT 'left' AS side FROM part WHERE p_size % 5 = 0 UNION ALL SELECT 'right' FROM part WHERE p_size % 5 = 0) GROUP BY 1")

@@ -33,6 +33,17 @@ def verdict_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims.tips(_verdicts(spark, sf_dir)).select("verdict_id", "claim_id", "outcome")
 
 
+@book.query("""
+WITH v AS (SELECT event_id, user_id, row_number() OVER w - 1 AS n, first_value(event_id) OVER w AS first FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+SELECT event_id AS verdict_id, user_id AS claim_id, CASE WHEN user_id % 10 <> 3 THEN first END AS root, CASE WHEN user_id % 10 <> 3 THEN n END AS position FROM v""")
+def verdict_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each verdict in its claim's chain; a tenth of the claims' chains are bent into rings, which have no first one."""
+    v = _verdicts(spark, sf_dir)
+    last = claims.tips(v).filter("claim_id % 10 = 3").select("claim_id", F.col("verdict_id").alias("_last"))
+    bent = v.join(last, "claim_id", "left").withColumn("supersedes", F.coalesce("supersedes", "_last"))
+    return claims.chains(bent)
+
+
 @book.query("""
 WITH tip AS (SELECT user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT DISTINCT c_custkey AS subject, 'segment' AS predicate, c_mktsegment AS value FROM customer WHERE c_custkey % 10 = 0 OR c_custkey IN (SELECT user_id FROM tip WHERE event_type <> 'error')""")

@@ -79,8 +79,8 @@ def section_replaced(log: DataFrame, marker: str, section: DataFrame) -> DataFra
 
     Replacing it again gives the same lines.
     """
-    order = Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)  # a log is a document of its own
-    kept = log.withColumn("_after", F.max((F.col("line") == marker).cast("int")).over(order)).filter("_after = 0").select("line_no", "line")
+    first = log.filter(F.col("line") == marker).agg(F.min("line_no").alias("_first"))
+    kept = log.join(F.broadcast(first)).filter("_first is null or line_no < _first").select("line_no", "line")  # one row
     last = kept.agg(F.coalesce(F.max("line_no"), F.lit(0)).cast("long").alias("_last"))
     added = section.select((F.col("line_no") + 1).alias("_n"), "line").unionByName(last.select(F.lit(1).cast("long").alias("_n"), F.lit(marker).alias("line")))
     numbered = added.join(F.broadcast(last)).select((F.col("_last") + F.col("_n")).alias("line_no"), "line")  # one row
