@@ -181,7 +181,7 @@ def cannot_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @book.query("""
-WITH c AS (SELECT c_custkey AS id, (c_custkey - 1) // 3 AS g, (c_custkey - 1) % 3 AS i, c_mktsegment AS s, c_nationkey AS n, c_acctbal * 1000000 + c_custkey AS w FROM customer),
+WITH c AS (SELECT c_custkey AS id, c_custkey // 3 AS g, c_custkey % 3 AS i, c_mktsegment AS s, c_nationkey AS n, c_acctbal * 1000000 + c_custkey AS w FROM customer),
 t AS (SELECT g, max(id) FILTER (i = 0) AS x, max(id) FILTER (i = 1) AS y, max(id) FILTER (i = 2) AS z, max(w) FILTER (i = 0) > max(w) FILTER (i = 2) AS xy_first,
         max(s) FILTER (i = 0) = max(s) FILTER (i = 1) AS f_xy, max(s) FILTER (i = 1) = max(s) FILTER (i = 2) AS f_yz, max(s) FILTER (i = 0) = max(s) FILTER (i = 2) OR max(n) FILTER (i = 0) <> max(n) FILTER (i = 2) AS f_xz FROM c GROUP BY g),
 u AS (SELECT *, CASE WHEN xy_first OR z IS NULL THEN NOT f_xy WHEN NOT f_yz THEN NOT (f_xy OR f_xz) ELSE NOT f_xy END AS xy,
@@ -189,7 +189,7 @@ u AS (SELECT *, CASE WHEN xy_first OR z IS NULL THEN NOT f_xy WHEN NOT f_yz THEN
 SELECT id, CASE i WHEN 0 THEN x WHEN 1 THEN CASE WHEN xy THEN x ELSE y END ELSE CASE WHEN yz AND xy THEN x WHEN yz THEN y ELSE z END END AS cluster FROM c JOIN u USING (g)""")
 def constrained_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chains of three customers: none may hold two of one segment, and their ends must be of one nation."""
-    c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), ((F.col("c_custkey") - 1) % 3).alias("i"), "c_mktsegment", "c_nationkey", (F.col("c_acctbal") * 1000000 + F.col("c_custkey")).alias("w"))
+    c = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_custkey") % 3).alias("i"), "c_mktsegment", "c_nationkey", (F.col("c_acctbal") * 1000000 + F.col("c_custkey")).alias("w"))
     links = c.filter("i = 0").select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.col("w").alias("weight")).unionByName(c.filter("i = 2").select((F.col("id") - 1).alias("a"), F.col("id").alias("b"), F.col("w").alias("weight")))
     ends = c.filter("i = 2").select((F.col("id") - 2).alias("a"), F.col("id").alias("b"), F.col("c_nationkey").alias("_n"))
     cannot = c.filter("i = 0").join(ends, F.col("id") == F.col("a")).filter("c_nationkey <> _n").select("a", "b")
