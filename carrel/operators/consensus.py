@@ -8,9 +8,11 @@ small by its own threshold.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +84,42 @@ def votes(rows: DataFrame, key: list[str], agent: str, fields: list[str], rules:
     return rows.select(*key, F.col(agent).alias("agent"), F.explode(cells).alias("c")).select(*key, "agent", "c.*")
 
 
+def _normal(value: object, sentinels: frozenset[str], deep: bool) -> object:
+    """Null for texts that mean nothing, at every depth if ``deep``."""
+    if isinstance(value, str):
+        return None if value.strip().lower() in sentinels else value
+    if deep and isinstance(value, list):
+        return [_normal(v, sentinels, True) for v in value]
+    if deep and isinstance(value, dict):
+        return {k: _normal(v, sentinels, True) for k, v in value.items()}
+    return value
+
+
+def raw_cells(data: Column, rules: Rules) -> Column:
+    """Map of each field of a JSON object to its value in one canonical text, sentinels null.
+
+    Names are in order at all depths, numbers stay as they are written (1 and 1.0 differ), and letters aren't escaped, so
+    equal texts are equal values. A text that is no JSON object fails.
+    """
+    sentinels, deep = frozenset(rules.sentinels), rules.deep
+
+    @F.pandas_udf("map<string,string>")
+    def read(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else {k: json.dumps(_normal(v, sentinels, deep), ensure_ascii=False, sort_keys=True) for k, v in json.loads(t).items()})
+
+    return read(data)
+
+
+def raw_votes(rows: DataFrame, key: list[str], agent: str, data: str, rules: Rules = Rules()) -> DataFrame:
+    """(key..., agent, field, value) over rows of raw JSON whose fields differ.
+
+    A key's fields are all that one of its agents has; an agent without one votes null there. ``tally`` and ``decide`` go on from here.
+    """
+    read = rows.select(*key, F.col(agent).alias("agent"), raw_cells(F.col(data), rules).alias("cells"))
+    fields = read.select(*key, F.explode(F.map_keys("cells")).alias("field")).distinct()
+    return read.join(fields, key).select(*key, "agent", "field", F.coalesce(F.try_element_at("cells", F.col("field")), F.lit("null")).alias("value"))
+
+
 def tally(cast: DataFrame, key: list[str]) -> DataFrame:
     """(key..., field, value, n, first): how many agents said a value, and the first that did."""
     return cast.groupBy(*key, "field", "value").agg(F.count("*").alias("n"), F.min("agent").alias("first"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carrel.operators import guards, ordering, profile
 from carrel.plans.registry import Book
+from carrel.sources import snapshots
 from carrel.sources.staging import fresh_dir, load
 from carrel.streaming import latest
 
@@ -112,3 +113,31 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = latest.windowed_counts(stream, "ts", "event_type")
     counted.writeStream.outputMode("append").option("checkpointLocation", state).trigger(availableNow=True).format("parquet").start(out).awaitTermination()
     return spark.read.schema(counted.schema).parquet(out).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n")
+
+
+@book.query("""
+SELECT p_partkey, p_name, CASE WHEN p_partkey % 100 = 7 THEN p_size + 1 ELSE p_size END AS p_size FROM part
+UNION ALL SELECT p_partkey + 1000000000, p_name, p_size FROM part WHERE p_partkey % 100 = 9""")
+def stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table after an upsert of some changed and some new keys."""
+    p = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    path = fresh_dir(spark, "stored")
+    snapshots.create(p, path, ["p_partkey"], buckets=32)
+    changed = p.filter("p_partkey % 100 = 7").withColumn("p_size", F.col("p_size") + 1)
+    added = p.filter("p_partkey % 100 = 9").withColumn("p_partkey", F.col("p_partkey") + 1_000_000_000)
+    return snapshots.read(spark, snapshots.upsert(changed.unionByName(added), path))
+
+
+@book.query("""
+SELECT p_partkey + 1000000000 AS p_partkey, 'added' AS change FROM part WHERE p_partkey % 50 = 5
+UNION ALL SELECT p_partkey, CASE p_partkey % 50 WHEN 3 THEN 'removed' ELSE 'changed' END FROM part WHERE p_partkey % 50 IN (3, 4)""")
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that were added, removed or changed between two snapshots, by their hash trees."""
+    p = load(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    later = p.filter(key % 50 != 3).withColumn("p_name", F.when(key % 50 == 4, F.concat("p_name", F.lit("'"))).otherwise(F.col("p_name")))
+    later = later.unionByName(p.filter(key % 50 == 5).withColumn("p_partkey", key + 1_000_000_000))
+    old, new = fresh_dir(spark, "snapshot"), fresh_dir(spark, "snapshot")
+    for rows, path in ((p, old), (later, new)):
+        snapshots.snapshot(rows, path, ["p_partkey"])
+    return snapshots.changes(spark, old, new)

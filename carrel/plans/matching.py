@@ -194,3 +194,48 @@ def constrained_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     ends = c.filter("i = 2").select((F.col("id") - 2).alias("a"), F.col("id").alias("b"), F.col("c_nationkey").alias("_n"))
     cannot = c.filter("i = 0").join(ends, F.col("id") == F.col("a")).filter("c_nationkey <> _n").select("a", "b")
     return clusters.constrained(c, links, cannot, c.select("id", F.col("c_mktsegment").alias("key")))[0]
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of the world, its regions, nations and customers, numbered."""
+    c, n, r = (load(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    name = lambda p, x: F.concat(F.lit(p), F.col(x).cast("string"))
+    edges = c.select(name("c", "c_custkey").alias("node"), name("n", "c_nationkey").alias("parent")).unionByName(n.select(name("n", "n_nationkey").alias("node"), name("r", "n_regionkey").alias("parent")))
+    edges = edges.unionByName(r.select(name("r", "r_regionkey").alias("node"), F.lit("world").alias("parent"))).unionByName(spark.createDataFrame([("world", None)], "node string, parent string"))
+    return stage(trees.numbered(edges, "node", "parent", trees.closure(edges, "node", "parent", lambda df, i: stage(df, f"reach-{i}"))), "tree")
+
+
+def _tiers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = load(spark, sf_dir, "orders")
+    start = F.unix_date(F.to_date("o_orderdate"))
+    items = o.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 2 == 0, F.concat_ws("/", "o_custkey", "o_orderpriority")).alias("set_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("node"), start.alias("start"), (start + 90).alias("end"), F.col("o_orderstatus").alias("type"))
+    related = spark.createDataFrame([("F", "old"), ("P", "new"), ("O", "new")], "type string, family string")
+    return joins.tiers_by_place(items, _places(spark, sf_dir), related, 2)
+
+
+@book.query("""
+WITH o AS (SELECT o_orderkey AS id, o_custkey AS c, o_orderpriority AS p, epoch(CAST(o_orderdate AS DATE)) // 86400 AS s, o_orderstatus = 'F' AS old FROM orders)
+SELECT a.id AS a, b.id AS b, CASE WHEN a.id % 2 = 0 AND b.id % 2 = 0 AND a.p = b.p THEN 'A' ELSE 'B' END AS tier FROM o a JOIN o b ON a.c = b.c AND a.id < b.id
+WHERE (a.id % 2 = 0 AND b.id % 2 = 0 AND a.p = b.p) OR (a.old = b.old AND abs(a.s - b.s) < 90)""")
+def tiers_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of one set, or of one customer with overlapping times and related states."""
+    return _tiers(spark, sf_dir)[0]
+
+
+@book.query("""
+SELECT o_orderkey AS id, 'n' || c_nationkey AS region, count(*) OVER (PARTITION BY c_nationkey) AS n FROM orders JOIN customer ON c_custkey = o_custkey""")
+def region_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as members of their nation, found by ranges of the numbered tree."""
+    return _tiers(spark, sf_dir)[1]
+
+
+@book.query("""
+SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN 'c' || c_custkey WHEN 1 THEN 'n' || c_nationkey ELSE 'r' || n_regionkey END AS node
+FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""")
+def broadest_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vague records, which may mean a customer, its nation or its region, at the broadest of what they may mean."""
+    c = load(spark, sf_dir, "customer").join(load(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    o = load(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"))
+    named = [F.concat(F.lit(p), F.col(x).cast("string")) for p, x in (("c", "c_custkey"), ("n", "c_nationkey"), ("r", "n_regionkey"))]
+    may = o.select(F.col("o_orderkey").alias("id"), F.explode(F.slice(F.array(*named), F.lit(1), F.col("o_orderkey") % 3 + 1)).alias("node"))
+    return trees.broadest(may, _places(spark, sf_dir))

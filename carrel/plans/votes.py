@@ -100,3 +100,22 @@ def tie_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def majority_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events").select("user_id", ((F.col("event_type") == "error") | (F.col("value") > 50)).alias("flag"))
     return c.majority_flag(e, ["user_id"], "flag")
+
+
+@book.query("""
+WITH e AS (SELECT event_id AS key, event_type, regexp_extract(props, '([0-9]+)', 1) AS k FROM events)
+SELECT key, 'kind' AS field, '"' || event_type || '"' AS value, 2 AS n, 3 AS present, false AS tied FROM e
+UNION ALL SELECT key, 'k', k, CASE WHEN key % 3 = 0 THEN 2 ELSE 3 END, 3, false FROM e
+UNION ALL SELECT key, 'note', 'null', 3, 3, false FROM e""")
+def vote_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes over raw JSON: three agents with other fields, orders of names and spellings of numbers."""
+    k = F.regexp_extract("props", "([0-9]+)", 1)
+    kind = F.concat(F.lit('"kind": "'), "event_type", F.lit('"'))
+    said = {
+        "a": F.concat(F.lit("{"), kind, F.lit(', "k": '), k, F.lit("}")),
+        "b": F.concat(F.lit('{"k":'), k, F.when(F.col("event_id") % 3 == 0, ".0").otherwise(""), F.lit(","), kind, F.lit("}")),
+        "c": F.concat(F.lit('{"k": '), k, F.lit(', "note": " N/A "}')),
+    }
+    agents = F.explode(F.array(*(F.struct(F.lit(name).alias("agent"), text.alias("data")) for name, text in said.items()))).alias("v")
+    rows = load(spark, sf_dir, "events").select(F.col("event_id").alias("key"), agents).select("key", "v.*")
+    return c.decide(c.tally(c.raw_votes(rows, ["key"], "agent", "data"), ["key"]), ["key"])

@@ -5,7 +5,7 @@ Fetching over a network is not a Spark job and stays outside; these read what it
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,16 +13,34 @@ from carrel.functions.text import found
 from carrel.operators.guards import fail_if_any
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, value) of text files, from 1, however many tasks read a file.
+
+    A file is read in blocks. Lines of a block are numbered by themselves and start behind the number of lines
+    of the blocks before it; that sum sees a row for each block.
+    """
+    place = ["file", "block"]
+    read = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("_at"), "value")
+    counts = read.groupBy(*place).agg(F.count("*").alias("n"))
+    before = counts.select(*place, (F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*place).orderBy("_at"))
+    return read.withColumn("_inside", inside).join(before, place).select("file", (F.col("_before") + F.col("_inside")).alias("line_no"), "value")
+
+
 def json_lines(spark: SparkSession, path: str, schema: T.StructType, key: list[str] | None = None) -> DataFrame:
     """Rows of JSON-lines files, blank lines skipped, with the column ``file``.
 
-    A malformed line fails the read; with ``key``, so does a key that stands twice in one file.
+    A malformed line fails the read; with ``key``, so does a key that stands twice in one file, with
+    the numbers of both lines.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file")).filter(F.trim("value") != "")
-    rows = lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"), "file").select("r.*", "file")
+    parsed = F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")
+    filled = F.trim("value") != ""
     if key:
-        fail_if_any(rows.groupBy("file", *key).count().filter("count > 1"), "a key stands twice in a file")
-    return rows
+        told = numbered_lines(spark, path).filter(filled).select(parsed, "file", "line_no").select(*(F.col("r")[k].alias(k) for k in key), "file", "line_no")
+        twice = told.groupBy("file", *key).agg(F.count("*").alias("n"), F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line")).filter("n > 1")
+        fail_if_any(twice, "a key stands twice in a file")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file")).filter(filled)
+    return lines.select(parsed, "file").select("r.*", "file")
 
 
 def agent_of(file: Column | str, chunked: bool = False) -> Column:
