@@ -18,9 +18,13 @@ def without_marks(name: Column | str) -> Column:
     the end, as ``(IV)`` is, which gives ordinal; ``, var. X`` gives variants, in order of their letters.
     """
     n = col(name)
-    variants = F.regexp_extract_all(n, F.lit(r", var\. ([^,(]+)"), 1)
+    # behind each mark a variant stands up to the next comma or parenthesis; without one the mark is text
+    pieces = F.split(n, r"\Q, var. \E")
+    told = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: F.struct(x.alias("all"), F.regexp_extract(x, "^[^,(]*", 0).alias("own")))
+    variants = F.filter(F.transform(told, lambda t: t["own"]), lambda v: v != "")
+    left = F.transform(told, lambda t: F.when(t["own"] == "", F.concat(F.lit(", var. "), t["all"])).otherwise(F.substr(t["all"], F.length(t["own"]) + 1)))
     table = F.create_map(*(F.lit(x) for pair in ROMAN.items() for x in pair))
-    bare = F.regexp_replace(n, r", var\. [^,(]+", "")
+    bare = F.concat(pieces[0], F.array_join(left, ""))
     bare = F.regexp_replace(bare, r"(?i)\s*\(syllabic\)\s*$", "")
     roman = found(bare, r"\(([IVX]+)\)\s*$")
     bare = F.regexp_replace(bare, r"\s*\([IVX]+\)\s*$", "")
@@ -37,7 +41,8 @@ def parenthesis_variants(name: Column | str) -> Column:
 
     A doubtful ``(?)`` at the end is dropped first; a name that is one group stays as it is.
     """
-    n = F.regexp_replace(col(name), r"\s*\(\?\)\s*$", "")
+    n = strip(col(name))
+    n = F.when(n.endswith("(?)"), strip(F.left(n, F.length(n) - 3))).otherwise(n)
     whole = n.rlike(r"^\s*\([^()]*\)\s*$")
     inner = F.regexp_extract_all(n, F.lit(r"\(([^()]*)\)"), 1)
     variants = F.filter(F.flatten(F.transform(inner, lambda g: F.transform(F.split(g, ","), strip))), lambda x: x != "")
@@ -109,8 +114,8 @@ def compact(name: Column | str) -> Column:
 
 def without_symbols(c: Column | str) -> Column:
     """Without gender and other signs, and without remarks that name a symbol."""
-    out = strip(F.regexp_replace(col(c), "[☀-⛿]", ""))
-    return stripped(F.regexp_replace(out, r"\s*\([^)]*symbol[^)]*\)", ""))
+    out = strip(F.regexp_replace(col(c), r"\p{InMiscellaneousSymbols}", ""))
+    return stripped(F.regexp_replace(out, r"\s*[(](?=[^)]*symbol)[^)]*[)]", ""))
 
 
 def without_own_name(notes: Column | str, name: Column | str) -> Column:

@@ -226,7 +226,8 @@ def _with_prose(out: DataFrame, rows: DataFrame, key: str, agent: str, chosen: D
 def disagreements(cast: DataFrame, chosen: DataFrame, key: list[str]) -> DataFrame:
     """(key..., field, n, present, said, chosen): fields not all agents agree in, and who said what."""
     open_ = chosen.filter(F.col("n") < F.col("present"))
-    said = cast.join(open_.select(*key, "field"), [*key, "field"], "left_semi").groupBy(*key, "field").agg(F.array_sort(F.collect_list(F.struct("agent", "shown"))).alias("said"))
+    # the few texts of a field are kept where they aren't all alike, without asking for the open fields first
+    said = cast.groupBy(*key, "field").agg(F.array_sort(F.collect_list(F.struct("agent", "shown"))).alias("said"), F.min("value").alias("_low"), F.max("value").alias("_high")).filter("_low <> _high")
     return open_.join(said, [*key, "field"]).select(*key, "field", "n", "present", "said", F.col("value").alias("chosen"))
 
 

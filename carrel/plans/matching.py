@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carrel.operators import clusters, intervals, joins, trees
 from carrel.plans.registry import Book
-from carrel.sources.staging import load, stage
+from carrel.sources.staging import fresh_dir, load, stage
 
 book = Book()
 
@@ -239,3 +239,14 @@ def broadest_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = [F.concat(F.lit(p), F.col(x).cast("string")) for p, x in (("c", "c_custkey"), ("n", "c_nationkey"), ("r", "n_regionkey"))]
     may = o.select(F.col("o_orderkey").alias("id"), F.explode(F.slice(F.array(*named), F.lit(1), F.col("o_orderkey") % 3 + 1)).alias("node"))
     return trees.broadest(may, _places(spark, sf_dir))
+
+
+@book.query("""
+SELECT user_id AS mention, arg_max(event_type, struct_pack(a := floor(epoch(ts)), b := event_id % 3, s := event_type)) AS status, CAST(max(floor(epoch(ts))) AS BIGINT) AS "at", count(*) AS events FROM events GROUP BY 1""")
+def review_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review log of three batches, of which one was written twice, folded to the state of each mention."""
+    e = load(spark, sf_dir, "events").select(F.col("user_id").alias("mention"), F.col("event_type").alias("status"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"), "event_id")
+    path = fresh_dir(spark, "review")
+    for part in (0, 1, 2, 1):
+        joins.record_verdicts(e.filter(F.col("event_id") % 3 == part), path, f"b{part}")
+    return joins.folded(spark, path)

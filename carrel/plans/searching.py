@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carrel.operators import postings, search
 from carrel.plans.registry import Book
-from carrel.sources.staging import fresh_dir, load
+from carrel.sources.staging import fresh_dir, load, stage
 
 book = Book()
 
@@ -101,3 +101,14 @@ def result_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("dynasty"), F.when(size % 2 != 0, "someone").alias("ruler_display_name"), F.col("p_type").alias("period"), F.lit("met").alias("source_museum"),
     )
     return search.card(rows, {"met": "The Met"})
+
+
+@book.query("""
+SELECT facet, value, count(*) AS n FROM (SELECT p_partkey, unnest(['p_brand', 'p_size', 'word', 'word']) AS facet, unnest([p_brand, CAST(p_size AS VARCHAR), string_split(p_name, ' ')[1], CASE WHEN string_split(p_name, ' ')[2] <> string_split(p_name, ' ')[1] THEN string_split(p_name, ' ')[2] END]) AS value
+  FROM part WHERE p_type = 'SMALL' AND list_contains(string_split(p_name, ' '), (SELECT min(string_split(p_name, ' ')[1]) FROM part))) WHERE value IS NOT NULL GROUP BY ALL""")
+def facet_drill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facet counts under two filters from stored bitmaps."""
+    p = load(spark, sf_dir, "part").withColumn("word", F.split("p_name", " "))
+    stored = stage(search.facet_index(p, "p_partkey", ["p_brand", "p_size", "word", "p_type"]), "facets")
+    word = p.agg(F.min(F.col("word")[0])).first()[0]
+    return search.facet_counts(stored, {"p_type": "SMALL", "word": word}, ["p_brand", "p_size", "word"])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carrel.operators import consensus, guards, trees
+from carrel.operators import consensus, guards, joins, search, trees
 from carrel.sources import landed, snapshots
 
 
@@ -133,3 +133,23 @@ def test_raw_json_values_vote_by_their_canonical_text(spark):
     }
     with pytest.raises(Exception, match="JSONDecodeError|Expecting"):
         consensus.raw_votes(spark.createDataFrame([(1, "a", "{")], "key int, agent string, data string"), ["key"], "agent", "data").collect()
+
+
+def test_a_review_log_counts_a_batch_once(spark, tmp_path):
+    batch = spark.createDataFrame([(1, "pending", 1), (2, "accepted", 5)], "mention long, status string, at long")
+    for name in ("a", "a"):
+        joins.record_verdicts(batch, f"{tmp_path}/log", name)
+    joins.record_verdicts(spark.createDataFrame([(1, "rejected", 4), (2, "pending", 5)], batch.schema), f"{tmp_path}/log", "b")
+    assert rows(joins.folded(spark, f"{tmp_path}/log")) == [(1, "rejected", 4, 2), (2, "pending", 5, 2)]
+    with pytest.raises(guards.DataError, match="malformed"):
+        joins.record_verdicts(batch, f"{tmp_path}/log", "../x")
+
+
+def test_facets_of_any_filters_from_bitmaps(spark):
+    rng = random.Random(7)
+    some = [(i * 37, rng.choice(["a", "b", None]), [rng.choice("xyz") for _ in range(rng.randrange(4))], rng.randrange(3)) for i in range(2500)]  # three blocks
+    table = spark.createDataFrame(some, "id long, kind string, tags array<string>, size int")
+    index = search.facet_index(table, "id", ["kind", "tags", "size"]).cache()
+    for filters in ({}, {"kind": "a"}, {"kind": "b", "size": "1"}, {"tags": "x", "kind": "a", "size": "2"}, {"kind": "none"}):
+        own = search.filtered(table.withColumn("size", F.col("size").cast("string")).withColumn("tags", F.array_distinct("tags")), search.Query(filters=filters))
+        assert rows(search.facet_counts(index, filters)) == rows(search.facets(own, ["kind", "tags", "size"]))
