@@ -3,7 +3,7 @@
 Writing: payload digests decide which records hold their payload and which are revisits of an equal
 one; each task writes its records into archives, each a gzip member of its own, and returns the
 index row of each record: archive, offset and length of the member, URL and digest. An archive begins
-with a warcinfo record. Reading takes any selection of index rows, brings those of an
+with a warcinfo record. Record ids are unique; the page of a record, and that which a revisit repeats, have fields of their own. Reading takes any selection of index rows, brings those of an
 archive together sorted by offset, joins neighbouring ranges into one read, and parses the records.
 
 Cases: a null html is an empty payload; payloads under 100 bytes are never revisits; rows that
@@ -37,12 +37,15 @@ _INDEX = "archive string, offset long, length long, url string, digest string, p
 _READ = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def _page(page_id: int | None) -> str:
-    return f"<urn:page:{'none' if page_id is None else page_id}>"
+_PAGE, _REFERS = "Carrel-Page-ID", "Carrel-Refers-To-Page-ID"
 
 
-def _page_id(urn: str | None) -> int | None:
-    value = urn and urn.removeprefix("<urn:page:").removesuffix(">")
+def _named(archive: uuid.UUID, at: int) -> str:
+    """The id of the record at a place of an archive; no two records share one, whatever their pages are."""
+    return f"<urn:uuid:{uuid.uuid5(archive, str(at))}>"
+
+
+def _page_id(value: str | None) -> int | None:
     return int(value) if value and value != "none" else None
 
 
@@ -50,23 +53,26 @@ def _plain(url: str) -> str:
     return "".join(f"%{ord(c):02X}" if ord(c) < 33 or ord(c) == 127 else c for c in url)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None = None, date: str = DATE) -> bytes:
-    """One WARC record; with refers_to a revisit, which has the payload's HTTP header only."""
+def record(record_id: str, page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None = None, date: str = DATE) -> bytes:
+    """One WARC record; with refers_to a revisit, which has the payload's HTTP header only.
+
+    Pages stand in fields of our own, as several records may be of one page.
+    """
     revisit = refers_to is not None
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + (b"" if revisit else payload)
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_page(page_id)}", f"WARC-Date: {date}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id}", f"WARC-Date: {date}", f"{_PAGE}: {'none' if page_id is None else page_id}"]
     if url is not None:
         head.append(f"WARC-Target-URI: {_plain(url)}")
     if revisit:
-        head += [f"WARC-Refers-To: {_page(refers_to)}", f"WARC-Profile: {_PROFILE}"]
+        head += [f"{_REFERS}: {refers_to}", f"WARC-Profile: {_PROFILE}"]
     head += [f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def information(date: str = DATE) -> bytes:
+def information(record_id: str, date: str = DATE) -> bytes:
     """The warcinfo record that every archive begins with; the index has no row for it."""
     block = b"software: carrel\r\nformat: WARC File Format 1.1\r\n"
-    head = ["WARC/1.1", "WARC-Type: warcinfo", "WARC-Record-ID: <urn:archive:carrel>", f"WARC-Date: {date}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id}", f"WARC-Date: {date}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -103,14 +109,18 @@ def write(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISI
     typed = rows.join(revisits, same, "left").select("page_id", "url", "payload", "digest", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, first = TaskContext.get().partitionId(), gzip.compress(information(), 6, mtime=0)
-        parts: list[bytes] = [first]
-        index: list[tuple] = []
-        at = len(first)
+        part = TaskContext.get().partitionId()
 
-        def flush() -> pa.RecordBatch:
+        def begun() -> tuple[uuid.UUID, list[bytes], list[tuple], int]:
             # a name of its own for every attempt: an index row always fits the archive it names
-            path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.warc.gz"
+            name = uuid.uuid4()
+            first = gzip.compress(information(_named(name, 0)), 6, mtime=0)
+            return name, [first], [], len(first)
+
+        name, parts, index, at = begun()
+
+        def flush() -> pa.RecordBatch:
+            path = f"{folder}/part-{part:06d}-{name.hex}.warc.gz"
             write_whole(path, b"".join(parts))
             columns = list(zip(*index, strict=True))
             return pa.RecordBatch.from_arrays([pa.array([path] * len(index)), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()), pa.array(columns[3]), pa.array(columns[4], pa.int64())], names=["archive", "offset", "length", "url", "digest", "page_id"])
@@ -118,13 +128,13 @@ def write(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISI
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 page_id, url, text, digest, refers_to = row
-                data = gzip.compress(record(page_id, url, text.encode(), digest, refers_to), 6, mtime=0)
+                data = gzip.compress(record(_named(name, at), page_id, url, text.encode(), digest, refers_to), 6, mtime=0)
                 index.append((at, len(data), url, digest, page_id))
                 parts.append(data)
                 at += len(data)
                 if at >= archive_bytes:
                     yield flush()
-                    parts, index, at = [first], [], len(first)
+                    name, parts, index, at = begun()
         if index:
             yield flush()
 
@@ -144,7 +154,7 @@ def read(index: DataFrame, payloads: bool = True, read_bytes: int = READ_BYTES,
         for a, n in wanted:
             fields, http, payload = parse(gzip.decompress(data[a - lo : a - lo + n]))
             revisit = fields["WARC-Type"] == "revisit"
-            yield (_page_id(fields["WARC-Record-ID"]), fields.get("WARC-Target-URI"), payload if payloads and not revisit else None, int(http["Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha256:"), fields["WARC-Type"], _page_id(fields.get("WARC-Refers-To")))
+            yield (_page_id(fields[_PAGE]), fields.get("WARC-Target-URI"), payload if payloads and not revisit else None, int(http["Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha256:"), fields["WARC-Type"], _page_id(fields.get(_REFERS)))
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         archive, wanted, hi = None, [], 0

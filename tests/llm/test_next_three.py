@@ -1,5 +1,6 @@
 """WARC, quality rules and substring dedup against brute force."""
 
+import gzip
 import hashlib
 import re
 from collections import Counter
@@ -45,6 +46,10 @@ def test_warc_edge_cases_and_selection(spark):
     index = warc.write(pages, archive_bytes=5000)
     got = warc.read(index, read_bytes=100, gap=0).collect()
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == plain_warc([(a, c) for a, _, c in rows])
+    ids = []
+    for path in {r.archive for r in index.collect()}:
+        ids += re.findall(rb"WARC-Record-ID: (\S+)", gzip.decompress(warc.read_range(path, 0, 1 << 30)))
+    assert len(ids) == len(set(ids)) > len(rows)  # rows of one page, and the archives' own records, too
     some = warc.read(index.filter("page_id in (1, 8)")).collect()
     assert {(r.page_id, bytes(r.payload)) for r in some} == {(1, b""), (8, ("y\r\n\r\nz" * 9000).encode())}
     assert warc.read(warc.write(pages.limit(0))).count() == 0
