@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carrel.functions.text import col, filled, found, strip, stripped
+from carrel.functions.text import col, filled, found, strip, stripped, tokens
 
 #: Fixed values of Roman numerals after names.
 ROMAN = {"I": 1, "II": 2, "III": 3, "IV": 4, "V": 5, "VI": 6, "VII": 7, "VIII": 8, "IX": 9, "X": 10, "XI": 11, "XII": 12}
@@ -132,3 +132,36 @@ def ordinal_word(label: Column | str) -> Column:
     table = {w: i for i, w in enumerate(ones + teens, 1)} | {"twentieth": 20, "thirtieth": 30} | {f"{t}-{w}": n + i for t, n in (("twenty", 20), ("thirty", 30)) for i, w in enumerate(ones, 1)}
     hits = F.filter(F.array(*(F.struct(F.lit(-len(w)).alias("rank"), F.lit(w).alias("word"), F.lit(n).alias("number")) for w, n in table.items())), lambda x: F.contains(F.lower(col(label)), x["word"]))
     return F.coalesce(digits, F.get(F.array_sort(hits), F.lit(0))["number"])
+
+
+def is_dynasty_marker(line: Column | str) -> Column:
+    """Whether a row is a heading such as ``18. Dynastie`` or ``9./10. Dynastie`` and no ruler."""
+    numbers, word = F.regexp_extract(col(line), r"\A(\S+)\s+(\S+)\z", 1), F.regexp_extract(col(line), r"\A(\S+)\s+(\S+)\z", 2)
+    each = F.split(numbers, "/")
+    return (word == "Dynastie") & (F.size(each) <= 2) & F.forall(each, lambda n: n.rlike(r"\A\d+[.]\z"))
+
+
+def is_anti_king(notes: Column | str, word: str = "gegenkönig") -> Column:
+    """Whether notes hold the word by itself; its plural speaks of others."""
+    return F.coalesce(F.array_contains(tokens(notes), word), F.lit(False))
+
+
+def existence_uncertain(name: Column | str) -> Column:
+    """Whether a name is marked as of an uncertain person.
+
+    Marks: all of it in parentheses, ``(?)`` at its end, a question mark and a space before it, German quotation marks in it.
+    """
+    n = F.coalesce(col(name), F.lit(""))
+    wrapped = n.startswith("(") & n.endswith(")") & (F.length(n) > 2)
+    opened = F.locate("„", n)
+    quoted = (opened > 0) & (F.instr(F.substr(n, opened + 2), "“") > 0)  # something stands between them
+    return wrapped | strip(n).endswith("(?)") | F.substr(n, F.lit(1), F.lit(2)).rlike(r"\A[?]\s") | quoted
+
+
+def existence_doubtful(name: Column | str, notes: Column | str) -> Column:
+    """Whether a name ends in a question mark, also in a parenthesis, is all in single quotes, or notes call its existence doubtful."""
+    n = strip(F.coalesce(col(name), F.lit("")))
+    inside = F.when(n.endswith(")"), strip(F.left(n, F.length(n) - 1))).otherwise(n)
+    # Fixed value: the phrase of the notes.
+    said = F.coalesce(col(notes).rlike(r"(?i)\bexistence,?\s+doubtful\b"), F.lit(False))
+    return inside.endswith("?") | (n.startswith("'") & n.endswith("'")) | said

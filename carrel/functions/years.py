@@ -42,6 +42,11 @@ def crosses_era(start: Column | str, end: Column | str) -> Column:
     return F.when(col(start).isNull() | col(end).isNull(), fail).otherwise((col(start) < 0) & (col(end) > 0))
 
 
+def precision(qualifier: Column | str, geological: Column) -> Column:
+    """How exact a dating is: geological where it is said so, regnal_precise without a qualifier such as ``c.``, else regnal_approximate."""
+    return F.when(F.coalesce(geological, F.lit(False)), "geological").when(col(qualifier).isNull(), "regnal_precise").otherwise("regnal_approximate")
+
+
 def attested(start: Column | str, end: Column | str) -> Column:
     """Which years of a range are known: both, start_only, end_only or none."""
     return F.when(col(start).isNotNull() & col(end).isNotNull(), "both").when(col(start).isNotNull(), "start_only").when(col(end).isNotNull(), "end_only").otherwise("none")

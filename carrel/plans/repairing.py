@@ -415,3 +415,16 @@ def harvest_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prose = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("son of Known; son of "), other, F.lit(";"))).otherwise("son of Known the Elder;")
     rows = p.select(F.col("p_partkey"), prose.alias("prose"), F.array(F.lit("Known")).alias("known"))
     return lines.harvest(rows, "p_partkey", "prose", "known", [r"son of ([^;]+);"], parts=True)
+
+
+@book.query("""
+SELECT p_partkey, p_size % 8 = 0 AS marker, p_size % 5 = 0 AS anti, p_size % 8 IN (1, 2, 3, 4) AS uncertain, p_size % 8 IN (2, 6, 7) OR p_size % 5 = 1 AS doubtful,
+  CASE WHEN p_size % 7 = 0 THEN 'geological' WHEN p_size % 3 = 0 THEN 'regnal_precise' ELSE 'regnal_approximate' END AS precision FROM part""")
+def doubtful_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What marks of names and notes say of a row: heading, anti-king, uncertain or doubtful existence, precision of its date."""
+    s = F.col("p_size")
+    wrap = lambda before, after: F.concat(F.lit(before), "p_name", F.lit(after))
+    shapes = [F.concat(s.cast("string"), F.lit("./9. Dynastie")), wrap("(", ")"), wrap("", " (?) "), wrap("? ", ""), wrap("von „", "“"), wrap("x 'a' ", ""), wrap("'", "' "), wrap("", "?? ")]
+    notes = F.when(s % 5 == 0, "er war Gegenkönig.").when(s % 5 == 1, "Existence,  doubtful").otherwise("hatte Gegenkönige, existence not doubtful")
+    p = load(spark, sf_dir, "part").select("p_partkey", s, F.get(F.array(*shapes), s % 8).alias("name"), notes.alias("notes"), F.when(s % 3 != 0, "c.").alias("q"))
+    return p.select("p_partkey", names.is_dynasty_marker("name").alias("marker"), names.is_anti_king("notes").alias("anti"), names.existence_uncertain("name").alias("uncertain"), names.existence_doubtful("name", "notes").alias("doubtful"), years.precision("q", s % 7 == 0).alias("precision"))

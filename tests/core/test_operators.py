@@ -457,3 +457,14 @@ def test_no_reference_to_the_optional_part():
     for path in (root / "carrel").rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert "carrel.llm" not in path.read_text(), path
+
+
+def test_marks_of_doubt(spark):
+    cases = [("(Schoschenq IIIa.)", True), ("„Psammûs“ (?)", True), ("? „Hu-djefa“", True), ("„x“", True), ("„“", False), ("()", False), ("?x", False), ("Ramses (II.)", False), (None, False)]
+    for name, expected in cases:
+        assert one(spark, names.existence_uncertain("a"), a=name) is expected, name
+    for name, notes, expected in (("Osorkon?", None, True), ("Psusennes (II ?) ", None, True), ("'Ammeris'", None, True), ("Psusennes 'III'", None, False), ("x", "an existence, doubtful.", True), ("x", "existence not doubtful", False), (None, None, False)):
+        made = spark.createDataFrame([(name, notes)], "a string, b string")
+        assert made.select(names.existence_doubtful("a", "b")).first()[0] is expected, name
+    assert [one(spark, names.is_dynasty_marker("a"), a=t) for t in ("18. Dynastie", "9./10. Dynastie", "18 Dynastie", "1./2./3. Dynastie", "18. Dynastie x")] == [True, True, False, False, False]
+    assert [one(spark, names.is_anti_king("a"), a=t) for t in ("GEGENKÖNIG des X", "Gegenkönige", None)] == [True, False, False]
