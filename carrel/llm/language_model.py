@@ -3,9 +3,11 @@
 Counts of all tokens of all training documents give the unigram base score, the head vocabulary
 (the ``head`` most frequent words, modelled one by one), and the distribution within each class of
 rare words. The network's weights are trained on every token of every training document once: a
-hash of doc_id and text deals the documents to ``rounds`` rounds and, within each, to groups of about
+hash of doc_id and text deals the documents to rounds and, within each, to groups of about
 ``group_tokens`` tokens. The groups of a round train from the same weights, which are then averaged by
-their tokens. Rounds and groups depend on the documents alone, not on the cluster.
+their tokens, ``BUNDLE`` of them at a time, so no task holds more than that many. There are as many rounds
+as the cube root of the number of groups, within ``ROUNDS``. Rounds and groups depend on the documents
+alone, not on the cluster.
 
 A document's score is the log10 probability of all its tokens in order. The network pass looks up
 the most frequent words, about ``known``, in a table sent to every task; the counts of all
@@ -29,16 +31,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carrel.llm.gru import HIDDEN, Network
-from carrel.sources.staging import stage
+from carrel.sources.staging import fresh_dir, stage
 from carrel.llm.words import Chunk, chunks, mix
 
 HEAD = 1024
 KNOWN = 1 << 17
 RARE = 32
-ROUNDS = 4  #: each training document is in one of them
+ROUNDS = (4, 16)  #: at least and at most; each training document is in one of them
 GROUP_TOKENS = 1 << 19
 END = 1
 _MERGE = 1 << 21
+BUNDLE = 64  #: of weights that one task averages
 _PARTS = 32  #: of the weights, averaged apart from one another
 _LEVELS = 16  #: of counts for each doubling; words are held by levels, the most frequent first
 
@@ -125,7 +128,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: int = KNOWN, rounds: int = ROUNDS, hidden: int = HIDDEN, group_tokens: int = GROUP_TOKENS) -> tuple[Model, DataFrame]:
+_IDS = "round int, group int, key long, ids binary"
+_WEIGHTS = "part int, group int, tokens long, weights binary"
+
+
+def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: int = KNOWN, rounds: tuple[int, int] = ROUNDS, hidden: int = HIDDEN, group_tokens: int = GROUP_TOKENS) -> tuple[Model, DataFrame]:
     """(model, table of the counts (token, c) of all words that the model doesn't hold).
 
     Of the first count level that ``known`` has no room for, about as many words as it has are held.
@@ -156,17 +163,36 @@ def fit(docs: DataFrame, keep: Column | None = None, head: int = HEAD, known: in
     np.add.at(mass, top["rare"].to_numpy(np.int64)[: vocabulary.n_head], -(head_counts + 0.5))
     mass = np.maximum(mass, 0.5)
     model = Model(vocabulary, Network(head_counts, mass, hidden), mass, int(n), int(v))
-    groups = max(1, int(n) // rounds // group_tokens)
+    rounds, groups = dealt(int(n), rounds, group_tokens)
     sent = spark.sparkContext.broadcast(model)
-    numbered = stage(training.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(lambda batches: _numbered(batches, sent.value, rounds, groups), "round int, group int, key long, ids binary"), "lm-ids")
+    numbered = training.select(F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(lambda batches: _numbered(batches, sent.value, rounds, groups), _IDS)
+    path = fresh_dir(spark, "lm-ids")
+    numbered.write.partitionBy("round").parquet(path)  # a round reads its own files alone
+    numbered = spark.read.schema(_IDS).parquet(path)
     for i in range(rounds):
-        trained = numbered.filter(F.col("round") == i).groupBy("group").applyInArrow(_trainer(spark.sparkContext.broadcast(model.network)), "part int, tokens long, weights binary")
-        parts = trained.groupBy("part").applyInArrow(_average, "part int, weights binary").collect()  # one network, whatever the input
+        trained = numbered.filter(F.col("round") == i).groupBy("group").applyInArrow(_trainer(spark.sparkContext.broadcast(model.network)), _WEIGHTS)
+        parts = averaged(trained, groups).collect()  # one network, whatever the input
         if parts:
-            model.network.load(np.concatenate([np.frombuffer(r.weights, np.float64) for r in sorted(parts)]))
+            model.network.load(np.concatenate([np.frombuffer(r.weights, np.float32) for r in sorted(parts, key=lambda r: r.part)]))
     return model, words.filter(~kept).select("token", "c")
 
 
+def dealt(tokens: int, rounds: tuple[int, int] = ROUNDS, group_tokens: int = GROUP_TOKENS) -> tuple[int, int]:
+    """(rounds, groups in each) for so many training tokens."""
+    n = min(max(int(np.cbrt(tokens / group_tokens)), rounds[0]), rounds[1])
+    return n, max(1, tokens // n // group_tokens)
+
+
+def averaged(trained: DataFrame, groups: int) -> DataFrame:
+    """(part, group, tokens, weights): one row for each part, averaged over all groups by their tokens."""
+    while True:
+        bundle = F.floor(F.col("group") / BUNDLE).cast("int").alias("group")
+        trained = trained.select("part", bundle, "tokens", "weights").groupBy("part", "group").applyInArrow(_average, _WEIGHTS)
+        groups = -(-groups // BUNDLE)
+        if groups <= 1:
+            return trained
+
+
 def _numbered(batches: Iterator[pa.RecordBatch], model: Model, rounds: int, groups: int) -> Iterator[pa.RecordBatch]:
     """(round, group, key, ids) of each training document."""
     for batch in batches:
@@ -187,15 +213,17 @@ def _train(rows: pa.Table, network: Network) -> pa.Table:
     """The weights after one group of documents, which stand in an order of their own."""
     order = pc.sort_indices(rows, [("key", "ascending"), ("ids", "ascending")])
     used = network.train([np.frombuffer(x.as_buffer(), "<i4") for x in rows.column("ids").take(order)])
-    parts = np.array_split(network.flat(), _PARTS)
-    return pa.table({"part": pa.array(range(_PARTS), pa.int32()), "tokens": pa.array([used] * _PARTS, pa.int64()), "weights": pa.array([w.tobytes() for w in parts], pa.binary())})
+    parts, group = np.array_split(network.flat(), _PARTS), rows.column("group")[0].as_py()
+    return pa.table({"part": pa.array(range(_PARTS), pa.int32()), "group": pa.array([group] * _PARTS, pa.int32()), "tokens": pa.array([used] * _PARTS, pa.int64()), "weights": pa.array([w.tobytes() for w in parts], pa.binary())})
 
 
 def _average(rows: pa.Table) -> pa.Table:
-    """A part of the weights, averaged over tasks by their tokens, always in the same order."""
+    """A part of the weights, averaged over a bundle by their tokens, always in the same order."""
     trained = sorted(zip(rows.column("tokens").to_pylist(), rows.column("weights").to_pylist(), strict=True))
-    total = sum(np.frombuffer(w, np.float32).astype(np.float64) * n for n, w in trained)
-    return pa.table({"part": rows.column("part").combine_chunks()[:1], "weights": pa.array([(total / sum(n for n, _ in trained)).tobytes()], pa.binary())})
+    tokens = sum(n for n, _ in trained)
+    weights = sum(np.frombuffer(w, np.float32).astype(np.float64) * n for n, w in trained) / tokens
+    first = rows.slice(0, 1)
+    return pa.table({"part": first.column("part"), "group": first.column("group"), "tokens": pa.array([tokens], pa.int64()), "weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary())})
 
 
 _PASS = "row long, doc_id long, n_tokens long, n_known long, base double, score double, rest array<long>, times array<int>"

@@ -226,6 +226,37 @@ def test_every_training_document_is_in_one_round(spark, monkeypatch, tmp_path):
     assert {p.name for p in tmp_path.iterdir()} == expected and {p.read_text() for p in tmp_path.iterdir()} == {"x"}
 
 
+def test_weights_are_averaged_in_bundles(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "BUNDLE", 3)
+    rng = np.random.default_rng(8)
+    weights, tokens = rng.normal(size=(29, 2, 5)).astype(np.float32), rng.integers(1, 90, 29)
+    rows = [(p, g, int(tokens[g]), bytearray(weights[g, p].tobytes())) for g in range(29) if g != 4 for p in (0, 1)]  # a group without documents
+    got = language_model.averaged(spark.createDataFrame(rows, language_model._WEIGHTS), 29).collect()
+    assert sorted((r.part, r.group, r.tokens) for r in got) == [(p, 0, tokens.sum() - tokens[4]) for p in (0, 1)]
+    tokens[4] = 0
+    for r in got:
+        assert np.allclose(np.frombuffer(r.weights, np.float32), np.average(weights[:, r.part], axis=0, weights=tokens), atol=1e-6)
+
+
+def test_rounds_and_groups_grow_with_the_tokens():
+    size = language_model.GROUP_TOKENS
+    assert [language_model.dealt(n * size) for n in (0, 1, 100, 1000, 10**6)] == [(4, 1), (4, 1), (4, 25), (10, 100), (16, 62500)]
+
+
+def test_logits_that_no_bound_levels():
+    n = gru.Network(np.full(20, 9), np.full(2, 4.0), hidden=3, width=8)
+    n.p["class_w"][:, 1], n.p["word_w"][:, :, 2] = 90, -70
+    h, ids = np.tanh(np.random.default_rng(3).normal(size=(50, 3))).astype(np.float32), np.arange(50) % 22
+    got = n._log_p(h, ids)
+    for i, own in enumerate(ids.tolist()):
+        x = (h[i] @ n.p["class_w"] + n.p["class_b"]).astype(float)
+        want = x[own // 8 if own < 20 else own - 20 + n.n_classes] - np.logaddexp.reduce(x)
+        if own < 20:
+            y = (h[i] @ n.p["word_w"][own // 8] + n.p["word_b"][own // 8]).astype(float)
+            want += y[own % 8] - np.logaddexp.reduce(y)
+        assert math.isclose(got[i], want, rel_tol=1e-4, abs_tol=1e-3)
+
+
 def test_scores_do_not_depend_on_the_cluster(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
