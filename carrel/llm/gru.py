@@ -21,18 +21,39 @@ _TOGETHER = 1024  #: documents that advance together, those of like length
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _tanh(x: np.ndarray) -> np.ndarray:
+    """In place, by the exponential, which numpy computes faster."""
+    x *= 2
+    _sigmoid(x)
+    x *= 2
+    x -= 1
+    return x
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+def _levelled(w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, bool]:
+    """(b less the highest logit that w and b can give, whether some exponential of each row then stays above zero).
+
+    The entries of a state lie between -1 and 1, which bounds its logits without looking at it.
+    """
+    reach = np.abs(w).sum(axis=-2)
+    top, low = (b + reach).max(axis=-1, keepdims=True), (b - reach).max(axis=-1, keepdims=True)
+    return b - top, bool((top - low < 80).all())
+
+
+def _exponentials(x: np.ndarray, wanted: np.ndarray, level: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Turns logits into exponentials in place; (logit at the wanted column, sum of the exponentials) of each row."""
+    if not level:
+        x -= x.max(axis=1, keepdims=True)
+    found = x[np.arange(len(x)), wanted]
+    np.exp(x, out=x)
+    return found, x @ np.ones(x.shape[1], x.dtype)
 
 
 class Network:
@@ -68,13 +89,20 @@ class Network:
             at += v.size
 
     def _step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        n = self.hidden
-        a = h @ self.p["u"]
-        gates = _sigmoid(x[:, : 2 * n] + a[:, : 2 * n])
-        z, r = gates[:, :n], gates[:, n:]
-        inner = a[:, 2 * n :]
-        new = np.tanh(x[:, 2 * n :] + r * inner)
-        return new + z * (h - new), z, r, inner, new
+        """(state, update gate, reset gate, inner, new) after input rows x and states h."""
+        n, u = self.hidden, self.p["u"]
+        z, r, inner = h @ u[:, :n], h @ u[:, n : 2 * n], h @ u[:, 2 * n :]
+        z += x[:, :n]
+        r += x[:, n : 2 * n]
+        _sigmoid(z)
+        _sigmoid(r)
+        new = r * inner
+        new += x[:, 2 * n :]
+        _tanh(new)
+        state = h - new
+        state *= z
+        state += new
+        return state, z, r, inner, new
 
     def _by_class(self, which: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places of head words in the order of their classes, and where each class begins."""
@@ -84,18 +112,29 @@ class Network:
 
     def _log_p(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each id, rare classes as a whole, after state h."""
-        rare = ids >= self.n_head
+        p, rare = self.p, ids >= self.n_head
         which = np.where(rare, ids - self.n_head + self.n_classes, ids // self.width)
-        out = _log_softmax(h @ self.p["class_w"] + self.p["class_b"])[np.arange(len(ids)), which]
+        bias, level = _levelled(p["class_w"], p["class_b"])
+        logits = h @ p["class_w"]
+        logits += bias
+        out, total = _exponentials(logits, which, level)
+        out -= np.log(total)
         head, edges = self._by_class(which, rare)
-        states, words = h[head], ids[head] % self.width
-        inner = np.empty(len(head), h.dtype)
-        for c in np.flatnonzero(np.diff(edges)).tolist():
-            at = slice(edges[c], edges[c + 1])
-            inner[at] = _log_softmax(states[at] @ self.p["word_w"][c] + self.p["word_b"][c])[np.arange(edges[c + 1] - edges[c]), words[at]]
-        out[head] += inner
+        logits, level = self._word_logits(h[head], edges)
+        inner, total = _exponentials(logits, ids[head] % self.width, level)
+        out[head] += inner - np.log(total)
         return out
 
+    def _word_logits(self, states: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, bool]:
+        """Logits of the words of each state's class, and whether they need no further levelling."""
+        bias, level = _levelled(self.p["word_w"], self.p["word_b"])
+        logits = np.empty((len(states), self.width), states.dtype)
+        for c in np.flatnonzero(np.diff(edges)).tolist():
+            own = logits[edges[c] : edges[c + 1]]
+            np.matmul(states[edges[c] : edges[c + 1]], self.p["word_w"][c], out=own)
+            own += bias[c]
+        return logits, level
+
     def log_likelihood(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Natural log-likelihood of each whole document ids[bounds[i]:bounds[i + 1]].
 
@@ -159,7 +198,7 @@ class Network:
 
     def _window(self, before: np.ndarray, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         n, p = self.hidden, self.p
-        x = p["x"][before] + p["bias"]
+        x = np.take(p["x"] + p["bias"], before, axis=0)
         carried = (before != self.n_head + self.n_rare).astype(x.dtype)[:, :, None]  # 0 at the start of a document
         prior, states, z, r, inner, new = (np.empty((*ids.shape, n), x.dtype) for _ in range(6))
         for t in range(len(ids)):
@@ -172,12 +211,16 @@ class Network:
         d_a, d_new = np.empty((*ids.shape, 3 * n), x.dtype), np.empty_like(new)
         carry, back = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
         for t in range(len(ids) - 1, -1, -1):
-            d = d_h[t] + carry
-            d_new[t] = d * by_new[t]
-            d_a[t, :, :n] = d * by_z[t]
-            d_a[t, :, n : 2 * n] = d_new[t] * by_r[t]
-            d_a[t, :, 2 * n :] = d_new[t] * r[t]
-            carry = (d * z[t] + d_a[t] @ back) * carried[t]
+            d, own = d_h[t], d_a[t]
+            d += carry
+            np.multiply(d, by_new[t], out=d_new[t])
+            np.multiply(d, by_z[t], out=own[:, :n])
+            np.multiply(d_new[t], by_r[t], out=own[:, n : 2 * n])
+            np.multiply(d_new[t], r[t], out=own[:, 2 * n :])
+            np.matmul(own, back, out=carry)
+            d *= z[t]
+            carry += d
+            carry *= carried[t]
         g["u"] = prior.reshape(-1, n).T @ d_a.reshape(-1, 3 * n)
         d_a[:, :, 2 * n :] = d_new
         flat = d_a.reshape(-1, 3 * n)
@@ -194,21 +237,25 @@ class Network:
         p, scale = self.p, np.float32(1 / ids.size * STEPS)
         rare = ids >= self.n_head
         which = np.where(rare, ids - self.n_head + self.n_classes, ids // self.width)
-        d = _softmax(h @ p["class_w"] + p["class_b"])
-        d[np.arange(len(ids)), which] -= 1
-        d *= scale
+        bias, level = _levelled(p["class_w"], p["class_b"])
+        d = h @ p["class_w"]
+        d += bias
+        _, total = _exponentials(d, which, level)
+        d *= (scale / total)[:, None]
+        d[np.arange(len(ids)), which] -= scale
         g = {"class_w": h.T @ d, "class_b": d.sum(axis=0), "word_w": np.zeros_like(p["word_w"]), "word_b": np.zeros_like(p["word_b"])}
         d_h = d @ p["class_w"].T
         head, edges = self._by_class(which, rare)
         states, words = h[head], ids[head] % self.width
+        e, level = self._word_logits(states, edges)
+        _, total = _exponentials(e, words, level)
+        e *= (scale / total)[:, None]
+        e[np.arange(len(e)), words] -= scale
         d_states = np.empty_like(states)
         for c in np.flatnonzero(np.diff(edges)).tolist():
             at = slice(edges[c], edges[c + 1])
-            e = _softmax(states[at] @ p["word_w"][c] + p["word_b"][c])
-            e[np.arange(len(e)), words[at]] -= 1
-            e *= scale
-            g["word_w"][c] = states[at].T @ e
-            g["word_b"][c] = e.sum(axis=0)
-            d_states[at] = e @ p["word_w"][c].T
+            np.matmul(states[at].T, e[at], out=g["word_w"][c])
+            g["word_b"][c] = e[at].sum(axis=0)
+            np.matmul(e[at], p["word_w"][c].T, out=d_states[at])
         d_h[head] += d_states
         return d_h, g
