@@ -16,17 +16,17 @@ meet in one of them, by partial aggregates, so a group of copies counts once how
 and a variant's group holds at most as many values as a ball. Pairs that meet are kept where whole
 fingerprints fit the threshold, and then verified on the whole shingle sets of their texts. First
 each value meets only the one that stands for its variant's group, another one in each block, and
-each class is verified with the smallest it met, which joins most of a group. Then values meet once
-more, and all pairs of them that are still apart are verified.
+each class is verified with the smallest few it met, which joins most of a group. Then values meet once
+more, and all pairs of them that are still apart are verified, those that the few left out among them,
+but for pairs of two crowded classes, which are settled by then.
 
 **Crowded classes.** In a family of texts below the threshold (pages of one template) many classes have
 one block value, and only one of them stands for it. Bits can't tell such a family's pairs from near copies
 without comparing most of them. So a class that some other one stands for in more than one of ``_SHARE`` blocks, beside
-a different component, is crowded, and crowded classes meet a second time by shingles: what makes two of
-them more alike than their family is are shingles that few of them have. Each sends its shingles (of a
-large set a fixed share by hash, ``KEPT`` at least), those that at most ``RARE`` crowded classes have bring
-these together, and pairs of different components are verified like all others. Shingles that more have
-count once and bring none together, so no pair is made of what a whole family shares.
+a different component, is crowded, and crowded classes meet a second time by their shingles, exactly: a prefix
+filter over whole sets, in order from the shingles that fewest of them have, brings together all pairs that can reach the
+threshold and are of different components, however many have a shingle. A family below the threshold costs little: what its
+members all have stands behind what they have alone, beyond the prefix of the smaller set.
 
 Cases: texts without words are one class, and so one group; a null doc_id stands after all others;
 classes and shingles are told apart by 64-bit hashes; an empty table gives an empty result.
@@ -56,9 +56,8 @@ RADIUS = 2  #: bits of a block; every value emits all variants within half of it
 SPARE_BITS = 8  #: of a block, beyond those that number the documents
 GROUP_VALUES = 1 << 20  #: of one block, that a task brings together, about
 _VARIANTS = 1 << 19  #: that it makes of them at a time
-KEPT = 256  #: shingles of a crowded class that are sent, about, or all of a smaller set
-RARE = 32  #: crowded classes that a shingle brings together at most
 _SHARE = 8
+_PARTS = (4, 16)  #: crowded classes that a shingle brings together before it does all, about
 _FIRST = 8  #: of the smallest classes that one met, that are compared with it before all others
 _LEVEL = 0.05  #: sizes of a level differ by no more than this
 _CHUNK_BYTES = 1 << 19
@@ -167,11 +166,11 @@ def _window(similarity: float) -> int:
     return math.ceil(-math.log(similarity) / math.log1p(_LEVEL)) + 1
 
 
-def _paired(block: int, part: int, value: np.ndarray, level: np.ndarray, owner: np.ndarray, component: np.ndarray, low: int, window: int, stars: bool) -> np.ndarray:
+def _paired(block: int, part: int, value: np.ndarray, level: np.ndarray, owner: np.ndarray, component: np.ndarray, settled: np.ndarray, low: int, window: int, stars: bool) -> np.ndarray:
     """Rows (a, b), a < b: owners of different components whose values share a variant in one part of a block.
 
     The part is the bits of a variant above the lowest ``low``; it is taken in smaller ones, so that
-    a bounded number of variants is held. A value stands at its own variants of a smaller part, or,
+    a bounded number of variants is held. Pairs of two settled owners are left out. A value stands at its own variants of a smaller part, or,
     from a part that differs in one bit, at its only variant there. stars: of each variant's group
     only pairs with the first, by an order of each block.
     """
@@ -192,7 +191,7 @@ def _paired(block: int, part: int, value: np.ndarray, level: np.ndarray, owner:
         for lag in range(1, int(place.max(initial=0)) + 1):
             at = np.flatnonzero(place == lag if stars else place >= lag)
             x, y = which[at - lag], which[at]
-            fits = (np.abs(level[x] - level[y]) <= window) & (component[x] != component[y])
+            fits = (np.abs(level[x] - level[y]) <= window) & (component[x] != component[y]) & ~(settled[x] & settled[y])
             out.append(np.unique(np.sort(np.stack([owner[x[fits]], owner[y[fits]]], axis=1), axis=1), axis=0))
     return np.unique(np.concatenate(out), axis=0)
 
@@ -200,11 +199,11 @@ def _paired(block: int, part: int, value: np.ndarray, level: np.ndarray, owner:
 def _met(rows: DataFrame, values: DataFrame, n_docs: int, form: Shape, similarity: float, stars: bool) -> DataFrame:
     """(a, b), a < b: pairs of classes of different components that differ in at most two bits of a block.
 
-    rows: (block, value, level, class, component); values: (block, value, level, owner, component, n).
+    rows: (block, value, level, class, component, settled); values: (block, value, level, owner, component, settled, n).
     stars: only with what stands for a variant's group; of each b the smallest few.
     """
     home = ["block", "value", "level"]
-    same = rows.join(values.filter("n > 1").select(*home, "owner", F.col("component").alias("_c")), home).filter("component <> _c")
+    same = rows.join(values.filter("n > 1").select(*home, "owner", F.col("component").alias("_c"), F.col("settled").alias("_s")), home).filter("component <> _c and not (settled and _s)")
     same = same.select(F.least("class", "owner").alias("a"), F.greatest("class", "owner").alias("b"))
     top = min(form.width - 1, max(0, math.ceil(math.log2(max(1, n_docs / GROUP_VALUES)))))
     low = form.width - top
@@ -213,11 +212,11 @@ def _met(rows: DataFrame, values: DataFrame, n_docs: int, form: Shape, similarit
     window = _window(similarity)
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        columns = (rows.column(c).to_numpy() for c in ("value", "level", "owner", "component"))
+        columns = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("value", "level", "owner", "component", "settled"))
         pairs = _paired(key[0].as_py(), key[1].as_py(), *columns, low, window, stars)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    sent = values.select("block", F.explode(F.array(part, *flips)).alias("part"), "value", "level", "owner", "component")
+    sent = values.select("block", F.explode(F.array(part, *flips)).alias("part"), "value", "level", "owner", "component", "settled")
     pairs = same.unionByName(sent.groupBy("block", "part").applyInArrow(meet, "a long, b long"))
     if not stars:
         return pairs.distinct()
@@ -244,15 +243,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, similarity:
     return stage(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "near-verified")
 
 
-def _labelled(links: DataFrame) -> DataFrame:
-    """(class, component): what links (a, b) lead to from b, a < b and each b once, in at most four steps."""
-    up = links.select(F.col("b").alias("class"), F.col("a").alias("component"))
-    for _ in range(2):
-        further = up.select(F.col("class").alias("component"), F.col("component").alias("_further"))
-        up = up.join(further, "component", "left").select("class", F.coalesce("_further", "component").alias("component"))
-    return up
-
-
 def _crowded(told: DataFrame, owned: DataFrame, form: Shape) -> DataFrame:
     """(class): those that another one stands for in many blocks, in values that hold several components."""
     home = ["block", "value", "level"]
@@ -262,41 +252,47 @@ def _crowded(told: DataFrame, owned: DataFrame, form: Shape) -> DataFrame:
     return lossy.groupBy("class").agg(F.count("*").alias("_n")).filter(F.col("_n") > form.blocks // _SHARE).select("class")
 
 
-def _by_rare_shingles(crowded: DataFrame, docs: DataFrame, classes: DataFrame, label: DataFrame, similarity: float, k: int) -> DataFrame:
-    """(a, b), a < b: pairs of different components among the crowded classes that share a rare shingle."""
+def _by_shingles(crowded: DataFrame, docs: DataFrame, classes: DataFrame, links: DataFrame, similarity: float, k: int) -> DataFrame:
+    """``links`` and those of all pairs of different components among the crowded classes, which meet by prefixes.
+
+    A class's shingles are in order from those that fewest crowded classes have. If two sets are as similar, the smaller one's
+    first shingles, less what it must share with a set of its own size, hold one of the larger one's first, less what that must share at all.
+    What many have meets in parts of a few classes first, which joins most of a family, and then whole.
+    """
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            own, component = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for i, grams in _sets(batch.column(2), k):
-                level = math.floor(math.log(max(1, len(grams))) / math.log1p(_LEVEL))
-                most = KEPT / (1 + _LEVEL) ** level  # the same share for all sets of a level
-                part = grams if most >= 1 else grams[grams < np.uint64(int(most * 2**64))]
-                n = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), pa.array(np.full(n, own[i])), pa.array(np.full(n, component[i])), pa.array(np.full(n, level, np.int32))], names=["gram", "class", "component", "level"])
-
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
-        gram, own, component, level = (table.column(c).to_numpy() for c in ("gram", "class", "component", "level"))
-        order = np.argsort(gram, kind="stable")
-        gram, own, component, level = gram[order], own[order], component[order], level[order]
-        out = [np.zeros((0, 2), np.int64)]
-        for lag in range(1, RARE):
-            x = np.flatnonzero(gram[lag:] == gram[:-lag]) if lag < len(gram) else np.zeros(0, np.int64)
-            if not len(x):
-                break
-            x = x[(component[x] != component[x + lag]) & (np.abs(level[x] - level[x + lag]) <= window)]
-            out.append(np.unique(np.sort(np.stack([own[x], own[x + lag]], axis=1), axis=1), axis=0))
-        pairs = np.unique(np.concatenate(out), axis=0)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+            own = batch.column(0).to_numpy()
+            for i, grams in _sets(batch.column(1), k):
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), own[i]))], names=["gram", "class"])
+
+    firsts = classes.join(crowded, "class").select("class", F.col("first.key").alias("_key"))
+    texts = docs.select("text", _key().alias("_key")).join(firsts, "_key").dropDuplicates(["class"]).select("class", "text")
+    grams = stage(texts.mapInArrow(sent, "gram long, class long"), "near-grams")
+    counts = grams.groupBy("gram").agg(F.count("*").alias("_n"))
+    ordered = grams.join(counts, "gram").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("_n", "gram"))).alias("g"))
+    n, share = F.size("g"), 2 * similarity / (1 + similarity)
+    longest = n - F.ceil(n * F.lit(similarity) - 1e-9) + 1
+    prefixes = ordered.select("class", n.alias("n"), F.posexplode(F.slice("g", F.lit(1), longest.cast("int"))).alias("at", "e"))
+    prefixes = stage(prefixes.filter("e._n > 1").select(F.col("e.gram").alias("gram"), "class", "n", "at"), "near-prefixes")
+    shared = F.ceil((F.col("_n") + F.col("n")) * F.lit(share / 2) - 1e-9)
+    fits = (F.struct("_n", "_class") < F.struct("n", "class")) & (F.col("_component") != F.col("component")) & (F.least(F.col("_n") - F.col("_at"), F.col("n") - F.col("at")) >= shared)
+    for size in (*_PARTS, None):
+        told = prefixes.join(_labelled(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        parts = F.lit(1).cast("long") if size is None else F.floor(F.count("*") / size) + 1
+        mixed = told.groupBy("gram").agg(parts.alias("_parts"), F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high").select("gram", "_parts")
+        told = told.join(mixed, "gram").withColumn("part", F.pmod(F.xxhash64("gram", "class", F.lit(size or 0)), F.col("_parts")))
+        told = stage(told.select("gram", "part", "class", "n", "at", "component"), "near-told")
+        small = told.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * F.lit(share) - 1e-9))
+        small = small.select("gram", "part", *(F.col(c).alias(f"_{c}") for c in ("class", "n", "at", "component")))
+        pairs = told.join(small, ["gram", "part"]).filter(fits).select(F.least("_class", "class").alias("a"), F.greatest("_class", "class").alias("b")).distinct()
+        links = links.unionByName(_verified(stage(pairs, "near-crowded-pairs"), docs, classes, similarity, k))
+    return links
 
-    window = _window(similarity)
-    firsts = classes.join(crowded, "class").join(label, "class", "left").select("class", F.coalesce("component", "class").alias("component"), F.col("first.key").alias("_key"))
-    texts = docs.select("text", _key().alias("_key")).join(firsts, "_key").dropDuplicates(["class"]).select("class", "component", "text")
-    grams = stage(texts.mapInArrow(sent, "gram long, class long, component long, level int"), "near-grams")
-    rare = grams.groupBy("gram").agg(F.count("*").alias("_n")).filter(F.col("_n").between(2, RARE)).select("gram")
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = grams.join(rare, "gram").withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(4 * tasks)))
-    return met.groupBy("part").applyInArrow(meet, "a long, b long").distinct()
+
+def _labelled(links: DataFrame) -> DataFrame:
+    """(class, component) of what links (a, b) join."""
+    return stage(connected(links).withColumnRenamed("node", "class"), "near-labels")
 
 
 def _fitting(pairs: DataFrame, classes: DataFrame, form: Shape) -> DataFrame:
@@ -317,16 +313,22 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGLE, re
     rows = stage(_blocks(classes.filter("n > 0"), form), "near-blocks")
     home = ["block", "value", "level"]
     values = stage(rows.groupBy(*home).agg(F.min(F.struct("rank", "class")).alias("top"), F.count("*").alias("n")).select(*home, F.col("top.class").alias("owner"), "n"), "near-values")
-    met = _met(rows.withColumn("component", F.col("class")), values.withColumn("component", F.col("owner")), n_docs, form, similarity, stars=True)
-    stars = _fitting(met, classes, form).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = _verified(stage(stars, "near-stars"), docs, classes, similarity, k)
-    label = stage(_labelled(links), "near-labels")
-    told = rows.join(label, "class", "left").select(*home, "class", F.coalesce("component", "class").alias("component"))
-    owned = values.join(label.withColumnRenamed("class", "owner"), "owner", "left").select(*home, "owner", "n", F.coalesce("component", "owner").alias("component"))
-    rest = _fitting(_met(told, owned, n_docs, form, similarity, stars=False), classes, form)
-    crowded = stage(_crowded(told, owned, form), "near-crowded")
+    none = F.lit(False).alias("settled")
+    met = _met(rows.select("*", F.col("class").alias("component"), none), values.select("*", F.col("owner").alias("component"), none), n_docs, form, similarity, stars=True)
+    links = _verified(stage(_fitting(met, classes, form), "near-stars"), docs, classes, similarity, k)
+
+    def told(label: DataFrame, settled: DataFrame) -> tuple[DataFrame, DataFrame]:
+        known = label.join(settled.withColumn("_s", F.lit(True)), "class", "full_outer")
+        about = lambda end: (F.coalesce("component", end).alias("component"), F.coalesce("_s", F.lit(False)).alias("settled"))
+        mine = rows.join(known, "class", "left").select(*home, "class", *about("class"))
+        return mine, values.join(known.withColumnRenamed("class", "owner"), "owner", "left").select(*home, "owner", "n", *about("owner"))
+
+    label = _labelled(links)
+    crowded = stage(_crowded(*told(label, label.select("class").limit(0)), form), "near-crowded")
     if not crowded.isEmpty():
-        rest = rest.unionByName(_by_rare_shingles(crowded, docs, classes, label, similarity, k)).distinct()
+        links = _by_shingles(crowded, docs, classes, links, similarity, k)
+        label = _labelled(links)
+    rest = _fitting(_met(*told(label, crowded), n_docs, form, similarity, stars=False), classes, form)
     links = links.unionByName(_verified(stage(rest, "near-rest"), docs, classes, similarity, k))
     joined = connected(links).withColumnRenamed("node", "class")
     found = classes.select("class", "first").join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))

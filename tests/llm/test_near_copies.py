@@ -81,3 +81,42 @@ def test_near_copies_in_families_of_one_template(spark):
     expected = sorted(set(group.tolist()))
     assert len(expected) < len(texts) - 60
     assert set(expected) <= set(got) and len(got) - len(expected) <= 1  # a recall of 0.99 of some eighty pairs
+
+
+def test_crowded_classes_meet_whatever_they_have_in_common(spark):
+    """Near copies whose common shingles all stand in more than 32 crowded classes, none of them beside a class of its own."""
+    rng = np.random.default_rng(5)
+    texts = [[f"w{i}" for i in range(240)] for _ in range(120)]
+    for j, own in enumerate(texts):  # a third of all changes is common to 40 texts, so no shingle of a pair is rare
+        for at in range(3, 240, 15):
+            own[at] = f"v{at}x{rng.integers(0, 3)}"
+    texts = [" ".join(t) for t in texts]
+    sets = [set(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
+    shingled = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = nearcopies._sketches(shingled, 5, nearcopies.shape(120)).select("doc_id", "class")
+    number = {r.doc_id: r["class"] for r in made.collect()}
+    keyed = shingled.selectExpr("doc_id", "xxhash64(doc_id, text) as key")
+    classes = made.join(keyed, "doc_id").selectExpr("class", "struct(false as missing, doc_id, key) as first")
+    found = nearcopies._by_shingles(classes.select("class"), shingled, classes, spark.createDataFrame([], "a long, b long"), 0.8, 5)
+    joined = {}
+    for r in found.collect():
+        joined.setdefault(r.a, set()).add(r.b)
+        joined.setdefault(r.b, set()).add(r.a)
+
+    def reach(start, links):
+        seen, todo = {start}, [start]
+        while todo:
+            for x in links.get(todo.pop(), ()):
+                if x not in seen:
+                    seen.add(x)
+                    todo.append(x)
+        return frozenset(seen)
+
+    near = {}
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                near.setdefault(number[i], set()).add(number[j])
+                near.setdefault(number[j], set()).add(number[i])
+    assert near
+    assert {reach(c, joined) for c in number.values()} == {reach(c, near) for c in number.values()}
