@@ -15,16 +15,17 @@ def min_label(nodes: DataFrame, links: DataFrame, save: Callable[[DataFrame, int
 
     Each round takes the smallest label among neighbours and then that label's own label, so labels
     travel twice as far each time. ``save`` writes a round's table and reads it back, which cuts
-    the lineage; its number is that of the round.
+    the lineage; its number is that of the round. Labels are merged, not broadcast: files of numbers look small
+    beside their rows, and each round would send these through the driver.
     """
     both = save(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), -1)
     labels = save(nodes.select("id", F.col("id").alias("cluster")), 0)
     for i in range(1, most_rounds + 1):
-        near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("cluster").alias("near"))
-        stepped = labels.join(near, F.col("id") == F.col("a"), "left").select("id", F.least("cluster", "near").alias("cluster"))
+        near = both.join(labels.hint("merge"), F.col("b") == F.col("id")).groupBy("a").agg(F.min("cluster").alias("near"))
+        stepped = labels.join(near.hint("merge"), F.col("id") == F.col("a"), "left").select("id", F.least("cluster", "near").alias("cluster"))
         hop = stepped.select(F.col("id").alias("cluster"), F.col("cluster").alias("further"))
-        moved = save(stepped.join(hop, "cluster", "left").select("id", F.least("cluster", "further").alias("cluster")), i)
-        changed = moved.alias("m").join(labels.alias("l"), "id").filter("m.cluster <> l.cluster").isEmpty()
+        moved = save(stepped.join(hop.hint("merge"), "cluster", "left").select("id", F.least("cluster", "further").alias("cluster")), i)
+        changed = moved.alias("m").join(labels.alias("l").hint("merge"), "id").filter("m.cluster <> l.cluster").isEmpty()
         labels = moved
         if changed:
             return labels
@@ -53,23 +54,23 @@ def constrained(nodes: DataFrame, links: DataFrame, cannot: DataFrame | None = N
         exclusive = spark.createDataFrame([], f"id {kind}, key string")
     pairs = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("weight").cast("double").alias("weight"))
     for end in ("a", "b"):
-        pairs = pairs.join(ids.withColumnRenamed("id", end), end, "left_semi")
+        pairs = pairs.join(ids.withColumnRenamed("id", end).hint("merge"), end, "left_semi")
     pairs = stage(pairs.groupBy("a", "b").agg(F.max("weight").alias("weight")), "constrained-links")
     apart = stage(cannot.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "constrained-cannot")
     keys = stage(exclusive.filter("key is not null").select("id", "key").distinct(), "constrained-keys")
 
     def between(labels: DataFrame, rows: DataFrame) -> DataFrame:
         """Rows with ends a and b, and the clusters ca < cb of these, where they differ."""
-        told = rows.join(labels.select(F.col("id").alias("a"), F.col("cluster").alias("_x")), "a").join(labels.select(F.col("id").alias("b"), F.col("cluster").alias("_y")), "b")
+        told = rows.join(labels.select(F.col("id").alias("a"), F.col("cluster").alias("_x")).hint("merge"), "a").join(labels.select(F.col("id").alias("b"), F.col("cluster").alias("_y")).hint("merge"), "b")
         return told.filter("_x <> _y").withColumn("ca", F.least("_x", "_y")).withColumn("cb", F.greatest("_x", "_y")).drop("_x", "_y")
 
     whole = stage(min_label(ids, pairs, lambda df, i: stage(df, "constrained-round")), "constrained-whole")
-    bad_pairs = apart.join(whole.select(F.col("id").alias("a"), "cluster"), "a").join(whole.select(F.col("id").alias("b"), F.col("cluster").alias("_other")), "b").filter("cluster = _other").select("cluster")
-    bad_keys = keys.join(whole, "id").groupBy("cluster", "key").count().filter("count > 1").select("cluster")
+    bad_pairs = apart.join(whole.select(F.col("id").alias("a"), "cluster").hint("merge"), "a").join(whole.select(F.col("id").alias("b"), F.col("cluster").alias("_other")).hint("merge"), "b").filter("cluster = _other").select("cluster")
+    bad_keys = keys.join(whole.hint("merge"), "id").groupBy("cluster", "key").count().filter("count > 1").select("cluster")
     bad = stage(bad_pairs.unionByName(bad_keys).distinct(), "constrained-bad")
-    free = whole.join(bad, "cluster", "left_anti").select("id", "cluster")
-    labels = stage(whole.join(bad, "cluster", "left_semi").select("id", F.col("id").alias("cluster")), "constrained-labels")
-    open_ = stage(pairs.join(labels.select(F.col("id").alias("a")), "a", "left_semi"), "constrained-open")
+    free = whole.join(bad.hint("merge"), "cluster", "left_anti").select("id", "cluster")
+    labels = stage(whole.join(bad.hint("merge"), "cluster", "left_semi").select("id", F.col("id").alias("cluster")), "constrained-labels")
+    open_ = stage(pairs.join(labels.select(F.col("id").alias("a")).hint("merge"), "a", "left_semi"), "constrained-open")
     refused = []
     while True:
         told = stage(between(labels, open_), "constrained-told")
@@ -80,14 +81,14 @@ def constrained(nodes: DataFrame, links: DataFrame, cannot: DataFrame | None = N
         mine = ends.groupBy("c").agg(F.max(F.struct("top", "ca", "cb")).alias("m"))
         due = stage(mine.groupBy("m.ca", "m.cb").count().filter("count = 2").select("ca", "cb"), "constrained-due")
         by_pair = between(labels, apart).select("ca", "cb", F.lit("cannot").alias("reason")).distinct()
-        held = keys.join(labels, "id").select("cluster", "key").distinct()
-        by_key = due.join(held.select(F.col("cluster").alias("ca"), "key"), "ca").join(held.select(F.col("cluster").alias("cb"), "key"), ["cb", "key"]).select("ca", "cb", F.lit("exclusive").alias("reason")).distinct()
-        judged = stage(due.join(by_pair.unionByName(by_key).groupBy("ca", "cb").agg(F.min("reason").alias("reason")), ["ca", "cb"], "left"), "constrained-judged")
-        gone = told.join(judged.filter("reason is not null"), ["ca", "cb"]).select("a", "b", "weight", "reason")
+        held = keys.join(labels.hint("merge"), "id").select("cluster", "key").distinct()
+        by_key = due.join(held.select(F.col("cluster").alias("ca"), "key").hint("merge"), "ca").join(held.select(F.col("cluster").alias("cb"), "key").hint("merge"), ["cb", "key"]).select("ca", "cb", F.lit("exclusive").alias("reason")).distinct()
+        judged = stage(due.join(by_pair.unionByName(by_key).groupBy("ca", "cb").agg(F.min("reason").alias("reason")).hint("merge"), ["ca", "cb"], "left"), "constrained-judged")
+        gone = told.join(judged.filter("reason is not null").hint("merge"), ["ca", "cb"]).select("a", "b", "weight", "reason")
         refused.append(stage(gone, "constrained-refused"))
-        open_ = stage(told.join(judged, ["ca", "cb"], "left_anti").select("a", "b", "weight"), "constrained-open")
+        open_ = stage(told.join(judged.hint("merge"), ["ca", "cb"], "left_anti").select("a", "b", "weight"), "constrained-open")
         moved = judged.filter("reason is null").select(F.col("cb").alias("cluster"), F.col("ca").alias("_to"))
-        labels = stage(labels.join(moved, "cluster", "left").select("id", F.coalesce("_to", "cluster").alias("cluster")), "constrained-labels")
+        labels = stage(labels.join(moved.hint("merge"), "cluster", "left").select("id", F.coalesce("_to", "cluster").alias("cluster")), "constrained-labels")
     out = spark.createDataFrame([], f"a {kind}, b {kind}, weight double, reason string")
     for one in refused:
         out = out.unionByName(one)

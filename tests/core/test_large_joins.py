@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from carrel.operators import joins
+from carrel.operators import clusters, joins
+from carrel.sources.staging import stage
 
 
 def test_narrowed_pairs_are_made_once_and_not_shuffled(spark, monkeypatch):
@@ -16,3 +17,21 @@ def test_narrowed_pairs_are_made_once_and_not_shuffled(spark, monkeypatch):
     assert rows == sorted((m, s) for m in [*range(40), -1] for s in range(30))
     top = found.filter(F.lit(True))._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert not any(line.strip(" +-:").startswith(("Aggregate", "Deduplicate")) for line in top[:2]), top[:2]
+
+
+def test_labels_are_not_sent_through_the_driver(spark, monkeypatch):
+    plans = []
+
+    def saved(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, str(name))
+
+    nodes = spark.range(60)
+    links = nodes.filter("id % 3 > 0").selectExpr("id - 1 AS a", "id AS b")
+    got = {r.id: r.cluster for r in clusters.min_label(nodes, links, saved).collect()}
+    assert got == {i: i // 3 * 3 for i in range(60)}
+    monkeypatch.setattr(clusters, "stage", saved)
+    cannot = spark.createDataFrame([(0, 2), (3, 5)], "a long, b long")
+    found = clusters.constrained(nodes, links.selectExpr("*", "b AS weight"), cannot)[0]
+    assert {r.id: r.cluster for r in found.collect()} == {i: i // 3 * 3 if i not in (0, 3) else i for i in range(60)} | {1: 1, 2: 1, 4: 4, 5: 4}
+    assert len(plans) > 10 and not [p for p in plans if "BroadcastHashJoin" in p]
