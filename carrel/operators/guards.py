@@ -73,10 +73,19 @@ def mistyped(claims: DataFrame, types: DataFrame, allowed: DataFrame) -> DataFra
     return told.join(allowed, ["predicate", "subject_type", "object_type"], "left_anti").select("subject", "predicate", "object", "subject_type", "object_type")
 
 
-def unsymmetric(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs without their mirror."""
-    mirror = pairs.select(F.col(b).alias(a), F.col(a).alias(b)).distinct()
-    return pairs.join(mirror, [a, b], "left_anti")
+def unsymmetric(pairs: DataFrame, a: str, b: str, tasks: int | None = None) -> DataFrame:
+    """Pairs (a, b) without their mirror, each once; a null has none.
+
+    One aggregate by the two ends in order, without a join: a pair and its mirror are one group that knows both ways.
+    tasks: over how many the groups are dealt, for tables where few pairs repeat; else pairs are combined before they are shuffled.
+    """
+    up = F.coalesce(F.col(a) <= F.col(b), F.lit(False))
+    down = F.coalesce(F.col(a) >= F.col(b), F.lit(True))
+    ends = pairs.select(F.when(up, F.col(a)).otherwise(F.col(b)).alias("_low"), F.when(up, F.col(b)).otherwise(F.col(a)).alias("_high"), up.alias("_up"), down.alias("_down"))
+    if tasks:
+        ends = ends.repartition(tasks, "_low", "_high")
+    ways = ends.groupBy("_low", "_high").agg(F.max("_up").alias("_up"), F.max("_down").alias("_down")).filter("_up <> _down")
+    return ways.select(F.when(F.col("_up"), F.col("_low")).otherwise(F.col("_high")).alias(a), F.when(F.col("_up"), F.col("_high")).otherwise(F.col("_low")).alias(b))
 
 
 def in_several_sections(rows: DataFrame, key: str, section: str) -> DataFrame:

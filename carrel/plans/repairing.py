@@ -10,7 +10,7 @@ from carrel.functions import names, text, years
 from carrel.operators import claims, clusters, consensus, guards, joins, lines, ordering, patching, profile
 from carrel.plans.registry import Book
 from carrel.sources import landed, sinks
-from carrel.sources.staging import fresh_dir, load
+from carrel.sources.staging import fresh_dir, load, tasks_for
 
 book = Book()
 
@@ -262,8 +262,8 @@ def missing_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT a.l_orderkey AS a, a.l_partkey AS b FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) a
 WHERE NOT EXISTS (SELECT 1 FROM lineitem b WHERE b.l_orderkey = a.l_partkey AND b.l_partkey = a.l_orderkey)""")
 def unsymmetric_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("a"), F.col("l_partkey").alias("b")).distinct()
-    return guards.unsymmetric(pairs, "a", "b")
+    pairs = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("a"), F.col("l_partkey").alias("b"))
+    return guards.unsymmetric(pairs, "a", "b", tasks_for(pairs))
 
 
 @book.query("""

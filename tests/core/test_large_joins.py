@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.operators import clusters, joins
+from carrel.operators import clusters, guards, joins
 from carrel.sources.staging import stage
 
 
@@ -35,3 +35,13 @@ def test_labels_are_not_sent_through_the_driver(spark, monkeypatch):
     found = clusters.constrained(nodes, links.selectExpr("*", "b AS weight"), cannot)[0]
     assert {r.id: r.cluster for r in found.collect()} == {i: i // 3 * 3 if i not in (0, 3) else i for i in range(60)} | {1: 1, 2: 1, 4: 4, 5: 4}
     assert len(plans) > 10 and not [p for p in plans if "BroadcastHashJoin" in p]
+
+
+def test_pairs_and_mirrors_meet_in_one_aggregate_dealt_by_rows(spark):
+    pairs = [(1, 2), (2, 1), (3, 4), (3, 4), (6, 5), (7, 7), (None, 5), (5, None), (5, 5), (None, None), (None, None)]
+    rows = spark.createDataFrame(pairs, "a long, b long")
+    for tasks in (None, 3):
+        found = guards.unsymmetric(rows, "a", "b", tasks)
+        assert sorted(found.collect(), key=str) == sorted([(3, 4), (6, 5), (None, 5), (5, None), (None, None)], key=str)
+        assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+        assert tasks is None or found.rdd.getNumPartitions() == tasks
