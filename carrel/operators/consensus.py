@@ -127,9 +127,11 @@ def tally(cast: DataFrame, key: list[str]) -> DataFrame:
 
 def decide(counted: DataFrame, key: list[str]) -> DataFrame:
     """(key..., field, value, n, present, tied): the most frequent value, of tied ones the first agent's."""
-    by_n = counted.groupBy(*key, "field", "n").agg(F.count("*").alias("ties"), F.min_by("value", "first").alias("value"), F.sum("n").alias("votes"))
-    best = by_n.groupBy(*key, "field").agg(F.max_by(F.struct("value", "ties"), "n").alias("top"), F.max("n").alias("n"), F.sum("votes").alias("present"))
-    return best.select(*key, "field", F.col("top.value").alias("value"), "n", "present", (F.col("top.ties") > 1).alias("tied"))
+    # of the most frequent values, the one of the first agent and of the last one: they are the same if it is alone
+    low, high = F.min(F.struct((-F.col("n")).alias("n"), "first", "value")), F.max(F.struct("n", "first", "value"))
+    best = counted.groupBy(*key, "field").agg(low.alias("_low"), high.alias("_high"), F.sum("n").alias("present"))
+    tied = ~(F.col("_low.first").eqNullSafe(F.col("_high.first")) & F.col("_low.value").eqNullSafe(F.col("_high.value")))
+    return best.select(*key, "field", F.col("_low.value").alias("value"), F.col("_high.n").alias("n"), "present", tied.alias("tied"))
 
 
 def uncorroborated(rows: DataFrame, key: list[str], agent: str, least: int = 2) -> DataFrame:
@@ -191,29 +193,37 @@ def merge(rows: DataFrame, key: str, agent: str, fields: list[str], rules: Rules
         require_agents(rows, agent, agents)
     fail_if_any(uncorroborated(rows, [key], agent, rules.least_agents), "too few agents have a key")
     kinds = {f.name: f.dataType for f in rows.schema}
+    # both sides become one row a key before they meet: half as many rows or fewer, in the partitions that the votes are in by then
     chosen = decide(tally(votes(rows, [key], agent, fields, rules, shown=False), [key]), [key])
+    wide = chosen.select(key, "field", F.struct("value", "n", "tied").alias("cell")).groupBy(key).pivot("field", fields).agg(F.first("cell"))
+    wide = wide.select(key, F.struct(*fields).alias("_cells"))
     if overrides is not None:
         own = overrides.select(F.col("key").cast(kinds[key]).alias(key), "field", F.concat(F.lit('{"v":'), "value", F.lit("}")).alias("override"))
-        chosen = chosen.join(own, [key, "field"], "left")
+        told = own.groupBy(key).pivot("field", fields).agg(F.min("override"))
+        wide = wide.join(told.select(key, F.struct(*fields).alias("_overrides")), key, "left")
     else:
-        chosen = chosen.withColumn("override", F.lit(None).cast("string"))
-    settled = F.col("field").isin(rules.prose_fields)
-    tied = F.col("tied") & F.lit(not rules.first_wins) & ~settled
-    fail = F.raise_error(F.concat(F.lit("a tie without an override: "), F.col(key).cast("string"), F.lit("|"), "field")).cast("string")
-    value = F.when(F.col("tied") & F.col("override").isNotNull(), F.col("override")).when(tied, fail).otherwise(F.col("value"))
-    wide = chosen.select(key, "field", F.struct(value.alias("value"), "n").alias("cell")).groupBy(key).pivot("field", fields).agg(F.first("cell"))
-    out = wide.select(key, *(F.from_json(F.col(f)["value"], T.StructType([T.StructField("v", kinds[f])]))["v"].alias(f) for f in fields), *(F.col(f)["n"].alias(f"n_{f}") for f in fields))
+        wide = wide.withColumn("_overrides", F.lit(None).cast(T.StructType([T.StructField(f, T.StringType()) for f in fields])))
+    cells = {f: (F.col("_cells")[f], F.col("_overrides")[f]) for f in fields}
+
+    def value(f: str) -> Column:
+        cell, override = cells[f]
+        fail = F.raise_error(F.concat(F.lit("a tie without an override: "), F.col(key).cast("string"), F.lit(f"|{f}"))).cast("string")
+        tied = cell["tied"] & F.lit(not rules.first_wins and f not in rules.prose_fields)
+        chosen = F.when(cell["tied"] & override.isNotNull(), override).when(tied, fail).otherwise(cell["value"])
+        return F.from_json(chosen, T.StructType([T.StructField("v", kinds[f])]))["v"]
+
+    out = wide.select(key, *(value(f).alias(f) for f in fields), *(cells[f][0]["n"].alias(f"n_{f}") for f in fields))
     if not rules.prose_fields:
         return out
-    return _with_prose(out, rows, key, agent, chosen, rules)
+    open_ties = {f: wide.filter(cells[f][0]["tied"] & cells[f][1].isNull()).select(key) for f in rules.prose_fields}
+    return _with_prose(out, rows, key, agent, open_ties, rules)
 
 
-def _with_prose(out: DataFrame, rows: DataFrame, key: str, agent: str, chosen: DataFrame, rules: Rules) -> DataFrame:
+def _with_prose(out: DataFrame, rows: DataFrame, key: str, agent: str, open_ties: dict[str, DataFrame], rules: Rules) -> DataFrame:
     """Ties of name lists without an override: prose ties are settled, others fail."""
-    open_ties = chosen.filter(F.col("tied") & F.col("override").isNull())
     for f in rules.prose_fields:
         kind = rows.schema[f].dataType
-        mine = rows.join(open_ties.filter(F.col("field") == f).select(key), key, "left_semi")
+        mine = rows.join(open_ties[f], key, "left_semi")
         lists = mine.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(agent).alias("a"), without_sentinels(F.col(f), kind, rules.sentinels, rules.deep).alias("v")))).alias("all"))
         values = F.transform("all", lambda x: x["v"])
         what = classify_tie(values)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carrel.operators import consensus as c
 from carrel.plans.registry import Book
-from carrel.sources.staging import load
+from carrel.sources.staging import load, tasks_for
 
 book = Book()
 
@@ -20,13 +20,10 @@ _CHOSEN = f"WITH {_ROWS}, {_LONG}, {_COUNTED}, {_RANKED}, chosen AS (SELECT key,
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An order has a few line items, so all of a key goes to one of as many tasks as the rows need, and later counts move nothing."""
     li = load(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("agent")).agg(F.min("l_returnflag").alias("flag"), F.min("l_linestatus").alias("status"))
-
-
-def _chosen(rows: DataFrame, rules: c.Rules) -> tuple[DataFrame, DataFrame]:
-    cast = c.votes(rows, ["key"], "agent", ["flag", "status"], rules)
-    return cast, c.decide(c.tally(cast, ["key"]), ["key"])
+    dealt = li.select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("agent"), "l_returnflag", "l_linestatus").repartition(tasks_for(li), "key")
+    return dealt.groupBy("key", "agent").agg(F.min("l_returnflag").alias("flag"), F.min("l_linestatus").alias("status"))
 
 
 def _said(name: str = "value"):
@@ -36,7 +33,8 @@ def _said(name: str = "value"):
 @book.query(f"{_CHOSEN} SELECT key, field, value, CAST(n AS BIGINT) AS n, CAST(present AS BIGINT) AS present, tied FROM chosen")
 def vote_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent value of each field; of tied ones that of the first agent, and marked."""
-    _, chosen = _chosen(_rows(spark, sf_dir), c.Rules())
+    cast = c.votes(_rows(spark, sf_dir), ["key"], "agent", ["flag", "status"], c.Rules(), shown=False)
+    chosen = c.decide(c.tally(cast, ["key"]), ["key"])
     return chosen.select("key", "field", _said(), "n", "present", "tied")
 
 
@@ -53,9 +51,10 @@ FROM chosen JOIN corroborated USING (key) JOIN orders ON o_orderkey = key GROUP
 def vote_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole merge; ties go to an override, here the order's status."""
     rows = _rows(spark, sf_dir)
-    enough = rows.groupBy("key").agg(F.count_distinct("agent").alias("n")).filter("n >= 2").select("key")
-    o = load(spark, sf_dir, "orders")
-    overrides = o.select(F.col("o_orderkey").alias("key"), F.explode(F.array(F.lit("flag"), F.lit("status"))).alias("field"), F.concat(F.lit('"'), "o_orderstatus", F.lit('"')).alias("value"))
+    tasks = tasks_for(load(spark, sf_dir, "lineitem"))
+    enough = rows.groupBy("key").agg(F.min("agent").alias("_first"), F.max("agent").alias("_last")).filter("_first < _last").select("key")
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus").repartition(tasks, "key")
+    overrides = o.select("key", F.explode(F.array(F.lit("flag"), F.lit("status"))).alias("field"), F.concat(F.lit('"'), "o_orderstatus", F.lit('"')).alias("value"))
     return c.merge(rows.join(enough, "key", "left_semi"), "key", "agent", ["flag", "status"], c.Rules(), overrides)
 
 
@@ -73,8 +72,9 @@ def vote_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
 {_CHOSEN} SELECT c.key, c.field, CAST(c.n AS BIGINT) AS n, CAST(c.present AS BIGINT) AS present, c.value AS chosen, string_agg(l.agent || '=' || l.value, ' ' ORDER BY l.agent) AS said
 FROM chosen c JOIN long l USING (key, field) WHERE c.n < c.present GROUP BY ALL""")
 def vote_disagreements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cast, chosen = _chosen(_rows(spark, sf_dir), c.Rules())
-    found = c.disagreements(cast, chosen, ["key"])
+    tasks = tasks_for(load(spark, sf_dir, "lineitem"))
+    cast = c.votes(_rows(spark, sf_dir), ["key"], "agent", ["flag", "status"], c.Rules()).repartition(tasks, "key", "field")
+    found = c.disagreements(cast, c.decide(c.tally(cast, ["key"]), ["key"]), ["key"])
     said = F.array_join(F.transform("said", lambda x: F.concat(x["agent"].cast("string"), F.lit("="), F.get_json_object(x["shown"], "$.v"))), " ")
     return found.select("key", "field", "n", "present", F.get_json_object("chosen", "$.v").alias("chosen"), said.alias("said"))
 

@@ -1,8 +1,13 @@
 """Joins and aggregates whose work must not grow faster than their rows."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
-from carrel.operators import clusters, guards, joins
+from carrel.operators import clusters, consensus, guards, joins
+from carrel.plans import votes
+from carrel.sources import staging
 from carrel.sources.staging import stage
 
 
@@ -45,3 +50,20 @@ def test_pairs_and_mirrors_meet_in_one_aggregate_dealt_by_rows(spark):
         assert sorted(found.collect(), key=str) == sorted([(3, 4), (6, 5), (None, 5), (5, None), (None, None)], key=str)
         assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
         assert tasks is None or found.rdd.getNumPartitions() == tasks
+
+
+@pytest.mark.parametrize("name", ["vote_majority", "vote_disagreements", "vote_override"])
+def test_votes_are_dealt_over_tasks_by_the_number_of_rows(spark, monkeypatch, name):
+    monkeypatch.setattr(staging, "TASK_ROWS", 500, raising=False)
+    sf_dir = "/root/testdata/sf0.001"
+    tasks = -(-spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // 500)
+    plan = getattr(votes, name)(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(.*?, (\d+)\)", plan)
+    assert dealt and set(dealt) == {str(tasks)}
+
+
+def test_a_tie_is_told_from_one_winner(spark):
+    said = {1: "aab", 2: "ab", 3: "bba", 4: "abc", 5: "a", 6: "aabbc"}
+    cast = spark.createDataFrame([(k, f"agent{i}", "f", v) for k, text in said.items() for i, v in enumerate(text)], "key int, agent string, field string, value string")
+    found = {r.key: (r.value, r.n, r.present, r.tied) for r in consensus.decide(consensus.tally(cast, ["key"]), ["key"]).collect()}
+    assert found == {1: ("a", 2, 3, False), 2: ("a", 1, 2, True), 3: ("b", 2, 3, False), 4: ("a", 1, 3, True), 5: ("a", 1, 1, False), 6: ("a", 2, 5, True)}
