@@ -87,8 +87,12 @@ def write(rows: DataFrame, id_: str, fields: dict[str, float], path: str, edits:
     own = [F.coalesce(F.array_distinct(tokens(f)), F.array().cast("array<string>")) for f in fields]
     held = [f"_f{i}" for i in range(len(fields))]
     split = rows.filter(F.col(id_).isNotNull()).select(F.col(id_).cast("long").alias("id"), *(c.alias(n) for c, n in zip(own, held, strict=True)))
-    each = split.select("id", *held, F.explode(F.array_distinct(F.flatten(F.array(*held)))).alias("token"))
-    mask = sum((F.array_contains(n, F.col("token")).cast("int") * F.lit(1 << i) for i, n in enumerate(held)), F.lit(0))
+    if len(held) == 1:
+        # every word of a row is in its only field: looking each up among all of them takes the square of their number
+        each, mask = split.select("id", F.explode(held[0]).alias("token")), F.lit(1)
+    else:
+        each = split.select("id", *held, F.explode(F.array_distinct(F.flatten(F.array(*held)))).alias("token"))
+        mask = sum((F.array_contains(n, F.col("token")).cast("int") * F.lit(1 << i) for i, n in enumerate(held)), F.lit(0))
     posted = each.select("token", F.shiftright("id", bits).alias("span"), F.col("id").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("offset"), mask.alias("mask"))
     # a word that every row holds is dealt over the spans of ids
     blocks = posted.groupBy("token", "span").agg(F.array_sort(F.collect_list(F.struct("offset", "mask"))).alias("p"), F.bit_or("mask").alias("held"))

@@ -105,3 +105,16 @@ def test_odd_indexes(spark, tmp_path):
     index = postings.write(twice, "id", {"title": 1.0}, f"{tmp_path}/twice")
     assert sorted(map(tuple, postings.found(spark, index, search.Query("a b")).collect())) == [(1, 2.0)]
     assert sorted(map(tuple, postings.found(spark, index, search.Query("b")).collect())) == [(1, 1.0), (2, 1.0)]
+
+
+def test_words_of_an_only_field_are_not_looked_up_among_all_of_a_row(spark, monkeypatch, tmp_path):
+    rows = spark.createDataFrame([(1, "red Red blue"), (2, None), (3, "red"), (4, "")], "id long, text string")
+
+    def refused(*_):
+        raise AssertionError("each word is sought among all words of its row")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(postings.F, "array_contains", refused)
+        index = postings.write(rows, "id", {"text": 2.0}, str(tmp_path / "only"))
+    assert {tuple(r) for r in postings.found(spark, index, search.Query("red")).collect()} == {(1, 2.0), (3, 2.0)}
+    assert {tuple(r) for r in postings.found(spark, index, search.Query("red blue")).collect()} == {(1, 4.0)}
