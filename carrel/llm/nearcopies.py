@@ -35,7 +35,7 @@ classes and shingles are told apart by 64-bit hashes; an empty table gives an em
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,7 +57,8 @@ SPARE_BITS = 8  #: of a block, beyond those that number the documents
 GROUP_VALUES = 1 << 20  #: of one block, that a task brings together, about
 _VARIANTS = 1 << 19  #: that it makes of them at a time
 _SHARE = 8
-_PARTS = (4, 16)  #: crowded classes that a shingle brings together before it does all, about
+_PART = 8  #: crowded classes that a shingle brings together before it does all, about
+_TALLIED = 1 << 18  #: counts of shingles' hashes, by which those of crowded classes are put in order
 _FIRST = 8  #: of the smallest classes that one met, that are compared with it before all others
 _LEVEL = 0.05  #: sizes of a level differ by no more than this
 _CHUNK_BYTES = 1 << 19
@@ -115,6 +116,10 @@ def _class(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes(), 7)).astype(np.int64))
 
 
+def _tally(grams: np.ndarray) -> np.ndarray:
+    return (mix(grams.view(np.uint64)) & np.uint64(_TALLIED - 1)).astype(np.int64)
+
+
 def fingerprint(grams: np.ndarray, words: int) -> np.ndarray:
     """``words`` times 64 bits: each is 1 if it is in over half of the shingles' hashes."""
     salt = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -252,42 +257,76 @@ def _crowded(told: DataFrame, owned: DataFrame, form: Shape) -> DataFrame:
     return lossy.groupBy("class").agg(F.count("*").alias("_n")).filter(F.col("_n") > form.blocks // _SHARE).select("class")
 
 
-def _by_shingles(crowded: DataFrame, docs: DataFrame, classes: DataFrame, links: DataFrame, similarity: float, k: int) -> DataFrame:
-    """``links`` and those of all pairs of different components among the crowded classes, which meet by prefixes.
+def _by_shingles(crowded: DataFrame, docs: DataFrame, classes: DataFrame, links: DataFrame, similarity: float, k: int, label: DataFrame | None = None, rest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Links that join what ``links`` does, and all near copies of different components among the crowded classes, which meet by prefixes.
 
-    A class's shingles are in order from those that fewest crowded classes have. If two sets are as similar, the smaller one's
+    A class's shingles are in order from those that fewest crowded classes have, counted by a hash of ``_TALLIED`` values: any one
+    order for all classes loses no pair, and this one spares what a family has in common. If two sets are as similar, the smaller one's
     first shingles, less what it must share with a set of its own size, hold one of the larger one's first, less what that must share at all.
     What many have meets in parts of a few classes first, which joins most of a family, and then whole.
+    label: the components of ``links``; rest: more pairs, by the components before the last meeting, that are verified with its own.
     """
 
-    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            own = batch.column(0).to_numpy()
-            for i, grams in _sets(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(np.full(len(grams), own[i]))], names=["gram", "class"])
+            found = [grams.view(np.int64) for _, grams in _sets(batch.column(1), k)]
+            edges = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(found)))], names=["class", "g"])
+
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_TALLIED, np.int64)
+        for batch in batches:
+            total += np.bincount(_tally(batch.column(0).flatten().to_numpy()), minlength=_TALLIED)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["tally", "n"])
 
     firsts = classes.join(crowded, "class").select("class", F.col("first.key").alias("_key"))
     texts = docs.select("text", _key().alias("_key")).join(firsts, "_key").dropDuplicates(["class"]).select("class", "text")
-    grams = stage(texts.mapInArrow(sent, "gram long, class long"), "near-grams")
-    counts = grams.groupBy("gram").agg(F.count("*").alias("_n"))
-    ordered = grams.join(counts, "gram").groupBy("class").agg(F.array_sort(F.collect_list(F.struct("_n", "gram"))).alias("g"))
-    n, share = F.size("g"), 2 * similarity / (1 + similarity)
-    longest = n - F.ceil(n * F.lit(similarity) - 1e-9) + 1
-    prefixes = ordered.select("class", n.alias("n"), F.posexplode(F.slice("g", F.lit(1), longest.cast("int"))).alias("at", "e"))
-    prefixes = stage(prefixes.filter("e._n > 1").select(F.col("e.gram").alias("gram"), "class", "n", "at"), "near-prefixes")
+    sets = stage(texts.mapInArrow(shingled, "class long, g array<long>"), "near-sets")
+    counts = np.zeros(_TALLIED, np.int64)
+    for at, n in sets.select("g").mapInArrow(tallied, "tally long, n long").groupBy("tally").agg(F.sum("n")).collect():
+        counts[at] = n
+    shared_counts = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def fronts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            own, grams, sizes, places = batch.column(0).to_numpy(), [], [], []
+            for row in batch.column(1):
+                g = row.values.to_numpy()
+                count = shared_counts.value[_tally(g)]
+                order = np.lexsort((g, count))[: len(g) - math.ceil(len(g) * similarity - 1e-9) + 1]
+                places.append(np.flatnonzero(count[order] > 1))  # one that no other class has meets none
+                grams.append(g[order[places[-1]]])
+                sizes.append(len(g))
+            times = [len(x) for x in places]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams)), pa.array(np.repeat(own, times)), pa.array(np.repeat(np.array(sizes, np.int32), times)), pa.array(np.concatenate(places).astype(np.int32))], names=["gram", "class", "n", "at"])
+
+    share = 2 * similarity / (1 + similarity)
+    prefixes = stage(sets.mapInArrow(fronts, "gram long, class long, n int, at int"), "near-prefixes")
     shared = F.ceil((F.col("_n") + F.col("n")) * F.lit(share / 2) - 1e-9)
     fits = (F.struct("_n", "_class") < F.struct("n", "class")) & (F.col("_component") != F.col("component")) & (F.least(F.col("_n") - F.col("_at"), F.col("n") - F.col("at")) >= shared)
-    for size in (*_PARTS, None):
-        told = prefixes.join(_labelled(links), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    label = _labelled(links) if label is None else label
+    for size in (_PART, None):
+        told = prefixes.join(label, "class", "left").withColumn("component", F.coalesce("component", "class"))
         parts = F.lit(1).cast("long") if size is None else F.floor(F.count("*") / size) + 1
         mixed = told.groupBy("gram").agg(parts.alias("_parts"), F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high").select("gram", "_parts")
         told = told.join(mixed, "gram").withColumn("part", F.pmod(F.xxhash64("gram", "class", F.lit(size or 0)), F.col("_parts")))
         told = stage(told.select("gram", "part", "class", "n", "at", "component"), "near-told")
         small = told.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * F.lit(share) - 1e-9))
         small = small.select("gram", "part", *(F.col(c).alias(f"_{c}") for c in ("class", "n", "at", "component")))
-        pairs = told.join(small, ["gram", "part"]).filter(fits).select(F.least("_class", "class").alias("a"), F.greatest("_class", "class").alias("b")).distinct()
-        links = links.unionByName(_verified(stage(pairs, "near-crowded-pairs"), docs, classes, similarity, k))
-    return links
+        pairs = told.join(small, ["gram", "part"]).filter(fits).select(F.least("_class", "class").alias("a"), F.greatest("_class", "class").alias("b"))
+        if size is None and rest is not None:
+            pairs = pairs.unionByName(rest(label))
+        found = _verified(stage(pairs.distinct(), "near-crowded-pairs"), docs, classes, similarity, k)
+        if size is None:
+            return links.unionByName(found)
+        label = _labelled(links.unionByName(found))
+        links = _stars(label)
+
+
+def _stars(label: DataFrame) -> DataFrame:
+    """Links (a, b) that have these components: of each class to the one that names its component."""
+    return label.select(F.col("class").alias("a"), F.col("component").alias("b"))
 
 
 def _labelled(links: DataFrame) -> DataFrame:
@@ -324,12 +363,13 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY, k: int = SHINGLE, re
         return mine, values.join(known.withColumnRenamed("class", "owner"), "owner", "left").select(*home, "owner", "n", *about("owner"))
 
     label = _labelled(links)
+    links = _stars(label)
     crowded = stage(_crowded(*told(label, label.select("class").limit(0)), form), "near-crowded")
-    if not crowded.isEmpty():
-        links = _by_shingles(crowded, docs, classes, links, similarity, k)
-        label = _labelled(links)
-    rest = _fitting(_met(*told(label, crowded), n_docs, form, similarity, stars=False), classes, form)
-    links = links.unionByName(_verified(stage(rest, "near-rest"), docs, classes, similarity, k))
+    rest = lambda label: _fitting(_met(*told(label, crowded), n_docs, form, similarity, stars=False), classes, form)
+    if crowded.isEmpty():
+        links = links.unionByName(_verified(stage(rest(label), "near-rest"), docs, classes, similarity, k))
+    else:
+        links = _by_shingles(crowded, docs, classes, links, similarity, k, label, rest)
     joined = connected(links).withColumnRenamed("node", "class")
     found = classes.select("class", "first").join(joined, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component"))
     smallest = found.groupBy("component").agg(F.min("first").alias("first"))

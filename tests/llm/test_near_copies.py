@@ -1,7 +1,7 @@
 """Near copies by exact similarity against all pairs."""
 
 import numpy as np
-from carrel.llm import nearcopies
+from carrel.llm import components, nearcopies
 
 from tests.llm.test_first_five import documents, shingles
 
@@ -120,3 +120,31 @@ def test_crowded_classes_meet_whatever_they_have_in_common(spark):
                 near.setdefault(number[j], set()).add(number[i])
     assert near
     assert {reach(c, joined) for c in number.values()} == {reach(c, near) for c in number.values()}
+
+
+def test_crowded_classes_send_only_the_fronts_of_their_sets(spark, monkeypatch):
+    """A family below the threshold: no table has a row for each of its shingles, and components are found before and after one meeting in parts."""
+    staged = []
+
+    def counted(df, name, stage=nearcopies.stage):
+        out = stage(df, name)
+        staged.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(nearcopies, "stage", counted)
+    texts = template_family(400, 20, 0.70, 3)
+    got = nearcopies.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).count()
+    names, rows = [name for name, _ in staged], dict(staged)
+    assert got == 400 and 0 < rows["near-crowded"] <= len(texts)
+    assert names.count("near-labels") <= 2
+    assert max(n for name, n in staged[names.index("near-crowded") :]) < 0.25 * sum(len(shingles(texts[i])) for i in range(rows["near-crowded"]))
+
+
+def test_components_of_many_edges_are_those_of_few(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(1000 + i, 1001 + i) for i in range(30)]
+    found = []
+    for most in (len(rows), len(rows) // 3, 0):
+        monkeypatch.setattr(components, "TASK_ROWS", most)
+        found.append(sorted(map(tuple, components.connected(spark.createDataFrame(rows, "a long, b long")).collect())))
+    assert found[0] == found[1] == found[2] and (1030, 1000) in found[0]
