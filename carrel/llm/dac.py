@@ -19,31 +19,80 @@ import numpy as np
 
 MAGIC = b"CARRDAC1"
 _BLOCK = 512
+_TOGETHER = 1 << 16  #: ids that are split into levels at a time, about, or an eighth as many documents
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.int64)
 
 
-def _levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    levels = []
-    rest = ids.astype(np.uint32)
-    while True:
-        more = rest > 0xFF
-        marks = np.packbits(more, bitorder="little")
+class _Level:
+    """Codes and marks of the ids that reach a level, and the level after it."""
+
+    def __init__(self) -> None:
+        self.codes, self.marks = bytearray(), bytearray()
+        self._open = np.zeros(0, bool)  #: marks that don't fill a byte yet
+        self.next: _Level | None = None
+
+    def add(self, ids: np.ndarray) -> None:
+        more = ids > 0xFF
+        self.codes += (ids & 0xFF).astype(np.uint8).tobytes()
+        marks = np.r_[self._open, more]
+        full = len(marks) // 8 * 8
+        self.marks += np.packbits(marks[:full], bitorder="little").tobytes()
+        self._open = marks[full:]
+        if more.any():
+            self.next = self.next or _Level()
+            self.next.add(ids[more] >> 8)
+
+    def sections(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        codes, marks = np.frombuffer(bytes(self.codes), np.uint8), np.r_[np.frombuffer(bytes(self.marks), np.uint8), np.packbits(self._open, bitorder="little")]
         per_block = np.add.reduceat(_ONES[marks], np.arange(0, len(marks), _BLOCK // 8)) if len(marks) else np.zeros(0, np.int64)
-        levels.append(((rest & 0xFF).astype(np.uint8), marks, np.r_[0, np.cumsum(per_block)].astype("<u8")))
-        if not more.any():
-            return levels
-        rest = rest[more] >> 8
+        return codes, marks, np.r_[0, np.cumsum(per_block)].astype("<u8")
+
+
+class Writer:
+    """A file that grows by documents. What it holds are the file's sections: an id is a byte and a bit on each of its levels."""
+
+    def __init__(self) -> None:
+        self._codes, self._head = _Level(), [bytearray() for _ in range(3)]
+        self._docs: list[tuple[int | None, np.ndarray]] = []
+        self._waiting = self.n_docs = self.n_ids = 0
+
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self._docs.append((doc_id, ids))
+        self._waiting += len(ids)
+        self.n_docs += 1
+        self.n_ids += len(ids)
+        if self._waiting >= _TOGETHER or 8 * len(self._docs) >= _TOGETHER:
+            self._settle()
+
+    def _settle(self) -> None:
+        doc_ids = [d for d, _ in self._docs]
+        columns = np.array([d or 0 for d in doc_ids], "<i8"), np.array([d is not None for d in doc_ids], "u1"), np.array([len(x) for _, x in self._docs], "<i8")
+        for held, new in zip(self._head, columns, strict=True):
+            held += new.tobytes()
+        if self._waiting:
+            self._codes.add(np.concatenate([x for _, x in self._docs]).astype(np.uint32, copy=False))
+        self._docs, self._waiting = [], 0
+
+    def data(self) -> bytes:
+        """The file of all documents so far."""
+        self._settle()
+        doc_id, known, size = (np.frombuffer(bytes(x), kind) for x, kind in zip(self._head, ("<i8", "u1", "<i8"), strict=True))
+        sections = {"doc_id": doc_id, "known": known, "first": np.r_[0, np.cumsum(size)].astype("<i8")}
+        level, j = self._codes, 0
+        while level:
+            codes, marks, ranks = level.sections()
+            sections |= {f"codes{j}": codes, f"marks{j}": marks, f"ranks{j}": ranks}
+            level, j = level.next, j + 1
+        head = json.dumps([[name, x.dtype.str, len(x)] for name, x in sections.items()]).encode()
+        return b"".join([MAGIC, len(head).to_bytes(8, "little"), head, *map(memoryview, sections.values())])
 
 
 def encode(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
     """A file of the documents' ids."""
-    ids = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
-    first = np.r_[0, np.cumsum([len(d) for d in docs], dtype=np.int64)].astype("<i8")
-    sections = {"doc_id": np.array([d or 0 for d in doc_ids], "<i8"), "known": np.array([d is not None for d in doc_ids], "u1"), "first": first}
-    for j, (codes, marks, ranks) in enumerate(_levels(ids)):
-        sections |= {f"codes{j}": codes, f"marks{j}": marks, f"ranks{j}": ranks}
-    head = json.dumps([[name, x.dtype.str, len(x)] for name, x in sections.items()]).encode()
-    return b"".join([MAGIC, len(head).to_bytes(8, "little"), head, *(x.tobytes() for x in sections.values())])
+    writer = Writer()
+    for doc_id, ids in zip(doc_ids, docs, strict=True):
+        writer.add(doc_id, ids)
+    return writer.data()
 
 
 def within(data: bytes) -> Callable[[int, int], memoryview]:

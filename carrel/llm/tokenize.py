@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from carrel.llm import dac
 from carrel.llm.files import read_range, read_whole, write_whole
-from carrel.sources.staging import fresh_dir, stage
+from carrel.sources.staging import fresh_dir, small_batches, stage
 from carrel.llm.words import Chunk, chunks, mix, same_bytes
 
 END = 2
 FILE_TOKENS = 4_000_000
 _CACHED_PIECES = 1 << 20  #: by a worker; rarer ones are encoded for each chunk of texts
+_CHUNK_BYTES = 1 << 19  #: of texts that a worker works on at a time: arrays over them take some fifty times as much
+_TOGETHER = 1 << 12  #: words that the library encodes in one call, as it keeps over a hundred bytes for each id until it returns
 _SPACE, _LINE, _NONE = 0, 1, 2  #: before a piece's word: a space, a line break, the start of the text
 
 
@@ -46,8 +48,8 @@ def _room(x: np.ndarray, need: int) -> np.ndarray:
 class Encoder:
     """Ids of texts by the tokenizers library, which encodes each distinct piece once.
 
-    Pieces are known by 64-bit hashes; ``keys`` is sorted, first and count give the ids of each
-    in ``flat``, and text and size its word in ``bytes``. A count of -1 marks a piece whose texts are encoded whole.
+    Pieces are known by 64-bit hashes; ``keys`` is sorted, ``entry`` has each one's number, by which first and count give
+    its ids in ``flat``, and text and size its word in ``bytes``. A count of -1 marks a piece whose texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -57,8 +59,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.line = self.whole("\n")
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.keys = np.zeros(0, np.uint64)
-        self.first, self.count, self.text, self.size = (np.zeros(0, np.int64) for _ in range(4))
+        self.keys, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.first, self.text = (np.zeros(1 << 16, np.int64) for _ in range(2))
+        self.count, self.size = (np.zeros(1 << 16, np.int32) for _ in range(2))
         self.flat, self.bytes = np.zeros(1 << 20, np.uint32), np.zeros(1 << 20, np.uint8)
         self.used = self.used_bytes = 0
 
@@ -66,12 +69,12 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _pieces(self, words: list[str], head: str) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids of each) of the words, each behind head, a space or a line break.
+        """(ids, number of ids of each) of the words, each behind head, a space or a line break."""
+        found = [self._together(words[lo : lo + _TOGETHER], head) for lo in range(0, len(words), _TOGETHER)]
+        return np.concatenate([np.zeros(0, np.uint32), *(ids for ids, _ in found)]), np.concatenate([np.zeros(0, np.int64), *(n for _, n in found)])
 
-        All are encoded as one text, of one word a line; a line break is a token of its own.
-        """
-        if not words:
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    def _together(self, words: list[str], head: str) -> tuple[np.ndarray, np.ndarray]:
+        """The same, encoded as one text, of one word a line; a line break is a token of its own."""
         spaced = head == " "
         ids = self.whole("\n".join(" " + w for w in words) if spaced else "".join("\n" + w for w in words))
         cut = ids == self.line[0]
@@ -106,10 +109,11 @@ class Encoder:
         known[inside] = self.keys[at[inside]] == wanted[inside]
         first, count = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
         old = np.flatnonzero(known)
-        first[old], count[old] = self.first[at[old]], self.count[at[old]]
-        false = self.size[at[old]] != end[old] - start[old]
+        entry = self.entry[at[old]]
+        first[old], count[old] = self.first[entry], self.count[entry]
+        false = self.size[entry] != end[old] - start[old]
         like = old[~false]
-        false[~false] = ~same_bytes(chunk.data, start[like], end[like], self.bytes, self.text[at[like]])
+        false[~false] = ~same_bytes(chunk.data, start[like], end[like], self.bytes, self.text[entry[~false]])
         count[old[false]] = -1
         new = np.flatnonzero(~known)
         if len(new):
@@ -126,9 +130,12 @@ class Encoder:
                 self.bytes[self.used_bytes : need] = np.frombuffer(b"".join(found), np.uint8)
                 text = self.used_bytes + np.cumsum(size) - size
                 self.used_bytes = need
+                known_before, known_now = len(self.keys), len(self.keys) + len(new)
                 self.keys = np.insert(self.keys, at[new], wanted[new])
+                self.entry = np.insert(self.entry, at[new], np.arange(known_before, known_now, dtype=np.int32))
                 for name, values in (("first", first[new]), ("count", count[new]), ("text", text), ("size", size)):
-                    setattr(self, name, np.insert(getattr(self, name), at[new], values))
+                    setattr(self, name, held := _room(getattr(self, name), known_now))
+                    held[known_before:known_now] = values
         counts = count[number]
         size = end - start
         counts[chunk.end - chunk.start != size[number]] = -1
@@ -149,7 +156,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text in turn, null as empty."""
-        for chunk in chunks(texts):
+        for chunk in chunks(texts, _CHUNK_BYTES):
             start, end, bounds = chunk.start, chunk.end, chunk.bounds
             used = bounds[:-1] < bounds[1:]
             head = np.zeros(len(start), bool)
@@ -198,30 +205,27 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         part, seq = TaskContext.get().partitionId(), 0
-        ids: list[int | None] = []
-        found: list[np.ndarray] = []
-        held = 0
+        file = dac.Writer()
 
         def flush() -> pa.RecordBatch:
             # a name of its own for every attempt: the table always names a file that its rows fit
             path = f"{folder}/part-{part:06d}-{seq:06d}-{uuid.uuid4().hex}.dac"
-            write_whole(path, dac.encode(ids, found))
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": pa.array([len(ids)], pa.int64()), "n_tokens": pa.array([held], pa.int64())})
+            write_whole(path, file.data())
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path], "n_docs": pa.array([file.n_docs], pa.int64()), "n_tokens": pa.array([file.n_ids], pa.int64())})
 
         for batch in batches:
             for doc_id, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
-                ids.append(doc_id)
-                found.append(np.append(own, np.uint32(end)))
-                held += len(own) + 1
-                if held >= file_tokens:
+                file.add(doc_id, np.append(own, np.uint32(end)))
+                if file.n_ids >= file_tokens:
                     yield flush()
-                    seq, held, ids, found = seq + 1, 0, [], []
-        if ids:
+                    seq, file = seq + 1, dac.Writer()
+        if file.n_docs:
             yield flush()
 
     order = ["doc_id", "_text_key"]  # rows of one doc_id stand in the same order in every run
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_text_key")).repartitionByRange(*order).sortWithinPartitions(*order).drop("_text_key")
-    table = stage(ordered.mapInArrow(run, "part int, seq int, path string, n_docs long, n_tokens long"), "token-files")
+    with small_batches(docs.sparkSession):
+        table = stage(ordered.mapInArrow(run, "part int, seq int, path string, n_docs long, n_tokens long"), "token-files")
     parts = table.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = parts.select("part", (F.sum("_n").over(W.orderBy("part")) - F.col("_n")).alias("_before"))
     inside = F.sum("n_tokens").over(W.partitionBy("part").orderBy("seq")) - F.col("n_tokens")

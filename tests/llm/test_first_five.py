@@ -1,5 +1,6 @@
 """Token output, SimHash, decontamination and mixing against brute force."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 import xxhash
 from carrel.llm import dac, decontaminate, mixing, quality, queries, simhash, tokenize
 from carrel.llm.components import connected
+from carrel.sources.staging import BATCH_BYTES, small_batches, stage
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -227,6 +229,44 @@ def test_words_of_equal_hashes_are_told_apart(monkeypatch):
         assert ids.tolist() == encoder.whole(text).tolist()
 
 
+def test_memory_of_token_files_is_bounded(spark, monkeypatch):
+    """The library, numpy and the workers get a bounded part of many new words, whatever the size of a batch."""
+    given, whole = [], tokenize.Encoder.whole
+    encoder = tokenize.Encoder(queries.TOKENIZER)
+    monkeypatch.setattr(tokenize.Encoder, "whole", lambda self, text: given.append(len(text)) or whole(self, text))
+    texts = [" ".join(f"{chr(97 + i % 26)}{i * 7919 + j}" for j in range(400)) for i in range(400)]
+    arrow = pa.array(texts)
+    tracemalloc.start()
+    try:
+        got = [zlib.crc32(ids.tobytes()) for ids in encoder.encode(arrow)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, texts)) > 1 << 20 and max(given) < 1 << 17
+    assert peak < 110e6
+    assert got[::100] == [zlib.crc32(whole(encoder, text).tobytes()) for text in texts[::100]]
+
+    tracemalloc.start()
+    try:
+        file = dac.Writer()
+        for i in range(100_000):
+            file.add(i, np.array([2], np.uint32))
+        held = tracemalloc.get_traced_memory()[0]
+        reader = dac.Reader(dac.within(file.data()))
+    finally:
+        tracemalloc.stop()
+    assert held < 40 * 100_000 and len(reader) == 100_000 and reader.document(99_999).tolist() == [2] and reader.doc_id[-1] == 99_999
+
+    key, rows = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(200, numPartitions=1).selectExpr("id doc_id", "repeat('ab ', 30000) || 'c' text")
+    before, seen = spark.conf.get(key), []
+    monkeypatch.setattr(tokenize, "stage", lambda df, name: seen.append(spark.conf.get(key)) or stage(df, name))
+    assert tokenize.write_tokens(rows, queries.TOKENIZER).selectExpr("sum(n_docs)").first()[0] == 200
+    with small_batches(spark):
+        sizes = [r.n for r in rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()]
+    assert [int(x.rstrip("b")) for x in seen] == [BATCH_BYTES] and len(sizes) > 2 and max(sizes) < 2 * BATCH_BYTES
+    assert spark.conf.get(key) == before
+
+
 def test_codes_are_directly_addressable():
     rng = np.random.default_rng(3)
     docs = [rng.integers(0, top, n).astype(np.uint32) for top, n in ((200, 50), (60_000, 3000), (2**32, 700), (5, 0))]
