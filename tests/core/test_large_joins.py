@@ -1,5 +1,7 @@
 """Joins and aggregates whose work must not grow faster than their rows."""
 
+import itertools
+import random
 import re
 
 import pytest
@@ -24,6 +26,31 @@ def test_narrowed_pairs_are_made_once_and_not_shuffled(spark, monkeypatch):
     assert not any(line.strip(" +-:").startswith(("Aggregate", "Deduplicate")) for line in top[:2]), top[:2]
 
 
+def written_by_shuffles(spark, since=-1):
+    """Bytes, and the last stage so far."""
+    sc, jvm = spark.sparkContext._jsc.sc(), spark.sparkContext._jvm
+    sc.listenerBus().waitUntilEmpty()
+    found = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    stages = [found.apply(i) for i in range(found.size())]
+    return sum(x.shuffleWriteBytes() for x in stages if x.stageId() > since), max((x.stageId() for x in stages), default=-1)
+
+
+def test_narrowed_shuffles_numbers_and_keeps_mentions_of_a_question_together(spark, monkeypatch):
+    monkeypatch.setattr(joins, "_PART_MENTIONS", 50)
+    rng = random.Random(4)
+    said = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3000)) for _ in range(20)]
+    mentions = [(i, "son", str(i % 2), said[i % 20].upper()) for i in range(3000)]
+    mentions += [(i, "son", v, said[j]) for i in range(3000, 3040) for j in (i % 7, i % 3, 9) for v in "01"]
+    claims, names = [(s, "son", str(s % 2)) for s in range(200)], [(s, said[s * 7 % 20]) for s in range(200)]
+    made = [spark.createDataFrame(rows, kind) for rows, kind in ((mentions, "id long, predicate string, value string, name string"), (claims, "subject long, predicate string, value string"), (names, "subject long, name string"))]
+    before = written_by_shuffles(spark)[1]
+    rows = joins.narrowed(*made).select("mention", "subject", F.spark_partition_id()).collect()
+    assert written_by_shuffles(spark, before)[0] < 2_000_000  # a name of each mention would be 9 MB
+    assert sorted(r[:2] for r in rows) == sorted({(m, s) for m, _, v, n in mentions for s in range(int(v), 200, 2) if said[s * 7 % 20] == n.lower()})
+    asked = [(r[2], r.mention % 20) for r in rows if r.mention < 3000]
+    assert len([x for x, _ in itertools.groupby(asked)]) == len(set(asked))
+
+
 def test_labels_are_not_sent_through_the_driver(spark, monkeypatch):
     plans = []
 
